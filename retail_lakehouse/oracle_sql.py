@@ -465,3 +465,34 @@ def check_reports_sql() -> str:
         for n in REPORT
     ]
     return with_ctes("\nUNION ALL\n".join(parts))
+
+
+def _lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def _check_sql(c) -> str:
+    head = f"SELECT '{c.name}' AS check_name, '{c.table}' AS table_name, '{c.column}' AS column_name"
+    col = c.column
+    if c.kind == "not_null":
+        return f"{head}, CAST(count(*) FILTER (WHERE {col} IS NULL) AS BIGINT) AS failing_rows FROM {c.table}"
+    if c.kind == "unique":
+        return (f"{head}, CAST(count(*) AS BIGINT) AS failing_rows FROM "
+                f"(SELECT {col} FROM {c.table} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)")
+    if c.kind == "relationships":
+        return (f"{head}, CAST(count(*) AS BIGINT) AS failing_rows FROM {c.table} ch "
+                f"WHERE ch.{col} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {c.to_table} pa WHERE pa.{c.to_column} = ch.{col})")
+    if c.kind == "accepted_values":
+        values = ", ".join(_lit(v) for v in c.values)
+        return (f"{head}, CAST(count(DISTINCT {col}) FILTER (WHERE {col} NOT IN ({values})) AS BIGINT) "
+                f"AS failing_rows FROM {c.table}")
+    if c.kind == "non_negative":
+        cond = " OR ".join(f"{x} < 0" for x in col.split(","))
+        return f"{head}, CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failing_rows FROM {c.table}"
+    raise ValueError(c.kind)
+
+
+def quality_suite_sql(suite) -> str:
+    body = "\nUNION ALL\n".join(_check_sql(c) for c in suite)
+    return with_ctes(f"SELECT *, failing_rows = 0 AS passed FROM (\n{body}\n)")

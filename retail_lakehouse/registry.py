@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retail_lakehouse import oracle_sql as O
 from retail_lakehouse.plans.layers import GOLD_NAMES, MART_NAMES, REPORT_NAMES, SILVER_NAMES, Lakehouse
+from retail_lakehouse.plans.quality_suite import SUITE, data_quality_suite
 from retail_lakehouse.plans.reports import check_reports
 from retail_lakehouse.schemas import DATASETS
 
@@ -58,6 +59,7 @@ def queries() -> dict[str, Query]:
     for n in REPORT_NAMES:
         q[n] = _report_q(n)
     q["check_reports"] = _check_reports
+    q["data_quality_suite"] = lambda spark, sf: data_quality_suite(Lakehouse.from_driver(spark, sf))
     return q
 
 
@@ -76,4 +78,5 @@ def oracle_sql() -> dict[str, str]:
     for n in REPORT_NAMES:
         s[n] = O.layer_query(n)
     s["check_reports"] = O.check_reports_sql()
+    s["data_quality_suite"] = O.quality_suite_sql(SUITE)
     return s

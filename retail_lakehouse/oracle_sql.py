@@ -496,3 +496,75 @@ def _check_sql(c) -> str:
 def quality_suite_sql(suite) -> str:
     body = "\nUNION ALL\n".join(_check_sql(c) for c in suite)
     return with_ctes(f"SELECT *, failing_rows = 0 AS passed FROM (\n{body}\n)")
+
+
+def replay_plan_sql() -> str:
+    """Per purchase date, the row count of each landing table's daily slice,
+    by direct (row-level) joins."""
+    return with_ctes("""
+    SELECT d.batch_date,
+           CAST(d.n AS BIGINT) AS olist_orders_rows,
+           CAST(coalesce(i.n, 0) AS BIGINT) AS olist_order_items_rows,
+           CAST(coalesce(p.n, 0) AS BIGINT) AS olist_order_payments_rows,
+           CAST(coalesce(r.n, 0) AS BIGINT) AS olist_order_reviews_rows,
+           CAST(coalesce(c.n, 0) AS BIGINT) AS olist_customers_rows,
+           CAST(coalesce(pr.n, 0) AS BIGINT) AS olist_products_rows,
+           CAST(coalesce(s.n, 0) AS BIGINT) AS olist_sellers_rows,
+           CAST(coalesce(g.n, 0) AS BIGINT) AS olist_geolocation_rows,
+           CAST(coalesce(t.n, 0) AS BIGINT) AS product_category_name_translation_rows
+    FROM (SELECT CAST(CAST(order_purchase_timestamp AS TIMESTAMP) AS DATE) AS batch_date, count(*) AS n
+          FROM raw_olist_orders GROUP BY 1) d
+    LEFT JOIN (SELECT x.batch_date, count(*) AS n FROM sl_orders x
+               JOIN raw_olist_order_items y ON y.order_id IS NOT DISTINCT FROM x.order_id GROUP BY 1) i
+           ON i.batch_date = d.batch_date
+    LEFT JOIN (SELECT x.batch_date, count(*) AS n FROM sl_orders x
+               JOIN raw_olist_order_payments y ON y.order_id IS NOT DISTINCT FROM x.order_id GROUP BY 1) p
+           ON p.batch_date = d.batch_date
+    LEFT JOIN (SELECT x.batch_date, count(*) AS n FROM sl_orders x
+               JOIN raw_olist_order_reviews y ON y.order_id IS NOT DISTINCT FROM x.order_id GROUP BY 1) r
+           ON r.batch_date = d.batch_date
+    LEFT JOIN (SELECT x.batch_date, count(*) AS n FROM sl_customer_ids x
+               JOIN raw_olist_customers y ON y.customer_id IS NOT DISTINCT FROM x.customer_id GROUP BY 1) c
+           ON c.batch_date = d.batch_date
+    LEFT JOIN (SELECT x.batch_date, count(*) AS n FROM sl_product_ids x
+               JOIN raw_olist_products y ON y.product_id IS NOT DISTINCT FROM x.product_id GROUP BY 1) pr
+           ON pr.batch_date = d.batch_date
+    LEFT JOIN (SELECT x.batch_date, count(*) AS n FROM sl_seller_ids x
+               JOIN raw_olist_sellers y ON y.seller_id IS NOT DISTINCT FROM x.seller_id GROUP BY 1) s
+           ON s.batch_date = d.batch_date
+    LEFT JOIN (SELECT x.batch_date, count(*) AS n FROM sl_zips x
+               JOIN raw_olist_geolocation y ON y.geolocation_zip_code_prefix IS NOT DISTINCT FROM x.zip
+               GROUP BY 1) g
+           ON g.batch_date = d.batch_date
+    LEFT JOIN (SELECT x.batch_date, count(*) AS n FROM sl_categories x
+               JOIN raw_product_category_name_translation y
+                 ON y.product_category_name IS NOT DISTINCT FROM x.product_category_name GROUP BY 1) t
+           ON t.batch_date = d.batch_date""")
+
+
+REPLAY_CTES = [
+    ("sl_orders", """SELECT DISTINCT CAST(CAST(order_purchase_timestamp AS TIMESTAMP) AS DATE) AS batch_date, order_id
+                     FROM raw_olist_orders"""),
+    ("sl_customer_ids", """SELECT DISTINCT CAST(CAST(order_purchase_timestamp AS TIMESTAMP) AS DATE) AS batch_date,
+                                  customer_id FROM raw_olist_orders"""),
+    ("sl_product_ids", """SELECT DISTINCT x.batch_date, y.product_id FROM sl_orders x
+                          JOIN raw_olist_order_items y ON y.order_id IS NOT DISTINCT FROM x.order_id"""),
+    ("sl_seller_ids", """SELECT DISTINCT x.batch_date, y.seller_id FROM sl_orders x
+                         JOIN raw_olist_order_items y ON y.order_id IS NOT DISTINCT FROM x.order_id"""),
+    ("sl_categories", """SELECT DISTINCT x.batch_date, y.product_category_name FROM sl_product_ids x
+                         JOIN raw_olist_products y ON y.product_id IS NOT DISTINCT FROM x.product_id"""),
+    ("sl_zips", """SELECT DISTINCT x.batch_date, y.customer_zip_code_prefix AS zip FROM sl_customer_ids x
+                   JOIN raw_olist_customers y ON y.customer_id IS NOT DISTINCT FROM x.customer_id
+                   UNION
+                   SELECT DISTINCT x.batch_date, y.seller_zip_code_prefix FROM sl_seller_ids x
+                   JOIN raw_olist_sellers y ON y.seller_id IS NOT DISTINCT FROM x.seller_id"""),
+]
+CTES.extend(REPLAY_CTES)
+
+
+def orders_summary_sql() -> str:
+    return with_ctes("""
+    SELECT count(*) AS orders,
+           min(CAST(CAST(order_purchase_timestamp AS TIMESTAMP) AS DATE)) AS first_order_date,
+           max(CAST(CAST(order_purchase_timestamp AS TIMESTAMP) AS DATE)) AS last_order_date
+    FROM raw_olist_orders""")

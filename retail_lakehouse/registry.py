@@ -14,7 +14,9 @@ from retail_lakehouse import oracle_sql as O
 from retail_lakehouse.plans.layers import GOLD_NAMES, MART_NAMES, REPORT_NAMES, SILVER_NAMES, Lakehouse
 from retail_lakehouse.plans.quality_suite import SUITE, data_quality_suite
 from retail_lakehouse.plans.reports import check_reports
+from retail_lakehouse.operators.slice import orders_summary, replay_plan
 from retail_lakehouse.schemas import DATASETS
+from retail_lakehouse.sources import driver_tables as D
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +46,11 @@ def _check_reports(spark: SparkSession, sf: str) -> DataFrame:
     return check_reports({n: lh.report(n) for n in REPORT_NAMES})
 
 
+def _raw_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    t = D.load_driver_tables(spark, sf)
+    return {d.table_name: D.raw_table(t, d.table_name) for d in DATASETS}
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for d in DATASETS:
@@ -60,6 +67,8 @@ def queries() -> dict[str, Query]:
         q[n] = _report_q(n)
     q["check_reports"] = _check_reports
     q["data_quality_suite"] = lambda spark, sf: data_quality_suite(Lakehouse.from_driver(spark, sf))
+    q["replay_plan"] = lambda spark, sf: replay_plan(_raw_tables(spark, sf))
+    q["source_summary"] = lambda spark, sf: orders_summary(_raw_tables(spark, sf)["olist_orders"])
     return q
 
 
@@ -79,4 +88,6 @@ def oracle_sql() -> dict[str, str]:
         s[n] = O.layer_query(n)
     s["check_reports"] = O.check_reports_sql()
     s["data_quality_suite"] = O.quality_suite_sql(SUITE)
+    s["replay_plan"] = O.replay_plan_sql()
+    s["source_summary"] = O.orders_summary_sql()
     return s

@@ -12,30 +12,35 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lakehouse.operators.rows import dedupe_rows
 from retail_lakehouse.plans import marts as M
 from retail_lakehouse.plans import reports as R
 from retail_lakehouse.plans import warehouse as W
 from retail_lakehouse.plans.silver import SILVER_BUILDERS
 from retail_lakehouse.schemas import BY_TABLE
-from retail_lakehouse.session import prepare
+from retail_lakehouse.session import ensure_checkpoint_dir, prepare
 from retail_lakehouse.sources import driver_tables as D
 
 
 class Lakehouse:
     def __init__(self, bronze_source: Callable[[str], DataFrame], week_start: str = "sunday",
-                 day_basis: str = "calendar", ntile_partitions: int | None = None):
+                 day_basis: str = "calendar", ntile_partitions: int | None = None,
+                 materialize: bool = False):
+        """``materialize``: checkpoint every silver, gold and mart table the
+        first time it is used (to the shared checkpoint folder), for outputs
+        that read many layers many times (quality suite, report check) —
+        each layer is then computed once and its lineage is cut."""
         self._bronze_source = bronze_source
         self.week_start = week_start
         self.day_basis = day_basis
         self.ntile_partitions = ntile_partitions
+        self.materialize = materialize
         self._memo: dict[str, DataFrame] = {}
 
     # -- construction ---------------------------------------------------------
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> "Lakehouse":
         tables = D.load_driver_tables(spark, sf_dir)
-        lh = cls(lambda name: dedupe_rows(D.with_snapshot_lineage(D.raw_table(tables, name), name)), **kw)
+        lh = cls(lambda name: D.snapshot_bronze(tables, name), **kw)
         lh.driver_tables = tables
         return lh
 
@@ -46,7 +51,11 @@ class Lakehouse:
 
     def _get(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
         if key not in self._memo:
-            self._memo[key] = build()
+            df = build()
+            if self.materialize and key.split(".")[0] in ("silver", "gold", "mart"):
+                ensure_checkpoint_dir(df.sparkSession)
+                df = df.checkpoint(eager=True)
+            self._memo[key] = df
         return self._memo[key]
 
     # -- layers ---------------------------------------------------------------

@@ -16,14 +16,14 @@ def dim_customers(customers: DataFrame) -> DataFrame:
 def dim_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with the English category name, falling back to the original
     name and then ``'unknown'``. The translation side has one row per
-    category (silver dedups it), so the left join never fans out; it is a
-    category list, bounded by the number of distinct categories, so it is
-    broadcast."""
+    category (silver dedups it), so the left join never fans out. No
+    broadcast hint: AQE broadcasts it from its measured runtime size when it
+    is small, and shuffles otherwise."""
     t = translation.select(
         F.col("product_category_name").alias("_category"),
         F.col("product_category_name_english").alias("_english"),
     )
-    joined = products.join(F.broadcast(t), products["product_category_name"] == t["_category"], "left")
+    joined = products.join(t, products["product_category_name"] == t["_category"], "left")
     return joined.select(
         "product_id",
         "product_category_name",

@@ -42,7 +42,7 @@ def _report_q(name: str) -> Query:
 
 
 def _check_reports(spark: SparkSession, sf: str) -> DataFrame:
-    lh = Lakehouse.from_driver(spark, sf)
+    lh = Lakehouse.from_driver(spark, sf, materialize=True)
     return check_reports({n: lh.report(n) for n in REPORT_NAMES})
 
 
@@ -66,7 +66,7 @@ def queries() -> dict[str, Query]:
     for n in REPORT_NAMES:
         q[n] = _report_q(n)
     q["check_reports"] = _check_reports
-    q["data_quality_suite"] = lambda spark, sf: data_quality_suite(Lakehouse.from_driver(spark, sf))
+    q["data_quality_suite"] = lambda spark, sf: data_quality_suite(Lakehouse.from_driver(spark, sf, materialize=True))
     q["replay_plan"] = lambda spark, sf: replay_plan(_raw_tables(spark, sf))
     q["source_summary"] = lambda spark, sf: orders_summary(_raw_tables(spark, sf)["olist_orders"])
     return q

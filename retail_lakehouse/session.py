@@ -18,6 +18,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     cpus = os.cpu_count() or 8
     builder = (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from retail_lakehouse.functions.columns import row_hash
+from retail_lakehouse.operators.rows import dedupe_rows
 from retail_lakehouse.schemas import BY_TABLE
 from retail_lakehouse.session import prepare
 
@@ -55,9 +56,68 @@ CATEGORY_TRANSLATIONS = {"economy": "budget", "large": "bulky", "medium": "stand
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+def spread_small_scan(df: DataFrame, min_rows_per_task: int = 50_000) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A parquet file with a single row group is read by one task, and all work
+    before the first shuffle (text formatting, casts, hashing, partial
+    aggregates) would run on that task alone. When the scan has fewer splits
+    than ``spark.default.parallelism`` and enough rows to be worth it, the rows
+    are spread once. A large input arrives in many splits, so at scale this
+    never adds an exchange. Split count and row count come from file metadata
+    (planning and footers), not from reading data.
+    """
+    spark = df.sparkSession
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave as is
+        return df
+    cores = spark.sparkContext.defaultParallelism
+    if splits >= cores:
+        return df
+    rows = _footer_rows(df)
+    if rows is None or rows < min_rows_per_task * 2:
+        return df
+    return df.repartition(min(cores, max(2, rows // min_rows_per_task)))
+
+
+def _footer_rows(df: DataFrame) -> int | None:
+    """Row count from parquet footers (no data pages read)."""
+    try:
+        import pyarrow.parquet as pq
+
+        total = 0
+        for f in df.inputFiles():
+            path = f.removeprefix("file://").removeprefix("file:")
+            total += pq.ParquetFile(path).metadata.num_rows
+        return total
+    except Exception:
+        return None
+
+
+# Declared schemas of the star-schema tables: no footer-reading job to infer
+# them, and a changed file fails loudly instead of flowing through.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     prepare(spark)
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in DRIVER_TABLES}
+    return {
+        t: spread_small_scan(spark.read.schema(DRIVER_SCHEMAS[t]).parquet(f"{sf_dir}/{t}.parquet"))
+        for t in DRIVER_TABLES
+    }
 
 
 def ts_text(c: Column) -> Column:
@@ -275,3 +335,21 @@ def with_snapshot_lineage(raw: DataFrame, table_name: str) -> DataFrame:
         F.lit(SNAPSHOT_DATE).cast("timestamp").alias("_ingested_at"),
         F.lit(f"snapshot-{SNAPSHOT_DATE.isoformat()}").alias("_batch_id"),
     )
+
+
+def snapshot_bronze(t: dict[str, DataFrame], table_name: str) -> DataFrame:
+    """Bronze table of the snapshot: one row per distinct landing row.
+
+    Every row of the snapshot carries the same lineage, so rows with equal
+    content hash are equal in every column and "keep the earliest" is plain
+    ``distinct`` — a hash aggregate with a map-side partial instead of a sort
+    on the 64-character hash. The hash is added after the dedup, so queries
+    that never read ``source_row_hash`` do not compute it at all.
+    """
+    return with_snapshot_lineage(raw_table(t, table_name).distinct(), table_name)
+
+
+def snapshot_bronze_sorted(t: dict[str, DataFrame], table_name: str) -> DataFrame:
+    """The general rule (earliest landing per content hash); equal to
+    ``snapshot_bronze`` on a snapshot."""
+    return dedupe_rows(with_snapshot_lineage(raw_table(t, table_name), table_name))

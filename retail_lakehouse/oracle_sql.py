@@ -568,3 +568,13 @@ def orders_summary_sql() -> str:
            min(CAST(CAST(order_purchase_timestamp AS TIMESTAMP) AS DATE)) AS first_order_date,
            max(CAST(CAST(order_purchase_timestamp AS TIMESTAMP) AS DATE)) AS last_order_date
     FROM raw_olist_orders""")
+
+
+def bronze_array_sql(table: str) -> str:
+    """Bronze with the array row-hash layout: sha256 of the JSON array of the
+    values, NULL read as ''."""
+    cols = next(d.columns for d in DATASETS if d.table_name == table)
+    arr = ", ".join(f"coalesce({c}, '')" for c in cols)
+    return with_ctes(_bronze(table, cols).replace(
+        f"sha256(to_json(struct_pack({', '.join(f'{c} := {c}' for c in cols)})))",
+        f"sha256(to_json([{arr}]))"))

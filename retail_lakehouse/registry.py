@@ -14,6 +14,7 @@ from retail_lakehouse import oracle_sql as O
 from retail_lakehouse.plans.layers import GOLD_NAMES, MART_NAMES, REPORT_NAMES, SILVER_NAMES, Lakehouse
 from retail_lakehouse.plans.quality_suite import SUITE, data_quality_suite
 from retail_lakehouse.plans.reports import check_reports
+from retail_lakehouse.plans.silver import silver_order_items
 from retail_lakehouse.operators.slice import orders_summary, replay_plan
 from retail_lakehouse.schemas import DATASETS
 from retail_lakehouse.sources import driver_tables as D
@@ -67,6 +68,10 @@ def queries() -> dict[str, Query]:
         q[n] = _report_q(n)
     q["check_reports"] = _check_reports
     q["data_quality_suite"] = lambda spark, sf: data_quality_suite(Lakehouse.from_driver(spark, sf, materialize=True))
+    q["silver_order_items_md5"] = lambda spark, sf: silver_order_items(
+        Lakehouse.from_driver(spark, sf).bronze("olist_order_items"), key_algo="md5")
+    q["bronze_olist_orders_array_hash"] = lambda spark, sf: D.snapshot_bronze(
+        D.load_driver_tables(spark, sf), "olist_orders", layout="array")
     q["replay_plan"] = lambda spark, sf: replay_plan(_raw_tables(spark, sf))
     q["source_summary"] = lambda spark, sf: orders_summary(_raw_tables(spark, sf)["olist_orders"])
     return q
@@ -88,6 +93,9 @@ def oracle_sql() -> dict[str, str]:
         s[n] = O.layer_query(n)
     s["check_reports"] = O.check_reports_sql()
     s["data_quality_suite"] = O.quality_suite_sql(SUITE)
+    s["silver_order_items_md5"] = O.with_ctes(O.SILVER["order_items"].replace(
+        "sha256(concat_ws('||', order_id, order_item_id))", "md5(concat_ws('||', order_id, order_item_id))"))
+    s["bronze_olist_orders_array_hash"] = O.bronze_array_sql("olist_orders")
     s["replay_plan"] = O.replay_plan_sql()
     s["source_summary"] = O.orders_summary_sql()
     return s

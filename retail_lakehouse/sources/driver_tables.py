@@ -323,13 +323,13 @@ def raw_table(t: dict[str, DataFrame], table_name: str) -> DataFrame:
     return RAW_BUILDERS[table_name](t)
 
 
-def with_snapshot_lineage(raw: DataFrame, table_name: str) -> DataFrame:
+def with_snapshot_lineage(raw: DataFrame, table_name: str, layout: str = "struct") -> DataFrame:
     """Landing columns plus the bronze lineage columns for the one snapshot
     batch; ``_row_hash`` is the content fingerprint of the landing columns."""
     cols = BY_TABLE[table_name].columns
     return raw.select(
         *cols,
-        row_hash(cols).alias("_row_hash"),
+        row_hash(cols, layout).alias("_row_hash"),
         F.lit(f"{SOURCE_TABLE[table_name]}.parquet").alias("_source_file"),
         F.lit(SNAPSHOT_DATE).alias("_batch_date"),
         F.lit(SNAPSHOT_DATE).cast("timestamp").alias("_ingested_at"),
@@ -337,7 +337,7 @@ def with_snapshot_lineage(raw: DataFrame, table_name: str) -> DataFrame:
     )
 
 
-def snapshot_bronze(t: dict[str, DataFrame], table_name: str) -> DataFrame:
+def snapshot_bronze(t: dict[str, DataFrame], table_name: str, layout: str = "struct") -> DataFrame:
     """Bronze table of the snapshot: one row per distinct landing row.
 
     Every row of the snapshot carries the same lineage, so rows with equal
@@ -346,7 +346,7 @@ def snapshot_bronze(t: dict[str, DataFrame], table_name: str) -> DataFrame:
     on the 64-character hash. The hash is added after the dedup, so queries
     that never read ``source_row_hash`` do not compute it at all.
     """
-    return with_snapshot_lineage(raw_table(t, table_name).distinct(), table_name)
+    return with_snapshot_lineage(raw_table(t, table_name).distinct(), table_name, layout)
 
 
 def snapshot_bronze_sorted(t: dict[str, DataFrame], table_name: str) -> DataFrame:

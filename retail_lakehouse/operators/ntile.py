@@ -4,9 +4,9 @@
 a single task. Here the rows are range-partitioned on the full (unique) sort
 order, each task numbers its rows locally, and a per-partition count table
 (one row per partition, so its size is bounded by the partition count) gives
-the offsets. The range-partitioned frame is checkpointed to the shared
-checkpoint folder first: range boundaries come from a sample, so the counting
-pass and the numbering pass must read the same frame.
+the offsets. The numbered frame is written to the shared checkpoint folder
+first: range boundaries come from a sample, so the counting pass and the
+numbering pass must read the same frame.
 
 With ``N`` rows, ``b = N div n`` and ``r = N mod n``, the first ``r`` buckets
 hold ``b + 1`` rows and the rest ``b`` — the SQL definition of ``ntile``.
@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_lakehouse.session import ensure_checkpoint_dir
+from retail_lakehouse.session import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | row index
 
@@ -33,14 +33,15 @@ def row_positions(df: DataFrame, order: Sequence[Column | str], partitions: int
     """Add the 1-based global position of every row under ``order`` (which
     must be a total order) and the row total, without a single-task window."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     sort = _sort_cols(order)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    framed = (
+    # The row id encodes (range partition, position inside it); writing it
+    # fixes the frame, so the counting pass and the numbering pass agree.
+    framed = materialize(
         df.repartitionByRange(n_parts, *sort)
         .sortWithinPartitions(*sort)
-        .withColumn("_rid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("_rid", F.monotonically_increasing_id()),
+        "ntile-frame",
     )
     part = F.shiftright(F.col("_rid"), _LOCAL_BITS)
     local = F.col("_rid") - F.shiftleft(part, _LOCAL_BITS)

@@ -17,7 +17,7 @@ from retail_lakehouse.plans import reports as R
 from retail_lakehouse.plans import warehouse as W
 from retail_lakehouse.plans.silver import SILVER_BUILDERS
 from retail_lakehouse.schemas import BY_TABLE
-from retail_lakehouse.session import ensure_checkpoint_dir, prepare
+from retail_lakehouse.session import materialize, prepare
 from retail_lakehouse.sources import driver_tables as D
 
 
@@ -25,10 +25,11 @@ class Lakehouse:
     def __init__(self, bronze_source: Callable[[str], DataFrame], week_start: str = "sunday",
                  day_basis: str = "calendar", ntile_partitions: int | None = None,
                  materialize: bool = False):
-        """``materialize``: checkpoint every silver, gold and mart table the
-        first time it is used (to the shared checkpoint folder), for outputs
+        """``materialize``: write every silver, gold and mart table the first
+        time it is used (parquet in the shared checkpoint folder), for outputs
         that read many layers many times (quality suite, report check) —
-        each layer is then computed once and its lineage is cut."""
+        each layer is then computed once, its lineage is cut, and readers
+        prune columns."""
         self._bronze_source = bronze_source
         self.week_start = week_start
         self.day_basis = day_basis
@@ -53,8 +54,7 @@ class Lakehouse:
         if key not in self._memo:
             df = build()
             if self.materialize and key.split(".")[0] in ("silver", "gold", "mart"):
-                ensure_checkpoint_dir(df.sparkSession)
-                df = df.checkpoint(eager=True)
+                df = materialize(df, key.replace(".", "-"))
             self._memo[key] = df
         return self._memo[key]
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -59,3 +60,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     target = configured or tempfile.mkdtemp(prefix="retail-lakehouse-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
+
+
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and return
+    the written table.
+
+    Cuts the lineage (a lost executor recomputes nothing before this point)
+    like ``checkpoint()``, but the copy is columnar: later readers prune to
+    the columns they use. Each call writes a new folder, so a rerun never
+    overwrites what another reader may be reading.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/materialized/{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -108,3 +108,21 @@ def test_layers_from_ingested_bronze(spark, scratch):
     assert prods == {"product-1": "books", "product-2": "toys"}
     kpi = lh.report("report_executive_kpis").first()
     assert (kpi.total_orders, kpi.total_items) == (2, 2)
+
+
+def test_build_all_writes_every_layer_and_runs_checks(spark, scratch):
+    from retail_lakehouse.plans.pipeline import build_all
+    landing = _landing(spark, scratch)
+    bronze = os.path.join(scratch, "bronze")
+    I.ingest_bronze(spark, landing, bronze)
+    lh = Lakehouse.from_bronze(spark, I.bronze_tables(spark, bronze))
+    out = build_all(spark, lh, os.path.join(scratch, "lake"))
+    assert out["rows"]["silver.orders"] == 2
+    assert out["rows"]["gold.fct_orders"] == 2
+    assert out["rows"]["gold.mart_customer_rfm"] == 2
+    assert out["reports"]["report_executive_kpis"] == 1
+    # item of order-2 has no price; seller-2 / customer-2 zips have no geolocation rows; the
+    # fixture's order_status values are all accepted
+    assert "accepted_values_silver_orders_order_status" not in out["failed_checks"]
+    assert set(out["failed_checks"]) <= {"not_null_silver_geolocation_zip_code_prefix",
+                                         "relationships_fct_orders_order_purchase_date__dim_date_date_day"}

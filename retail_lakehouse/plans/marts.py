@@ -8,7 +8,7 @@ No status filter anywhere: canceled orders count in every mart.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_lakehouse.functions.columns import (
@@ -18,6 +18,7 @@ from retail_lakehouse.functions.columns import (
     exact_quotient,
 )
 from retail_lakehouse.operators.ntile import distributed_ntile
+from retail_lakehouse.session import materialize
 
 
 def _sum16(c: str):
@@ -147,19 +148,35 @@ def rfm_metrics(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     )
 
 
-def mart_customer_rfm(fct_orders: DataFrame, dim_customers: DataFrame, partitions: int | None = None) -> DataFrame:
+SINGLE_TASK_NTILE_ROWS = 250_000
+
+
+def mart_customer_rfm(fct_orders: DataFrame, dim_customers: DataFrame, partitions: int | None = None,
+                      single_task_rows: int = SINGLE_TASK_NTILE_ROWS) -> DataFrame:
     """RFM scores by quintile: recency 5 = most recent, frequency and monetary
     5 = highest. Ties are broken by ``customer_unique_id`` so the scores are
-    repeatable; each quintile is a distributed ntile (no single-task window).
+    repeatable.
+
+    The metrics (one row per person) are written once to the shared
+    checkpoint folder and counted. Up to ``single_task_rows`` people, the
+    three quintiles are plain ``ntile`` windows — one task, but on a checked,
+    bounded number of rows; beyond it, each quintile is a distributed ntile,
+    so no task ever ranks more than its range partition.
     """
-    m = rfm_metrics(fct_orders, dim_customers)
+    m = materialize(rfm_metrics(fct_orders, dim_customers), "rfm-metrics")
     tie = F.col("customer_unique_id").asc_nulls_first()
-    m = distributed_ntile(m, 5, [F.col("recency_days").asc_nulls_first(), tie], "recency_score",
-                          reverse=True, partitions=partitions)
-    m = distributed_ntile(m, 5, [F.col("order_count").asc_nulls_first(), tie], "frequency_score",
-                          partitions=partitions)
-    m = distributed_ntile(m, 5, [F.col("monetary_value").asc_nulls_first(), tie], "monetary_score",
-                          partitions=partitions)
+    orders = {
+        "recency_score": [F.col("recency_days").asc_nulls_first(), tie],
+        "frequency_score": [F.col("order_count").asc_nulls_first(), tie],
+        "monetary_score": [F.col("monetary_value").asc_nulls_first(), tie],
+    }
+    if m.count() <= single_task_rows:
+        for name, order in orders.items():
+            bucket = F.ntile(5).over(Window.orderBy(*order))
+            m = m.withColumn(name, (F.lit(6) - bucket if name == "recency_score" else bucket).cast("int"))
+    else:
+        for name, order in orders.items():
+            m = distributed_ntile(m, 5, order, name, reverse=name == "recency_score", partitions=partitions)
     return m.select(
         "customer_unique_id",
         "snapshot_date",

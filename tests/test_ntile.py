@@ -20,3 +20,13 @@ def test_distributed_ntile_equals_window_ntile(spark, n_rows, n, distinct, parts
     assert got == expect
     rev = {r["id"]: r["b"] for r in distributed_ntile(df, n, order, "b", reverse=True, partitions=parts).collect()}
     assert rev == {k: n + 1 - v for k, v in expect.items()}
+
+
+def test_rfm_size_switch_gives_same_scores(spark):
+    from retail_lakehouse.plans.layers import Lakehouse
+    from retail_lakehouse.plans.marts import mart_customer_rfm
+    lh = Lakehouse.from_driver(spark, "/root/testdata/sf0.001")
+    fo, dc = lh.gold("fct_orders"), lh.gold("dim_customers")
+    small = sorted(map(tuple, mart_customer_rfm(fo, dc).collect()))
+    dist = sorted(map(tuple, mart_customer_rfm(fo, dc, partitions=3, single_task_rows=0).collect()))
+    assert small == dist and len(small) > 0

@@ -58,6 +58,25 @@ class Lakehouse:
             self._memo[key] = df
         return self._memo[key]
 
+    def build_layers(self, max_workers: int = 4) -> "Lakehouse":
+        """With ``materialize``: write silver, then gold, then marts, each tier's
+        independent tables as concurrent Spark jobs (one driver thread per
+        table), so small jobs share the cluster instead of running one by one.
+        Without ``materialize`` building is lazy and this is a no-op."""
+        if not self.materialize:
+            return self
+        from concurrent.futures import ThreadPoolExecutor
+
+        tiers = [
+            [(self.silver, n) for n in SILVER_NAMES],
+            [(self.gold, n) for n in GOLD_NAMES],
+            [(self.mart, n) for n in MART_NAMES],
+        ]
+        with ThreadPoolExecutor(max_workers=max_workers) as pool:
+            for tier in tiers:
+                list(pool.map(lambda job: job[0](job[1]), tier))
+        return self
+
     # -- layers ---------------------------------------------------------------
     def bronze(self, table_name: str) -> DataFrame:
         if table_name not in BY_TABLE:

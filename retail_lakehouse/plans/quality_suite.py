@@ -87,4 +87,7 @@ def table_resolver(lh: Lakehouse):
 
 
 def data_quality_suite(lh: Lakehouse, suite=SUITE) -> DataFrame:
+    """All checks of ``suite`` as one DataFrame. With a materializing
+    Lakehouse, every layer is written once first (tiers built concurrently)."""
+    lh.build_layers()
     return run_checks(table_resolver(lh), suite)

@@ -43,7 +43,7 @@ def _report_q(name: str) -> Query:
 
 
 def _check_reports(spark: SparkSession, sf: str) -> DataFrame:
-    lh = Lakehouse.from_driver(spark, sf, materialize=True)
+    lh = Lakehouse.from_driver(spark, sf, materialize=True).build_layers()
     return check_reports({n: lh.report(n) for n in REPORT_NAMES})
 
 

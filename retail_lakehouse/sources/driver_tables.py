@@ -56,45 +56,6 @@ CATEGORY_TRANSLATIONS = {"economy": "budget", "large": "bulky", "medium": "stand
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-def spread_small_scan(df: DataFrame, min_rows_per_task: int = 50_000) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A parquet file with a single row group is read by one task, and all work
-    before the first shuffle (text formatting, casts, hashing, partial
-    aggregates) would run on that task alone. When the scan has fewer splits
-    than ``spark.default.parallelism`` and enough rows to be worth it, the rows
-    are spread once. A large input arrives in many splits, so at scale this
-    never adds an exchange. Split count and row count come from file metadata
-    (planning and footers), not from reading data.
-    """
-    spark = df.sparkSession
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave as is
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    if splits >= cores:
-        return df
-    rows = _footer_rows(df)
-    if rows is None or rows < min_rows_per_task * 2:
-        return df
-    return df.repartition(min(cores, max(2, rows // min_rows_per_task)))
-
-
-def _footer_rows(df: DataFrame) -> int | None:
-    """Row count from parquet footers (no data pages read)."""
-    try:
-        import pyarrow.parquet as pq
-
-        total = 0
-        for f in df.inputFiles():
-            path = f.removeprefix("file://").removeprefix("file:")
-            total += pq.ParquetFile(path).metadata.num_rows
-        return total
-    except Exception:
-        return None
-
-
 # Declared schemas of the star-schema tables: no footer-reading job to infer
 # them, and a changed file fails loudly instead of flowing through.
 DRIVER_SCHEMAS = {
@@ -115,7 +76,7 @@ DRIVER_SCHEMAS = {
 def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     prepare(spark)
     return {
-        t: spread_small_scan(spark.read.schema(DRIVER_SCHEMAS[t]).parquet(f"{sf_dir}/{t}.parquet"))
+        t: spark.read.schema(DRIVER_SCHEMAS[t]).parquet(f"{sf_dir}/{t}.parquet")
         for t in DRIVER_TABLES
     }
 

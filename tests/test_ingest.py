@@ -111,7 +111,7 @@ def test_layers_from_ingested_bronze(spark, scratch):
 
 
 def test_build_all_writes_every_layer_and_runs_checks(spark, scratch):
-    from retail_lakehouse.plans.pipeline import build_all
+    from retail_lakehouse.plans.build import build_all
     landing = _landing(spark, scratch)
     bronze = os.path.join(scratch, "bronze")
     I.ingest_bronze(spark, landing, bronze)

@@ -43,3 +43,15 @@ def test_daily_slice_keeps_only_related_rows(spark, scratch):
     # the quoted multi-line review survives the round trip
     msg = day["olist_order_reviews"].first().review_comment_message
     assert msg == 'line one\nline "two"'
+
+
+def test_source_summary_rejects_invalid_purchase_timestamp(spark, scratch):
+    build_source(scratch, {"olist_orders": [{"order_id": "x", "order_purchase_timestamp": "not a date"}]})
+    with pytest.raises(Exception):
+        source_summary(spark, scratch)
+
+
+def test_run_status_domain(spark, scratch):
+    from retail_lakehouse.plans.ingest import record_run
+    with pytest.raises(ValueError):
+        record_run(spark, scratch, "b1", None, "paused")

@@ -6,7 +6,9 @@ Each check returns its *failing* rows (what a schema test query returns);
 
 Scale: the not-null, accepted-value and range checks of one table are fused
 into a single aggregate pass; ``unique`` is one partial+final aggregate on the
-column; ``relationships`` is one anti join. No rows reach the driver.
+column; ``relationships`` counts child rows per key (map-side partial) and
+anti-joins those counts with the distinct parent keys. No rows reach the
+driver.
 """
 
 from __future__ import annotations
@@ -39,6 +41,21 @@ def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str
     return child.where(F.col(col).isNotNull()).join(p, F.col(col) == p["_parent_key"], "left_anti")
 
 
+def orphan_keys(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
+    """Orphan child keys with their row counts: ``relationships`` grouped by
+    key. The child is counted per key *before* the anti join (partial
+    aggregate in every map task), so a key holding a third of the child rows
+    crosses the shuffle as one row per map task, and the parent side is its
+    distinct keys."""
+    per_key = (
+        child.where(F.col(col).isNotNull())
+        .groupBy(F.col(col).alias("_child_key")).agg(F.count(F.lit(1)).alias("n_records"))
+    )
+    p = parent.select(F.col(parent_col).alias("_parent_key")).distinct()
+    return per_key.join(p, per_key["_child_key"] == p["_parent_key"], "left_anti").withColumnRenamed(
+        "_child_key", col)
+
+
 def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     """Distinct non-NULL values outside ``values``, with their counts."""
     return (
@@ -109,8 +126,9 @@ def run_checks(tables: Mapping[str, DataFrame] | Callable[[str], DataFrame],
             failing = unique(get(c.table), c.column).agg(F.count(F.lit(1)).alias("_n"))
             parts.append(failing.select(*_result(c, F.col("_n"))))
         elif c.kind == "relationships":
-            failing = relationships(get(c.table), c.column, get(c.to_table), c.to_column)
-            parts.append(failing.agg(F.count(F.lit(1)).alias("_n")).select(*_result(c, F.col("_n"))))
+            failing = orphan_keys(get(c.table), c.column, get(c.to_table), c.to_column)
+            parts.append(failing.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
+                         .select(*_result(c, F.col("_n"))))
         else:
             raise ValueError(f"unknown check kind {c.kind!r}")
     for table, checks in fused.items():

@@ -16,6 +16,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # In local mode the driver JVM also runs every task; Spark's 1 GB
+            # default heap makes it spend its time in GC. Only applies when
+            # this call starts the JVM.
+            builder = builder.config("spark.driver.memory", local_driver_memory())
     cpus = os.cpu_count() or 8
     builder = (
         builder.config("spark.ui.enabled", "false")
@@ -33,6 +38,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def local_driver_memory() -> str:
+    """Half of the machine's memory (at least 1 GB, at most 16 GB), or
+    ``RETAIL_LAKEHOUSE_DRIVER_MEMORY``."""
+    configured = os.environ.get("RETAIL_LAKEHOUSE_DRIVER_MEMORY")
+    if configured:
+        return configured
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, total // 2 // 2**30))}g"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings every table operator relies on (idempotent).
 

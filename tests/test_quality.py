@@ -10,3 +10,13 @@ def test_single_checks_return_failing_rows(spark):
     assert sorted(r.k for r in relationships(df, "k", parent, "k").collect()) == ["b"]
     assert [(r.score, r.n_records) for r in accepted_values(df, "score", [1, 2, 3, 4, 5]).collect()] == [(9, 1)]
     assert [r.id for r in non_negative(df, ["amount"]).collect()] == [2]
+
+
+def test_orphan_keys_counts_rows_of_each_missing_key(spark):
+    from retail_lakehouse.operators.quality import orphan_keys
+    child = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,), ("b",)], "k string")
+    parent = spark.createDataFrame([("a",), ("a",), ("c",)], "k string")
+    got = {(r.k, r.n_records) for r in orphan_keys(child, "k", parent, "k").collect()}
+    assert got == {("b", 3)}
+    # the suite's count equals the row-level definition
+    assert relationships(child, "k", parent, "k").count() == 3

@@ -68,13 +68,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when none is configured (tests, local runs)
-    create one of our own."""
+    ``spark.checkpoint.dir``; only when none is configured in local mode
+    (tests, local runs) create one of our own. On a cluster an unset folder
+    is an error, never a machine-local fallback."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        # Executors on other machines could not read a folder on this one.
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
     target = configured or tempfile.mkdtemp(prefix="retail-lakehouse-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target

@@ -105,9 +105,12 @@ def _decimal_text(c: Column, precision: int = 12, scale: int = 2) -> Column:
 
 
 def _geo(t: dict[str, DataFrame]) -> DataFrame:
-    # nation and region are fixed 25- and 5-row dimensions.
+    # No broadcast hint: the planner broadcasts nation and region (25 and 5
+    # rows in TPC-H) only while their size statistic is under
+    # spark.sql.autoBroadcastJoinThreshold, and AQE re-checks it from the
+    # runtime size; a larger table would be shuffled instead.
     return (
-        t["nation"].join(F.broadcast(t["region"]), F.col("n_regionkey") == F.col("r_regionkey"))
+        t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
         .select("n_nationkey", "n_name", "r_name")
     )
 
@@ -192,7 +195,7 @@ def raw_order_reviews(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def raw_customers(t: dict[str, DataFrame]) -> DataFrame:
-    c = t["customer"].join(F.broadcast(_geo(t)), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    c = t["customer"].join(_geo(t), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return c.select(
         F.col("c_custkey").cast("string").alias("customer_id"),
         _idiv(F.col("c_custkey"), 2).cast("string").alias("customer_unique_id"),
@@ -218,7 +221,7 @@ def raw_products(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def raw_sellers(t: dict[str, DataFrame]) -> DataFrame:
-    s = t["supplier"].join(F.broadcast(_geo(t)), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    s = t["supplier"].join(_geo(t), F.col("s_nationkey") == F.col("n_nationkey"), "left")
     return s.select(
         F.col("s_suppkey").cast("string").alias("seller_id"),
         F.col("s_nationkey").cast("string").alias("seller_zip_code_prefix"),
@@ -228,7 +231,7 @@ def raw_sellers(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def raw_geolocation(t: dict[str, DataFrame]) -> DataFrame:
-    geo = F.broadcast(_geo(t))
+    geo = _geo(t)
 
     def points(df: DataFrame, nation: str, bal: str) -> DataFrame:
         return df.join(geo, F.col(nation) == F.col("n_nationkey"), "left").select(

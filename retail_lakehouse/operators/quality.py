@@ -43,17 +43,23 @@ def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str
 
 def orphan_keys(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Orphan child keys with their row counts: ``relationships`` grouped by
-    key. The child is counted per key *before* the anti join (partial
+    key. The child is counted per key *before* it meets the parent (partial
     aggregate in every map task), so a key holding a third of the child rows
-    crosses the shuffle as one row per map task, and the parent side is its
-    distinct keys."""
+    crosses the shuffle as one row per map task; the parent side is its
+    distinct keys. Written as a left outer join plus ``IS NULL`` rather than
+    an anti join, because Catalyst pushes an anti join below the aggregate,
+    which would shuffle raw child rows whenever the parent is too big to
+    broadcast."""
     per_key = (
         child.where(F.col(col).isNotNull())
         .groupBy(F.col(col).alias("_child_key")).agg(F.count(F.lit(1)).alias("n_records"))
     )
     p = parent.select(F.col(parent_col).alias("_parent_key")).distinct()
-    return per_key.join(p, per_key["_child_key"] == p["_parent_key"], "left_anti").withColumnRenamed(
-        "_child_key", col)
+    return (
+        per_key.join(p, per_key["_child_key"] == p["_parent_key"], "left")
+        .where(F.col("_parent_key").isNull())
+        .select(F.col("_child_key").alias(col), "n_records")
+    )
 
 
 def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:

@@ -89,8 +89,12 @@ def mart_seller_performance(dim_sellers: DataFrame, fct_order_items: DataFrame,
         F.col("order_purchase_date").alias("_o_date"),
         F.col("average_review_score").alias("_o_score"),
     )
+    # (seller, order) pairs are made distinct before the join (map-side
+    # partial first), so an order with many lines of one seller meets the
+    # orders table once; the distinct after the join only removes copies of
+    # repeated order rows and reuses the join's partitioning.
     seller_orders = (
-        fct_order_items.select("seller_id", "order_id")
+        fct_order_items.select("seller_id", "order_id").distinct()
         .join(o, F.col("order_id") == F.col("_o_order_id"), "inner")
         .select("seller_id", "order_id", "_o_date", "_o_score")
         .distinct()

@@ -73,3 +73,15 @@ def test_scans_read_only_the_columns_they_use(spark):
     for s in schemas:
         for unused in ("l_quantity", "l_discount", "l_linestatus"):
             assert unused not in s
+
+
+def test_sales_by_state_rolls_orders_up_per_customer_before_the_join(spark):
+    lines = plan(registry.queries()["report_sales_by_state"](spark, SF))
+    assert directly_below(lines, r"Exchange hashpartitioning\(customer_id#\d+, \d+\)",
+                          r"HashAggregate\(keys=\[customer_id#\d+\], functions=\[partial_count")
+
+
+def test_seller_order_pairs_are_combined_before_the_join(spark):
+    lines = plan(registry.queries()["mart_seller_performance"](spark, SF))
+    assert directly_below(lines, r"Exchange hashpartitioning\(seller_id#\d+, order_id#\d+, \d+\)",
+                          r"HashAggregate\(keys=\[seller_id#\d+, order_id#\d+\], functions=\[\]")

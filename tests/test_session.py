@@ -44,3 +44,11 @@ def test_cluster_uses_the_configured_folder():
 
 def test_local_mode_creates_its_own_folder(spark):
     assert ensure_checkpoint_dir(spark)
+
+
+def test_ensure_layers_creates_each_schema_once(spark):
+    from retail_lakehouse.sources.landing import ensure_layers
+    ensure_layers(spark, "rl_test_bronze", "rl_test_silver")
+    ensure_layers(spark, "rl_test_bronze")  # idempotent
+    assert spark.catalog.databaseExists("rl_test_bronze")
+    assert spark.catalog.databaseExists("rl_test_silver")

@@ -66,6 +66,45 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Initial shuffle partitions: one per this many input bytes (AQE then merges
+# small partitions and splits skewed ones from the measured sizes).
+SHUFFLE_BYTES_PER_PARTITION = 256 * 1024 * 1024
+MAX_INITIAL_SHUFFLE_PARTITIONS = 100_000
+
+
+def initial_shuffle_partitions(input_bytes: int, parallelism: int) -> int:
+    """Partitions for ``input_bytes`` of input: one per
+    ``SHUFFLE_BYTES_PER_PARTITION``, at least the cluster's parallelism, at
+    most ``MAX_INITIAL_SHUFFLE_PARTITIONS``."""
+    wanted = -(-max(input_bytes, 0) // SHUFFLE_BYTES_PER_PARTITION)
+    return max(parallelism, min(MAX_INITIAL_SHUFFLE_PARTITIONS, wanted))
+
+
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int) -> int | None:
+    """Start AQE from enough shuffle partitions for the input, unless the
+    submitter chose a count. Spark's default of 200 would put ~500 GB into
+    each partition of a 100 TB job; here each starts near 256 MB and AQE
+    coalesces from the measured map output. Returns the count set, if any."""
+    chosen = spark.sparkContext.getConf()
+    if chosen.contains("spark.sql.shuffle.partitions") or \
+            chosen.contains("spark.sql.adaptive.coalescePartitions.initialPartitionNum"):
+        return None
+    n = initial_shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (one file-system metadata call
+    per path, no data read)."""
+    jvm, hconf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(hconf).getContentSummary(path).getLength()
+    return total
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``; only when none is configured in local mode

@@ -44,7 +44,7 @@ from pyspark.sql import Window
 from retail_lakehouse.functions.columns import row_hash
 from retail_lakehouse.operators.rows import dedupe_rows
 from retail_lakehouse.schemas import BY_TABLE
-from retail_lakehouse.session import prepare
+from retail_lakehouse.session import input_bytes, prepare, size_shuffle_partitions
 
 SNAPSHOT_DATE = date(2026, 1, 1)
 ESTIMATE_DAYS = 45
@@ -74,11 +74,12 @@ DRIVER_SCHEMAS = {
 
 
 def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star-schema tables, with shuffle partitions sized from their total
+    file size unless the session already chose a count."""
     prepare(spark)
-    return {
-        t: spark.read.schema(DRIVER_SCHEMAS[t]).parquet(f"{sf_dir}/{t}.parquet")
-        for t in DRIVER_TABLES
-    }
+    paths = {t: f"{sf_dir}/{t}.parquet" for t in DRIVER_TABLES}
+    size_shuffle_partitions(spark, input_bytes(spark, paths.values()))
+    return {t: spark.read.schema(DRIVER_SCHEMAS[t]).parquet(p) for t, p in paths.items()}
 
 
 def ts_text(c: Column) -> Column:

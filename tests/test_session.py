@@ -52,3 +52,51 @@ def test_ensure_layers_creates_each_schema_once(spark):
     ensure_layers(spark, "rl_test_bronze")  # idempotent
     assert spark.catalog.databaseExists("rl_test_bronze")
     assert spark.catalog.databaseExists("rl_test_silver")
+
+
+def test_initial_shuffle_partitions_follow_the_input_size():
+    from retail_lakehouse.session import initial_shuffle_partitions
+    mb = 1024 * 1024
+    assert initial_shuffle_partitions(10 * mb, 8) == 8                 # small input: the parallelism
+    assert initial_shuffle_partitions(100 * 1024 * 1024 * mb, 8) == 100_000  # 100 TB: the cap
+    assert initial_shuffle_partitions(1024 * 1024 * mb, 8) == 4096      # 1 TB: 256 MB each
+
+
+class _RuntimeConf:
+    def __init__(self):
+        self.values = {}
+
+    def set(self, k, v):
+        self.values[k] = v
+
+
+class _SizedContext(_Context):
+    defaultParallelism = 16
+
+    def getConf(self):
+        conf = self._conf
+
+        class _C:
+            def contains(self, key):
+                return key in conf.values
+        return _C()
+
+
+class _SizedSession:
+    def __init__(self, conf=None):
+        self.sparkContext = _SizedContext("yarn", conf or {})
+        self.conf = _RuntimeConf()
+
+
+def test_shuffle_partitions_are_sized_only_when_not_chosen():
+    from retail_lakehouse.session import size_shuffle_partitions
+    s = _SizedSession()
+    assert size_shuffle_partitions(s, 1024 ** 4) == 4096
+    assert s.conf.values["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "4096"
+    chosen = _SizedSession({"spark.sql.shuffle.partitions": "2000"})
+    assert size_shuffle_partitions(chosen, 1024 ** 4) is None and not chosen.conf.values
+
+
+def test_sessions_with_an_explicit_count_are_left_alone(spark):
+    from retail_lakehouse.session import size_shuffle_partitions
+    assert size_shuffle_partitions(spark, 10 ** 12) is None

@@ -85,15 +85,25 @@ def size_shuffle_partitions(spark: SparkSession, input_bytes: int) -> int | None
     submitter chose a count. Spark's default of 200 would put ~500 GB into
     each partition of a 100 TB job; here each starts near 256 MB and AQE
     coalesces from the measured map output. Returns the count set, if any."""
-    chosen = spark.sparkContext.getConf()
-    if chosen.contains("spark.sql.shuffle.partitions") or \
-            chosen.contains("spark.sql.adaptive.coalescePartitions.initialPartitionNum"):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    at_launch = spark.sparkContext.getConf()
+    if at_launch.contains("spark.sql.shuffle.partitions") or at_launch.contains(key):
+        return None
+    # Chosen at run time: a non-default count, or an initial count we did not set.
+    if spark.conf.get("spark.sql.shuffle.partitions", "200") != "200":
+        return None
+    current = spark.conf.get(key, None)
+    if current is not None and current != _SIZED.get(id(spark.sparkContext)):
         return None
     n = initial_shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set(key, str(n))
+    _SIZED[id(spark.sparkContext)] = str(n)
     return n
 
 
+_SIZED: dict[int, str] = {}  # the initial count this module set, per context
+
+
 def input_bytes(spark: SparkSession, paths) -> int:
     """Total size of the files under ``paths`` (one file-system metadata call
     per path, no data read)."""

@@ -69,6 +69,9 @@ class _RuntimeConf:
     def set(self, k, v):
         self.values[k] = v
 
+    def get(self, k, default=None):
+        return self.values.get(k, default)
+
 
 class _SizedContext(_Context):
     defaultParallelism = 16
@@ -100,3 +103,16 @@ def test_shuffle_partitions_are_sized_only_when_not_chosen():
 def test_sessions_with_an_explicit_count_are_left_alone(spark):
     from retail_lakehouse.session import size_shuffle_partitions
     assert size_shuffle_partitions(spark, 10 ** 12) is None
+
+
+def test_a_count_chosen_at_run_time_is_kept_and_ours_is_resized():
+    from retail_lakehouse.session import size_shuffle_partitions
+    s = _SizedSession()
+    s.conf.set("spark.sql.shuffle.partitions", "64")
+    assert size_shuffle_partitions(s, 1024 ** 4) is None
+    s = _SizedSession()
+    s.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "300")
+    assert size_shuffle_partitions(s, 1024 ** 4) is None
+    s = _SizedSession()
+    assert size_shuffle_partitions(s, 1024 ** 4) == 4096
+    assert size_shuffle_partitions(s, 2 * 1024 ** 4) == 8192  # our own earlier choice is updated

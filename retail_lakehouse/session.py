@@ -147,3 +147,24 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = f"{root}/materialized/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def purge_materialized(spark: SparkSession, older_than_seconds: float = 24 * 3600) -> int:
+    """Delete tables written by ``materialize`` that are older than
+    ``older_than_seconds``; returns how many were removed. Every run writes
+    new folders, so a table that a running query still reads is younger than
+    any sensible threshold. Meant for a periodic clean-up job."""
+    import time
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/materialized"
+    jvm, hconf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(hconf)
+    if not fs.exists(path):
+        return 0
+    cutoff_ms = (time.time() - older_than_seconds) * 1000
+    removed = 0
+    for status in fs.listStatus(path):
+        if status.isDirectory() and status.getModificationTime() < cutoff_ms:
+            removed += bool(fs.delete(status.getPath(), True))
+    return removed

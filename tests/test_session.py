@@ -116,3 +116,20 @@ def test_a_count_chosen_at_run_time_is_kept_and_ours_is_resized():
     s = _SizedSession()
     assert size_shuffle_partitions(s, 1024 ** 4) == 4096
     assert size_shuffle_partitions(s, 2 * 1024 ** 4) == 8192  # our own earlier choice is updated
+
+
+def test_purge_removes_only_old_materialized_tables(spark):
+    import os
+    import time
+
+    from retail_lakehouse.session import ensure_checkpoint_dir, materialize, purge_materialized
+    old = materialize(spark.range(3), "purge-old")
+    new = materialize(spark.range(4), "purge-new")
+    old_dir = old.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+    new_dir = new.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+    week_ago = time.time() - 7 * 24 * 3600
+    os.utime(old_dir, (week_ago, week_ago))
+    assert purge_materialized(spark, older_than_seconds=24 * 3600) >= 1
+    assert not os.path.exists(old_dir) and os.path.exists(new_dir)
+    assert new.count() == 4
+    assert ensure_checkpoint_dir(spark)

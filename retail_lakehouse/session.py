@@ -106,12 +106,17 @@ _SIZED: dict[int, str] = {}  # the initial count this module set, per context
 
 def input_bytes(spark: SparkSession, paths) -> int:
     """Total size of the files under ``paths`` (one file-system metadata call
-    per path, no data read)."""
+    per path, no data read). A path that cannot be measured (a glob, a
+    listing error) counts as 0: sizing is an optimization, the read itself
+    reports real errors."""
     jvm, hconf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     total = 0
     for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        total += path.getFileSystem(hconf).getContentSummary(path).getLength()
+        try:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            total += path.getFileSystem(hconf).getContentSummary(path).getLength()
+        except Exception:  # noqa: BLE001 - py4j wraps every JVM error
+            continue
     return total
 
 

@@ -133,3 +133,14 @@ def test_purge_removes_only_old_materialized_tables(spark):
     assert not os.path.exists(old_dir) and os.path.exists(new_dir)
     assert new.count() == 4
     assert ensure_checkpoint_dir(spark)
+
+
+def test_input_bytes_measures_files_and_skips_unmeasurable_paths(spark):
+    from retail_lakehouse.session import input_bytes
+    sf = "/root/testdata/sf0.001"
+    import os
+    if not os.path.isdir(sf):
+        return
+    size = os.path.getsize(f"{sf}/nation.parquet")
+    assert input_bytes(spark, [f"{sf}/nation.parquet"]) == size
+    assert input_bytes(spark, [f"{sf}/nation.parquet", f"{sf}/no-such-table.parquet", f"{sf}/*.parquet"]) == size

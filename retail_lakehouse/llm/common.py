@@ -35,3 +35,9 @@ def crc32_fold(doc_id, modulus: int):
 def buckets_for(rows: int, rows_per_bucket: int) -> int:
     """How many buckets keep each near ``rows_per_bucket`` rows."""
     return max(1, -(-rows // rows_per_bucket))
+
+
+def numbered(docs: DataFrame, name: str = "row__") -> DataFrame:
+    """A stable copy of ``docs`` with a number per row, so that rows alike in
+    every column can still be told apart by later joins."""
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")

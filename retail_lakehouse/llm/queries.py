@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lakehouse.llm import framefile, packing
+from retail_lakehouse.llm import exact_dedup, framefile, mixing, packing, url_lists
 
-# Folder of the public vocabularies, unless the caller names another.
+# Files of the public vocabularies.
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 SEQUENCE = packing.Capacity(tokens=2048, documents=2048, attention=2048 * 2048)
+MIX = mixing.Mix()
 
 
 def tokenizer_path(name: str) -> str:
@@ -29,16 +30,40 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path(BYTE_BPE), SEQUENCE, end_id=0)
 
 
+def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return url_lists.judge(url_lists.captures_of(pages), url_lists.list_of(pages))
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_copies(documents(spark, sf_dir)).drop("row__")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return framefile.token_files(spark, documents(spark, sf_dir), tokenizer_path(WORD_BPE), end_id=2)
 
 
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(documents(spark, sf_dir), MIX).drop("row__")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op3_url_lists": op3_url_lists,
+        "op4_exact_dedup": op4_exact_dedup,
         "op9_token_files": op9_token_files,
+        "op10_source_mix": op10_source_mix,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_url_lists": url_lists.ORACLE,
+        "op4_exact_dedup": """
+select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
+       count(*) over (partition by coalesce(text, '')) as group_size,
+       doc_id = max(doc_id) over (partition by coalesce(text, '')) as kept,
+       sha256(coalesce(text, '')) as text_sha256
+from documents""",
+    }

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from retail_lakehouse.llm import exact_dedup, framefile, mixing, packing, url_lists
+from retail_lakehouse.llm import exact_dedup, framefile, language_id, mixing, near_join, packing, url_lists
+from retail_lakehouse.llm.common import crc32_fold, numbered
 
 # Files of the public vocabularies.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -39,6 +41,21 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(documents(spark, sf_dir)).drop("row__")
 
 
+def language_dictionaries(docs: DataFrame) -> dict[str, bytes]:
+    """Learned from the documents whose fold is not 2."""
+    return language_id.learn(docs.where(crc32_fold(F.col("doc_id"), 4) != 2))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", crc32_fold(F.col("doc_id"), 4) == 2)
+    return language_id.identify(docs, language_dictionaries(docs), ["doc_id", "held_out"])
+
+
+def op6_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return near_join.near_copies(numbered(docs)).drop("row__", "class_row__")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return framefile.token_files(spark, documents(spark, sf_dir), tokenizer_path(WORD_BPE), end_id=2)
 
@@ -52,6 +69,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_best_fit_packing": op1_best_fit_packing,
         "op3_url_lists": op3_url_lists,
         "op4_exact_dedup": op4_exact_dedup,
+        "op5_language_id": op5_language_id,
+        "op6_near_join": op6_near_join,
         "op9_token_files": op9_token_files,
         "op10_source_mix": op10_source_mix,
     }

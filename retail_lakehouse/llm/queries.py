@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_lakehouse.llm import exact_dedup, framefile, language_id, mixing, near_join, packing, url_lists
+from retail_lakehouse.llm import exact_dedup, framefile, interpolated_lm, language_id, mixing, near_join, packing, url_lists
 from retail_lakehouse.llm.common import crc32_fold, numbered
 
 # Files of the public vocabularies.
@@ -32,6 +32,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path(BYTE_BPE), SEQUENCE, end_id=0)
 
 
+def op2_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score_texts(documents(spark, sf_dir), crc32_fold(F.col("doc_id"), 5) != 1)
+
+
 def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return url_lists.judge(url_lists.captures_of(pages), url_lists.list_of(pages))
@@ -67,6 +71,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op2_interpolated_lm": op2_interpolated_lm,
         "op3_url_lists": op3_url_lists,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_language_id": op5_language_id,

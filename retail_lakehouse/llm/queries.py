@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_lakehouse.llm import exact_dedup, framefile, interpolated_lm, language_id, mixing, near_join, packing, suffix_dedup, url_lists
+from retail_lakehouse.llm import exact_dedup, framefile, interpolated_lm, language_id, learned_ann, mixing, near_join, packing, suffix_dedup, url_lists
 from retail_lakehouse.llm.common import crc32_fold, numbered
 
 # Files of the public vocabularies.
@@ -60,6 +60,10 @@ def op6_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.near_copies(numbered(docs)).drop("row__", "class_row__")
 
 
+def op7_learned_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_ann.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.cleaned(documents(spark, sf_dir))
 
@@ -80,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_exact_dedup": op4_exact_dedup,
         "op5_language_id": op5_language_id,
         "op6_near_join": op6_near_join,
+        "op7_learned_ann": op7_learned_ann,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_token_files": op9_token_files,
         "op10_source_mix": op10_source_mix,

@@ -85,7 +85,7 @@ def shard_counts(quota: np.ndarray, blocks_per_shard: int, seed: int) -> np.ndar
             want -= int(draw.sum())
         due -= got
         rows.append(got)
-    return np.array(rows, dtype=np.int64).reshape(-1, len(quota))
+    return np.array(rows, dtype=np.int64).reshape(len(rows), len(quota))
 
 
 def permuted(place: np.ndarray, n: int, key: int) -> np.ndarray:

@@ -1,0 +1,111 @@
+import re
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from llm_helpers import SF, edge_rows, frame
+from retail_lakehouse.llm import mixing, queries
+from retail_lakehouse.llm.mixing import Mix
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def water_fill(sizes, weights, share=1.5, cap=2):
+    """By bisection on the common level."""
+    w = [weights[i % len(weights)] for i in range(len(sizes))]
+    lo, hi = 0.0, cap * max([*sizes, 1])
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if sum(min(mid * a, cap * s) for a, s in zip(w, sizes)) < share * sum(sizes) else (lo, mid)
+    return [min(hi * a, cap * s) for a, s in zip(w, sizes)]
+
+
+@pytest.mark.parametrize("sizes", [[100, 100, 100], [10, 1000, 10, 0, 5], [1], [0, 0], [5, 5, 5, 5, 5, 5, 900]])
+def test_targets(sizes):
+    found = mixing.targets(sizes, Mix())
+    assert np.allclose([float(x) for x in found], water_fill(sizes, (3, 1, 2)), atol=1e-6)
+    assert sum(found) == Fraction(3, 2) * sum(sizes)
+
+
+def test_permutation_is_one():
+    for n in (1, 2, 3, 7, 64, 1000, 5000):
+        p = mixing.permuted(np.arange(n), n, 12345 + n)
+        assert sorted(p.tolist()) == list(range(n))
+    assert mixing.permuted(np.arange(5000), 5000, 1).tolist() != mixing.permuted(np.arange(5000), 5000, 2).tolist()
+
+
+def test_shard_counts_end_on_the_quota():
+    quota = np.array([1000, 0, 10, 333])
+    counts = mixing.shard_counts(quota, 100, 3)
+    assert (counts.sum(axis=0) == quota).all() and (counts.sum(axis=1)[:-1] == 100).all()
+    assert counts[:, 0].std() > 0
+
+
+def check(spark, docs, tolerance):
+    rows = docs.collect()
+    found = mixing.taken_words(docs, queries.MIX).collect()
+    sizes = {}
+    for r in rows:
+        sizes[r["source"]] = sizes.get(r["source"], 0) + len(WORD.findall(r["text"] or ""))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    goal = dict(zip(order, water_fill([sizes[s] for s in order], (3, 1, 2))))
+    by_row = sorted(((r["doc_id"], len(WORD.findall(r["text"] or "")), sizes[r["source"]]) for r in rows), key=str)
+    assert sorted(((r["doc_id"], r["size"], r["source_size"]) for r in found), key=str) == by_row
+    assert all(r["taken"] <= 2 * r["size"] for r in found)
+    taken = {}
+    for r in found:
+        taken[r["target"]] = taken.get(r["target"], 0) + r["taken"]
+    wanted = {}
+    for s in order:
+        wanted[goal[s]] = wanted.get(goal[s], 0) + goal[s]
+    for target, total in taken.items():
+        near = min(wanted, key=lambda g: abs(g - target))
+        assert abs(near - target) < 1e-6 and abs(total - wanted[near]) <= tolerance * (wanted[near] / max(near, 1))
+    again = mixing.taken_words(docs, queries.MIX).drop("row__").collect()
+    assert sorted(map(str, again)) == sorted(str(r) for r in mixing.taken_words(docs, queries.MIX).drop("row__").collect())
+    return found
+
+
+def test_documents(spark):
+    check(spark, queries.documents(spark, SF), 100)
+
+
+def test_edge_rows(spark):
+    docs = frame(spark, edge_rows()).selectExpr("*", "1 as size", "2 as sid", "3 as block")
+    check(spark, docs, 64)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    taken = {}
+    for r in mixing.taken_words(docs).collect():
+        taken.setdefault(r["doc_id"], []).append(r["taken"])
+    words = {}
+    for r in mixed.collect():
+        words.setdefault(r["doc_id"], []).append(len(WORD.findall(r["text"])))
+        assert r["n_chars"] == len(r["text"])
+    assert {k: sorted(v) for k, v in words.items()} == {k: sorted(x for x in v if x) for k, v in taken.items() if any(v)}
+
+
+def test_empty_table(spark):
+    assert mixing.taken_words(frame(spark, [])).count() == 0
+    assert mixing.mixed_documents(frame(spark, [])).count() == 0
+
+
+def test_blocks_join_their_slots(spark):
+    mix = Mix(block_words=16, blocks_per_shard=50)
+    docs = queries.documents(spark, SF)
+    blocks = mixing.mixed_blocks(docs, mix).collect()
+    assert len({r["shard"] for r in blocks}) > 1
+    assert all(sum(s["words"] for s in r["segments"]) <= 16 for r in blocks)
+    uses = {}
+    for r in blocks:
+        uses[r["sid"], r["block"]] = uses.get((r["sid"], r["block"]), 0) + 1
+    assert max(uses.values()) <= 2
+    total = sum(s["words"] for r in blocks for s in r["segments"])
+    assert total == mixing.taken_words(docs, mix).agg({"taken": "sum"}).first()[0]
+
+
+def test_cut_text():
+    assert mixing.cut_text("a b\nc  d e", [(0, 2, 1), (2, 2, 1), (4, 1, 0)]) == "a b\nc  d"
+    assert mixing.cut_text("a b c d", [(0, 2, 2), (2, 2, 1)]) == "a b c d\na b"
+    assert mixing.cut_text("", []) == ""

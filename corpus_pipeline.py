@@ -1,19 +1,48 @@
-"""A corpus pipeline over ``documents``: each stage is one operator of ``retail_lakehouse.llm``."""
+"""A corpus pipeline over ``documents``: each stage is one operator of ``retail_lakehouse.llm``.
+
+Every stage works on all rows that the one before it kept, and but for the last
+returns the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lakehouse.llm import packing, queries
+from retail_lakehouse.llm import exact_dedup, language_id, mixing, near_join, packing, queries
 from retail_lakehouse.llm.common import shared_path
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: documents without letters, or whose decision is rejected, go."""
+    found = language_id.identify(docs, queries.language_dictionaries(docs), docs.columns)
+    return found.where("not rejected").select(*docs.columns)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Exact dedup: one row of each text stays."""
+    return exact_dedup.deduplicated(docs)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: one document of each group of near copies stays."""
+    return near_join.without_near_copies(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing sources to target weights: each document's text becomes the words the mix takes."""
+    return mixing.mixed_documents(docs, queries.MIX)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing of all that is left: one row per piece with its sequence and place."""
     return packing.pack_documents(docs, queries.tokenizer_path(queries.BYTE_BPE), queries.SEQUENCE, end_id=0)
 
 
 STAGES = [
+    ("language_id", known_language),
+    ("exact_dedup", without_copies),
+    ("near_join", without_near_copies),
+    ("source_mix", mixed),
     ("best_fit_packing", packed),
 ]
 

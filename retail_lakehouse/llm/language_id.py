@@ -93,13 +93,16 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str], m
     0 to 1) and rejected."""
     kept = [c for c in keep if c not in ADDED]
     # The text comes last under a name of its own, for kept columns may hold it as well.
-    source = docs.select(*kept, F.col("text").alias("text__"))
+    name = "text__"
+    while name in kept:
+        name += "_"
+    source = docs.select(*kept, F.col("text").alias(name))
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
 
     def predict(batches):
         by_lang = compressors(dictionaries)
         for batch in batches:
-            for part in slices(batch, "text__"):
+            for part in slices(batch, name):
                 found = [classify(t, by_lang, min_margin) for t in letters_only(part.column(len(kept)))]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array([f[0] for f in found], pa.string()),

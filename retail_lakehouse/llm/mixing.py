@@ -254,7 +254,8 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     def take(text: pd.Series, segments: pd.Series) -> pd.Series:
         return pd.Series([cut_text(t, [(s["first"], s["words"], s["uses"]) for s in seg]) for t, seg in zip(text, segments)])
 
-    out = rows.join(lists, "row__").withColumn("text", take("text", "segments__"))
+    # Most rows are taken from: a sort-merge join at every size.
+    out = rows.join(lists.hint("merge"), "row__").withColumn("text", take("text", "segments__"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

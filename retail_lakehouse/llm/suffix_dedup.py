@@ -270,7 +270,8 @@ def cut_out(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                     rows_ = out[at:at + 5000]
                     yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows_], f.type) for i, f in enumerate(schema)], schema=schema)
 
-    return rows.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "list").mapInArrow(
+    # Lists grow with the corpus: sort-merge joins at every size, here and below.
+    return rows.join(lists.hint("merge"), ["k1", "k2"]).select("k1", "k2", "text", "list").mapInArrow(
         cut, "key long, part int, core long, many boolean, k1 long, k2 long, lo long, far int, data binary")
 
 
@@ -373,4 +374,4 @@ def cleaned(docs: DataFrame, keep_bytes: bool = False) -> DataFrame:
 
     spark_schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (
         ", kept binary, spans array<struct<from: long, to: long>>" if keep_bytes else "")
-    return rows.join(lists, ["k1", "k2"], "left").select("doc_id", "text", "spans").mapInArrow(remove, spark_schema)
+    return rows.join(lists.hint("merge"), ["k1", "k2"], "left").select("doc_id", "text", "spans").mapInArrow(remove, spark_schema)

@@ -19,7 +19,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_lakehouse.session import materialize
+from retail_lakehouse.session import input_bytes, materialize
+
+# Range partitions of the numbered frame: one per this many stored input bytes
+# (columnar and compressed, so a task sorts a few times as much).
+FRAME_BYTES_PER_PARTITION = 64 * 1024 * 1024
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | row index
 
@@ -28,13 +32,22 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
 
+def frame_partitions(df: DataFrame, columns: int) -> int:
+    """Range partitions for ``columns`` columns of ``df``: from the size of the
+    files it reads (a table written before), at least the parallelism."""
+    spark, files = df.sparkSession, df.inputFiles()
+    folders = {f.rsplit("/", 1)[0] for f in files}
+    share = min(1.0, columns / max(1, len(df.columns)))
+    wanted = -(-int(input_bytes(spark, folders) * share) // FRAME_BYTES_PER_PARTITION)
+    return max(spark.sparkContext.defaultParallelism, wanted)
+
+
 def row_positions(df: DataFrame, order: Sequence[Column | str], partitions: int | None = None,
                   position_col: str = "_pos", total_col: str = "_total") -> DataFrame:
     """Add the 1-based global position of every row under ``order`` (which
     must be a total order) and the row total, without a single-task window."""
-    spark = df.sparkSession
     sort = _sort_cols(order)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = partitions or frame_partitions(df, len(df.columns))
     # The row id encodes (range partition, position inside it); writing it
     # fixes the frame, so the counting pass and the numbering pass agree.
     framed = materialize(
@@ -80,3 +93,32 @@ def distributed_ntile(df: DataFrame, n: int, order: Sequence[Column | str], out_
     if reverse:
         bucket = (F.lit(n + 1) - bucket).cast("int")
     return ranked.withColumn(out_col, bucket).drop("_pos", "_total")
+
+
+def bucket_starts(df: DataFrame, n: int, value: str, tie: str, partitions: int | None = None) -> list[tuple]:
+    """(value, tie) of the first row of buckets 2 … n of ``ntile(n)`` over
+    ascending (value, tie), NULLs first: what cuts the order into buckets.
+
+    Only these two columns of ``df`` (a stored table, ``tie`` unique) are sorted
+    and written; at most ``n - 1`` rows come back to the driver.
+    """
+    pair = df.select(F.col(value).alias("_value"), F.col(tie).alias("_tie"))
+    ranked = row_positions(pair, ["_value", "_tie"], partitions or frame_partitions(df, 2))
+    bucket = ntile_bucket(F.col("_pos"), F.col("_total"), n)
+    # The first position of a bucket is the one whose predecessor is in another.
+    previous = ntile_bucket(F.col("_pos") - 1, F.col("_total"), n)
+    first = ranked.where((F.col("_pos") > 1) & (bucket != previous)).select("_pos", "_value", "_tie")
+    return [(r["_value"], r["_tie"]) for r in sorted(first.collect(), key=lambda r: r["_pos"])]
+
+
+def bucket_by_starts(starts: Sequence[tuple], value: str, tie: str, value_type: str) -> Column:
+    """The bucket (1 …) of a row, given the first rows of the later buckets."""
+    row = F.struct(F.col(value).alias("v"), F.col(tie).alias("t"))
+    reached = [
+        (row >= F.struct(F.lit(v).cast(value_type).alias("v"), F.lit(t).cast("string").alias("t"))).cast("int")
+        for v, t in starts
+    ]
+    out = F.lit(1)
+    for r in reached:
+        out = out + r
+    return out.cast("int")

@@ -461,7 +461,7 @@ def layer_query(name: str) -> str:
 
 def check_reports_sql() -> str:
     parts = [
-        f"SELECT '{n}' AS report_name, count(*) AS row_count FROM (SELECT * FROM {n} LIMIT 100)"
+        f"SELECT '{n}' AS report_name, count(*) AS row_count FROM {n}"
         for n in REPORT
     ]
     return with_ctes("\nUNION ALL\n".join(parts))

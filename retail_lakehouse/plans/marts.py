@@ -8,7 +8,7 @@ No status filter anywhere: canceled orders count in every mart.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_lakehouse.functions.columns import (
@@ -17,7 +17,7 @@ from retail_lakehouse.functions.columns import (
     exact_avg,
     exact_quotient,
 )
-from retail_lakehouse.operators.ntile import distributed_ntile
+from retail_lakehouse.operators.ntile import bucket_by_starts, bucket_starts
 from retail_lakehouse.session import materialize
 
 
@@ -127,71 +127,63 @@ def mart_seller_performance(dim_sellers: DataFrame, fct_order_items: DataFrame,
 
 
 def rfm_metrics(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
-    """Per person: last order, recency against the day after the last order
-    overall, distinct orders, total and average payment."""
-    c = dim_customers.select(F.col("customer_id").alias("_c_id"), "customer_unique_id")
-    customer_orders = fct_orders.join(c, fct_orders["customer_id"] == c["_c_id"], "inner").select(
-        "customer_unique_id", "order_id", "order_purchase_date", "payment_total"
+    """Per person: last order, distinct orders, total and average payment.
+
+    Orders are rolled up per (customer, order) before they meet the customers,
+    so a customer key that holds a third of the orders crosses the shuffle as
+    one row per order and map task at most; payments are carried as sum and count
+    and the average is rebuilt from them exactly."""
+    per_order = fct_orders.groupBy("customer_id", "order_id").agg(
+        F.max("order_purchase_date").alias("_last"),
+        F.sum("payment_total").alias("_paid"),
+        F.count("payment_total").alias("_paid_n"),
     )
-    # Scalar subquery: one global aggregate, evaluated once and inlined.
-    snapshot = customer_orders.select(F.date_add(F.max("order_purchase_date"), 1)).scalar()
-    per_person = customer_orders.groupBy("customer_unique_id").agg(
-        F.max("order_purchase_date").alias("last_order_date"),
+    c = dim_customers.select(F.col("customer_id").alias("_c_id"), "customer_unique_id")
+    customer_orders = per_order.join(c, per_order["customer_id"] == c["_c_id"], "inner")
+    return customer_orders.groupBy("customer_unique_id").agg(
+        F.max("_last").alias("last_order_date"),
         F.count_distinct("order_id").alias("order_count"),
-        F.sum("payment_total").cast("decimal(16,2)").alias("monetary_value"),
-        exact_avg("payment_total", 2, input_scale=2, precision=14).alias("average_order_value"),
+        F.sum("_paid").cast("decimal(16,2)").alias("monetary_value"),
+        exact_quotient(F.sum("_paid"), F.sum("_paid_n"), 2, num_scale=2, precision=14).alias("average_order_value"),
     )
-    return per_person.select(
-        "customer_unique_id",
-        snapshot.alias("snapshot_date"),
-        "last_order_date",
-        F.datediff(snapshot, F.col("last_order_date")).alias("recency_days"),
-        "order_count",
-        "monetary_value",
-        "average_order_value",
-    )
-
 
-SINGLE_TASK_NTILE_ROWS = 250_000
 
-
-def mart_customer_rfm(fct_orders: DataFrame, dim_customers: DataFrame, partitions: int | None = None,
-                      single_task_rows: int = SINGLE_TASK_NTILE_ROWS) -> DataFrame:
+def mart_customer_rfm(fct_orders: DataFrame, dim_customers: DataFrame, partitions: int | None = None) -> DataFrame:
     """RFM scores by quintile: recency 5 = most recent, frequency and monetary
     5 = highest. Ties are broken by ``customer_unique_id`` so the scores are
-    repeatable.
+    repeatable. Recency counts from the day after the last order of all.
 
-    The metrics (one row per person) are written once to the shared
-    checkpoint folder and counted. Up to ``single_task_rows`` people, the
-    three quintiles are plain ``ntile`` windows — one task, but on a checked,
-    bounded number of rows; beyond it, each quintile is a distributed ntile,
-    so no task ever ranks more than its range partition.
+    The metrics (one row per person) are written once to the shared checkpoint
+    folder. Each quintile sorts two columns of them by range over the cluster
+    and returns the four rows that begin a quintile; a score is then a
+    comparison with these rows, so no person row is ranked in one task, joined or
+    written again.
     """
     m = materialize(rfm_metrics(fct_orders, dim_customers), "rfm-metrics")
-    tie = F.col("customer_unique_id").asc_nulls_first()
-    orders = {
-        "recency_score": [F.col("recency_days").asc_nulls_first(), tie],
-        "frequency_score": [F.col("order_count").asc_nulls_first(), tie],
-        "monetary_score": [F.col("monetary_value").asc_nulls_first(), tie],
-    }
-    if m.count() <= single_task_rows:
-        for name, order in orders.items():
-            bucket = F.ntile(5).over(Window.orderBy(*order))
-            m = m.withColumn(name, (F.lit(6) - bucket if name == "recency_score" else bucket).cast("int"))
-    else:
-        for name, order in orders.items():
-            m = distributed_ntile(m, 5, order, name, reverse=name == "recency_score", partitions=partitions)
-    return m.select(
+    snapshot = m.select(F.date_add(F.max("last_order_date"), 1)).scalar()
+    recency = F.datediff(snapshot, F.col("last_order_date"))
+    tie = "customer_unique_id"
+
+    def score(value: str):
+        return bucket_by_starts(bucket_starts(m, 5, value, tie, partitions), value, tie, m.schema[value].dataType.simpleString())
+
+    # The least recent has the oldest last order: recency ascending is the date
+    # descending, so its reversed bucket is found on the days themselves.
+    days = materialize(m.select(tie, recency.alias("recency_days")), "rfm-recency")
+    recent = bucket_by_starts(bucket_starts(days, 5, "recency_days", tie, partitions), "recency_days", tie, "int")
+    scored = m.select(
         "customer_unique_id",
-        "snapshot_date",
+        snapshot.alias("snapshot_date"),
         "last_order_date",
-        "recency_days",
+        recency.alias("recency_days"),
         "order_count",
         "monetary_value",
         "average_order_value",
-        "recency_score",
-        "frequency_score",
-        "monetary_score",
-        F.concat(F.col("recency_score").cast("string"), F.col("frequency_score").cast("string"),
-                 F.col("monetary_score").cast("string")).alias("rfm_score"),
     )
+    return scored.select(
+        "*",
+        (F.lit(6) - recent).cast("int").alias("recency_score"),
+        score("order_count").alias("frequency_score"),
+        score("monetary_value").alias("monetary_score"),
+    ).withColumn("rfm_score", F.concat(F.col("recency_score").cast("string"), F.col("frequency_score").cast("string"),
+                                       F.col("monetary_score").cast("string")))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
             # default heap makes it spend its time in GC. Only applies when
             # this call starts the JVM.
             builder = builder.config("spark.driver.memory", local_driver_memory())
-    cpus = os.cpu_count() or 8
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -29,9 +29,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if shuffle_partitions or (master or "").startswith("local"):
+        # Otherwise the submitter's count stands, or is sized from the input.
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or os.cpu_count() or 8))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     prepare(spark)
@@ -55,33 +57,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings every table operator relies on (idempotent).
 
     Business timestamps carry no zone in the source, so the session zone is
-    UTC; AQE re-plans joins and coalesces partitions from runtime sizes.
+    UTC; AQE re-plans joins and coalesces partitions from runtime sizes; ANSI
+    mode makes a failing plain cast an error (tolerant casts are ``try_cast``).
     """
-    conf = spark.conf
-    if conf.get("spark.sql.session.timeZone") != "UTC":
-        conf.set("spark.sql.session.timeZone", "UTC")
-    if conf.get("spark.sql.adaptive.enabled") != "true":
-        conf.set("spark.sql.adaptive.enabled", "true")
-    sc = spark.sparkContext
-    # On a cluster without a shared folder, only the operators that write
-    # there (materialize) fail; everything else runs.
-    if sc.master.startswith("local") or sc.getConf().contains("spark.checkpoint.dir"):
-        ensure_checkpoint_dir(spark)
+    for key, value in (("spark.sql.session.timeZone", "UTC"), ("spark.sql.adaptive.enabled", "true"),
+                       ("spark.sql.ansi.enabled", "true")):
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 
 # Initial shuffle partitions: one per this many input bytes (AQE then merges
 # small partitions and splits skewed ones from the measured sizes).
 SHUFFLE_BYTES_PER_PARTITION = 256 * 1024 * 1024
-MAX_INITIAL_SHUFFLE_PARTITIONS = 100_000
 
 
 def initial_shuffle_partitions(input_bytes: int, parallelism: int) -> int:
     """Partitions for ``input_bytes`` of input: one per
-    ``SHUFFLE_BYTES_PER_PARTITION``, at least the cluster's parallelism, at
-    most ``MAX_INITIAL_SHUFFLE_PARTITIONS``."""
-    wanted = -(-max(input_bytes, 0) // SHUFFLE_BYTES_PER_PARTITION)
-    return max(parallelism, min(MAX_INITIAL_SHUFFLE_PARTITIONS, wanted))
+    ``SHUFFLE_BYTES_PER_PARTITION``, at least the cluster's parallelism."""
+    return max(parallelism, -(-max(input_bytes, 0) // SHUFFLE_BYTES_PER_PARTITION))
 
 
 def size_shuffle_partitions(spark: SparkSession, input_bytes: int) -> int | None:
@@ -126,22 +120,27 @@ def input_bytes(spark: SparkSession, paths) -> int:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when none is configured in local mode
-    (tests, local runs) create one of our own. On a cluster an unset folder
-    is an error, never a machine-local fallback."""
+    ``spark.checkpoint.dir``. Only in local mode (tests, local runs) and only
+    where none is named, a folder of our own under the session's warehouse
+    takes its place and is removed when the process ends. On a cluster an unset
+    folder is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured and not sc.master.startswith("local"):
-        # Executors on other machines could not read a folder on this one.
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-    target = configured or tempfile.mkdtemp(prefix="retail-lakehouse-ckpt-")
+    target = sc.getConf().get("spark.checkpoint.dir", None)
+    if not target:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
+        target = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints-{uuid.uuid4().hex}"
+        atexit.register(shutil.rmtree, target.removeprefix("file:"), ignore_errors=True)
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 
 
+_WRITTEN: list[str] = []  # tables this process has materialized
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and return
     the written table.
@@ -155,9 +154,21 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/materialized/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete every table that this process has materialized so far; call it
+    when no result that reads them is needed any more. Returns how many went."""
+    jvm, hconf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        removed += bool(path.getFileSystem(hconf).delete(path, True))
+    return removed
+
+
 def purge_materialized(spark: SparkSession, older_than_seconds: float = 24 * 3600) -> int:
     """Delete tables written by ``materialize`` that are older than
     ``older_than_seconds``; returns how many were removed. Every run writes

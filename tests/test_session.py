@@ -58,7 +58,7 @@ def test_initial_shuffle_partitions_follow_the_input_size():
     from retail_lakehouse.session import initial_shuffle_partitions
     mb = 1024 * 1024
     assert initial_shuffle_partitions(10 * mb, 8) == 8                 # small input: the parallelism
-    assert initial_shuffle_partitions(100 * 1024 * 1024 * mb, 8) == 100_000  # 100 TB: the cap
+    assert initial_shuffle_partitions(100 * 1024 * 1024 * mb, 8) == 409_600  # 100 TB: 256 MB each as well
     assert initial_shuffle_partitions(1024 * 1024 * mb, 8) == 4096      # 1 TB: 256 MB each
 
 
@@ -144,3 +144,24 @@ def test_input_bytes_measures_files_and_skips_unmeasurable_paths(spark):
     size = os.path.getsize(f"{sf}/nation.parquet")
     assert input_bytes(spark, [f"{sf}/nation.parquet"]) == size
     assert input_bytes(spark, [f"{sf}/nation.parquet", f"{sf}/no-such-table.parquet", f"{sf}/*.parquet"]) == size
+
+def test_the_submitters_shuffle_partitions_stand():
+    """A session built without a master keeps the submitted count."""
+    import subprocess
+    import sys
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "from retail_lakehouse.session import build_session as b; s = b(); print('N', s.conf.get('spark.sql.shuffle.partitions'))"
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[1] --conf spark.sql.shuffle.partitions=2000 pyspark-shell", "PYTHONPATH": root}
+    out = subprocess.run([sys.executable, "-c", code], env=env, cwd=root, capture_output=True, text=True, timeout=300)
+    assert "N 2000" in out.stdout, out.stderr[-500:]
+
+
+def test_own_tables_are_dropped_when_asked(spark):
+    from retail_lakehouse.session import drop_materialized, materialize
+    t = materialize(spark.range(10), "t")
+    assert t.count() == 10
+    folder = t.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    import os
+    assert os.path.isdir(folder)
+    assert drop_materialized(spark) >= 1 and not os.path.exists(folder)

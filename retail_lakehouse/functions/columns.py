@@ -28,16 +28,6 @@ def try_type(c: ColumnLike, data_type: str | T.DataType) -> Column:
     return blank_to_null(c).try_cast(data_type)
 
 
-def money(c: ColumnLike, precision: int = 12, scale: int = 2) -> Column:
-    """Fixed-scale decimal (half-up on the way in)."""
-    return _col(c).cast(T.DecimalType(precision, scale))
-
-
-def safe_divide(num: ColumnLike, den: ColumnLike) -> Column:
-    """``num / nullif(den, 0)``."""
-    return _col(num) / F.nullif(_col(den), F.lit(0))
-
-
 def default_chain(*cols: ColumnLike, default=None) -> Column:
     parts = [_col(c) for c in cols]
     if default is not None:
@@ -48,9 +38,9 @@ def default_chain(*cols: ColumnLike, default=None) -> Column:
 # --- keys and fingerprints --------------------------------------------------
 
 def surrogate_key(cols: Sequence[ColumnLike], algo: str = "sha256", sep: str = "||") -> Column:
-    """Hash of the raw key parts joined by ``sep``. ``concat_ws`` skips NULL
-    parts, so a blank (NULL) part hashes as if absent."""
-    joined = F.concat_ws(sep, *[_col(c) for c in cols])
+    """Hash of the raw key parts joined by ``sep``. A blank part, NULL or '',
+    hashes as if absent (``concat_ws`` skips NULL)."""
+    joined = F.concat_ws(sep, *[blank_to_null(c) for c in cols])
     if algo == "md5":
         return F.md5(joined)
     if algo == "sha256":
@@ -58,17 +48,29 @@ def surrogate_key(cols: Sequence[ColumnLike], algo: str = "sha256", sep: str = "
     raise ValueError(f"unknown hash algorithm {algo!r}")
 
 
+# Control characters that Spark escapes with upper-case hex digits.
+_UPPER_HEX_ESCAPES = ("000B", "000E", "000F", "001A", "001B", "001C", "001D", "001E", "001F")
+
+
+def _lower_hex_escapes(json: Column) -> Column:
+    """JSON text with its ``\\u00XX`` escapes in lower-case hex; an escape is
+    told from an escaped backslash by the even number of backslashes before it."""
+    for code in _UPPER_HEX_ESCAPES:
+        json = F.regexp_replace(json, rf"(?<!\\)((?:\\\\)*)\\u{code}", rf"$1\\u{code.lower()}")
+    return json
+
+
 def row_hash(cols: Sequence[str], layout: str = "struct") -> Column:
     """Content fingerprint of a row.
 
     ``struct``: sha256 of the JSON object of the columns (NULL fields are
     omitted by ``to_json``). ``array``: sha256 of the JSON array of the values
-    with NULL read as ''.
+    with NULL read as '' and control characters escaped in lower-case hex.
     """
     if layout == "struct":
         payload = F.to_json(F.struct(*[F.col(c) for c in cols]))
     elif layout == "array":
-        payload = F.to_json(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in cols]))
+        payload = _lower_hex_escapes(F.to_json(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in cols])))
     else:
         raise ValueError(f"unknown row hash layout {layout!r}")
     return F.sha2(payload, 256)

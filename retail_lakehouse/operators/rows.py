@@ -1,5 +1,4 @@
-"""Row-level operators: deterministic deduplication, latest version, insert-only
-merge."""
+"""Row-level operators: deterministic deduplication, latest version, semi join."""
 
 from __future__ import annotations
 
@@ -36,14 +35,6 @@ def dedupe_rows(df: DataFrame, key: str = "_row_hash",
     return latest_version(df, key, list(order))
 
 
-def insert_new_rows(target: DataFrame | None, source: DataFrame, key: str = "_row_hash") -> DataFrame:
-    """Rows of ``source`` whose ``key`` is not yet in ``target`` (insert-only
-    merge). ``source`` must already be unique on ``key``."""
-    if target is None:
-        return source
-    return source.join(target.select(key), on=key, how="left_anti")
-
-
 def left_semi(df: DataFrame, keys: DataFrame, left_on: str, right_on: str | None = None,
               null_safe: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``left_on`` appears in ``keys``; ``null_safe``

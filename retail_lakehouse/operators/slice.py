@@ -21,6 +21,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retail_lakehouse.functions.columns import row_hash
 from retail_lakehouse.operators.rows import left_semi
 
 ORDERS = "olist_orders"
@@ -38,10 +39,20 @@ class SourceDataError(ValueError):
     """Missing or malformed source data."""
 
 
+PURCHASED = "order_purchase_timestamp"
+
+
+def bad_purchase_times() -> Column:
+    """Aggregate: rows whose purchase timestamp is blank or does not parse."""
+    return F.count_if(F.expr(f"try_to_timestamp(nullif({PURCHASED}, ''))").isNull())
+
+
 def purchase_date(orders: DataFrame) -> Column:
-    """Date of the purchase timestamp text. Strict: under ANSI mode a
-    malformed timestamp fails the job, as the replay does."""
-    return F.to_date(F.col("order_purchase_timestamp"))
+    """Date of the purchase timestamp text. Strict: a blank or malformed
+    timestamp, its time of day included, fails the job."""
+    when = F.expr(f"try_to_timestamp(nullif({PURCHASED}, ''))")
+    wrong = F.concat(F.lit("Orders contain an invalid purchase timestamp: "), F.coalesce(PURCHASED, F.lit("")))
+    return F.to_date(F.coalesce(when, F.raise_error(wrong).cast("timestamp")))
 
 
 # --- one day -------------------------------------------------------------------
@@ -163,11 +174,25 @@ def replay_plan(t: Mapping[str, DataFrame]) -> DataFrame:
     return out.select("batch_date", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in cols])
 
 
-def orders_summary(orders: DataFrame) -> DataFrame:
-    """Order count and first/last purchase date of a landing orders table."""
-    d = purchase_date(orders)
+def orders_summary(orders: DataFrame, strict: bool = True) -> DataFrame:
+    """Order count and first/last purchase date of a landing orders table;
+    unless ``strict``, timestamps that do not parse are passed over."""
+    d = purchase_date(orders) if strict else F.to_date(F.expr(f"try_to_timestamp(nullif({PURCHASED}, ''))"))
     return orders.agg(
         F.count(F.lit(1)).alias("orders"),
         F.min(d).alias("first_order_date"),
         F.max(d).alias("last_order_date"),
     )
+
+
+def slice_digest(t: Mapping[str, DataFrame], batch_date: date | str) -> DataFrame:
+    """The nine tables of one day's slice as one: (table_name, row_hash, copies),
+    a row's content hash with the number of equal rows."""
+    parts = [
+        df.select(F.lit(name).alias("table_name"), row_hash(df.columns).alias("row_hash"))
+        for name, df in daily_slice(t, batch_date).items()
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("table_name", "row_hash").agg(F.count(F.lit(1)).alias("copies"))

@@ -42,7 +42,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from retail_lakehouse.functions.columns import row_hash
-from retail_lakehouse.operators.rows import dedupe_rows
 from retail_lakehouse.schemas import BY_TABLE
 from retail_lakehouse.session import input_bytes, prepare, size_shuffle_partitions
 
@@ -312,9 +311,3 @@ def snapshot_bronze(t: dict[str, DataFrame], table_name: str, layout: str = "str
     that never read ``source_row_hash`` do not compute it at all.
     """
     return with_snapshot_lineage(raw_table(t, table_name).distinct(), table_name, layout)
-
-
-def snapshot_bronze_sorted(t: dict[str, DataFrame], table_name: str) -> DataFrame:
-    """The general rule (earliest landing per content hash); equal to
-    ``snapshot_bronze`` on a snapshot."""
-    return dedupe_rows(with_snapshot_lineage(raw_table(t, table_name), table_name))

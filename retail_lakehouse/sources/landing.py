@@ -6,9 +6,15 @@ CSV file or a folder of CSV part files (what ``write_daily_slice`` writes).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import csv
+import hashlib
+import io
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +25,8 @@ BATCH_DATE_PATTERN = r"/(\d{4}-\d{2}-\d{2})/"
 
 # Quoted fields may hold newlines and doubled quotes (RFC 4180).
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "encoding": "UTF-8"}
+HASH_BLOCK = 4 * 1024 * 1024
+FILE_FACTS = "source_file string, sha256 string, bytes long, header array<string>"
 
 
 def _dataset(d: Dataset | str) -> Dataset:
@@ -27,23 +35,77 @@ def _dataset(d: Dataset | str) -> Dataset:
     return BY_TABLE.get(d) or BY_FILE[d]
 
 
-def read_landing_csv(spark: SparkSession, path: str, dataset: Dataset | str) -> DataFrame:
-    """Read landing CSV with the dataset's all-string schema (never inferred).
-    Extra columns in a file are ignored by position only if the header
-    matches; columns are bound by the declared schema."""
+def _paths(path: str | Sequence[str]) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
+
+
+def file_facts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """One row per file under ``path`` (file, folder, glob or several): its name
+    as the CSV reader reports it, the sha256 of its bytes, its size and the CSV
+    header. The listing reads no contents; each file is then read in blocks by
+    the task that hashes it, so no file is ever held whole."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_paths(path)) \
+        .select(F.col("_metadata.file_path").alias("source_file"), "path", "length")
+
+    def read(batches):
+        for batch in batches:
+            rows = []
+            for name, place, length in zip(*(c.to_pylist() for c in batch.columns)):
+                place = place.replace("file:/", "file:///", 1) if place.startswith("file:/") and not place.startswith("file://") else place
+                fs, inside = pafs.FileSystem.from_uri(place) if "://" in place else (pafs.LocalFileSystem(), place)
+                digest, head = hashlib.sha256(), b""
+                with fs.open_input_stream(inside) as stream:
+                    while block := stream.read(HASH_BLOCK):
+                        digest.update(block)
+                        head = head or block
+                header = next(csv.reader(io.StringIO(head.decode("utf-8-sig", "ignore"), newline="")), [])
+                rows.append((name, digest.hexdigest(), length, header))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.list_(pa.string())))],
+                names=["source_file", "sha256", "bytes", "header"])
+
+    return files.mapInArrow(read, FILE_FACTS)
+
+
+def read_landing_csv(spark: SparkSession, path: str | Sequence[str], dataset: Dataset | str,
+                     facts: DataFrame | None = None) -> DataFrame:
+    """Read landing CSV as the dataset's all-string columns, bound by each
+    file's own header: order does not matter, further columns are ignored, and
+    a column the file lacks is blank. A blank value is the empty string,
+    whichever way it is written. ``_source_file`` names the row's file.
+
+    ``facts`` are the ``file_facts`` of the files under ``path`` (found if not
+    given). Files of one header, the usual case, are read without a join; the
+    distinct headers that come to the driver are few. A line equal to its file's
+    header is taken for the header.
+    """
     ds = _dataset(dataset)
-    reader = spark.read.schema(ds.schema)
-    for k, v in CSV_OPTIONS.items():
+    facts = facts if facts is not None else file_facts(spark, path)
+    kinds = [list(r["header"]) for r in facts.select("header").distinct().collect()]
+    width = max([len(h) for h in kinds], default=0)
+    if not width:
+        return spark.createDataFrame([], ds.schema.add("_source_file", "string"))
+    reader = spark.read.schema(", ".join(f"_c{i} string" for i in range(width))).option("recursiveFileLookup", "true")
+    for k, v in (CSV_OPTIONS | {"header": "false"}).items():
         reader = reader.option(k, v)
-    return reader.csv(path)
+    raw = reader.csv(_paths(path)).select(F.col("_metadata.file_path").alias("_source_file"),
+                                          F.array(*[F.coalesce(f"_c{i}", F.lit("")) for i in range(width)]).alias("_v"))
+    if len(kinds) == 1:
+        bound = raw.withColumn("_h", F.array(*[F.lit(n) for n in kinds[0]]))
+    else:
+        bound = raw.join(facts.select(F.col("source_file").alias("_source_file"), F.col("header").alias("_h")), "_source_file")
+    first = F.regexp_replace(F.get("_v", F.lit(0)), "^\ufeff", "")
+    own = F.concat(F.array(first), F.slice("_v", 2, width))
+    is_header = F.slice(own, 1, F.size("_h")) == F.col("_h")
+    return bound.where(~is_header).select(
+        *[F.coalesce(F.get("_v", F.array_position("_h", n).cast("int") - 1), F.lit("")).alias(n) for n in ds.columns], "_source_file")
 
 
 def with_provenance(df: DataFrame) -> DataFrame:
-    """``_source_file`` (full path), ``_batch_date`` (the day folder) and
-    ``_ingested_at``."""
+    """``_source_file`` (full path, as read), ``_batch_date`` (the day folder)
+    and ``_ingested_at``."""
     return (
-        df.withColumn("_source_file", F.col("_metadata.file_path"))
-        .withColumn("_batch_date", F.regexp_extract("_source_file", BATCH_DATE_PATTERN, 1).try_cast("date"))
+        df.withColumn("_batch_date", F.regexp_extract("_source_file", BATCH_DATE_PATTERN, 1).try_cast("date"))
         .withColumn("_ingested_at", F.current_timestamp())
     )
 
@@ -76,14 +138,18 @@ def missing_files(spark: SparkSession, batch_dir: str) -> list[str]:
 
 def source_summary(spark: SparkSession, source_dir: str) -> dict:
     """Orders count, first and last purchase date and missing files of a
-    source folder. Raises when the orders file is missing or empty; a
-    malformed purchase timestamp fails the aggregate (strict date parse)."""
-    from retail_lakehouse.operators.slice import SourceDataError, orders_summary
+    source folder. Raises when the orders file is missing or empty, or when any
+    purchase timestamp is blank or malformed."""
+    from retail_lakehouse.operators.slice import SourceDataError, bad_purchase_times, orders_summary
 
     orders_file = f"{source_dir}/{BY_TABLE['olist_orders'].filename}"
     if not path_exists(spark, orders_file):
         raise SourceDataError(f"Missing source file: {orders_file}")
-    row = orders_summary(read_landing_csv(spark, orders_file, "olist_orders")).first()
+    orders = read_landing_csv(spark, orders_file, "olist_orders")
+    bad = Observation()
+    row = orders_summary(orders.observe(bad, bad_purchase_times().alias("bad")), strict=False).first()
+    if bad.get["bad"]:
+        raise SourceDataError(f"Orders contain {bad.get['bad']} invalid purchase timestamps.")
     if row is None or row["orders"] == 0:
         raise SourceDataError("The orders source file is empty.")
     return {
@@ -108,24 +174,29 @@ def write_csv_counted(df: DataFrame, path: str) -> int:
 
 def write_daily_slice(tables: Mapping[str, DataFrame], landing_root: str, batch_date: date | str) -> dict[str, int]:
     """Write the nine slice tables under ``<landing>/<date>/<file>``; return
-    rows written per file."""
+    rows written per file. A day without orders is an error and leaves no day
+    folder; the other eight tables are written as concurrent jobs."""
+    from retail_lakehouse.operators.slice import ORDERS, SourceDataError
+
     day_dir = f"{landing_root}/{batch_date}"
-    counts = {}
-    for ds in DATASETS:
-        df = tables[ds.table_name].select(*ds.columns)
-        counts[ds.filename] = write_csv_counted(df, f"{day_dir}/{ds.filename}")
+    by_table = {ds.table_name: ds for ds in DATASETS}
+
+    def write(ds: Dataset) -> int:
+        return write_csv_counted(tables[ds.table_name].select(*ds.columns), f"{day_dir}/{ds.filename}")
+
+    spark = tables[ORDERS].sparkSession
+    existed = path_exists(spark, day_dir)
+    counts = {by_table[ORDERS].filename: write(by_table[ORDERS])}
+    if not counts[by_table[ORDERS].filename]:
+        fs, folder = _fs(spark, day_dir if not existed else f"{day_dir}/{by_table[ORDERS].filename}")
+        fs.delete(folder, True)
+        raise SourceDataError(f"No orders found for {batch_date}.")
+    rest = [ds for ds in DATASETS if ds.table_name != ORDERS]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        counts |= dict(zip([ds.filename for ds in rest], pool.map(write, rest)))
     return counts
 
 
-def file_checksums(spark: SparkSession, path_glob: str) -> DataFrame:
-    """sha256 of whole files (``binaryFile`` source: one file per row, so a
-    file must fit in a task's memory — fine for daily landing files)."""
-    return spark.read.format("binaryFile").load(path_glob).select(
-        F.col("path").alias("source_file"), F.sha2(F.col("content"), 256).alias("sha256"),
-        F.col("length").alias("bytes"),
-    )
-
-
 # --- layer storage ---------------------------------------------------------------
 
 def ensure_layers(spark: SparkSession, *schemas: str) -> None:

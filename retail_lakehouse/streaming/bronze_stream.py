@@ -1,18 +1,22 @@
 """Incremental bronze load with Structured Streaming (SM-1).
 
-Each dataset is a file stream over ``<landing>/*/<file>``; the stream's
-checkpoint remembers which files were read, so a run reads only new day
-folders. Every micro-batch is hashed, deduplicated and merged insert-only
-into bronze, then committed through the run ledger — the same storage and
-visibility rules as the batch ingest. Deduplication state is the bronze table
-itself (no watermark: content seen once is never inserted again).
+Each dataset is a stream of new files under ``<landing>/*/<file>``; the stream's
+checkpoint remembers which files were seen, so a run reads only new ones. A
+micro-batch names its files (at most ``max_files`` of them), which are loaded
+like any other batch: columns bound by each file's header, rows hashed,
+deduplicated, merged insert-only and committed through the run ledger.
+Deduplication state is the bronze table itself (no watermark: content seen once
+is never inserted again).
+
+The batch id follows from the epoch. If the process dies after the ledger's
+commit row but before the stream's own commit, the epoch is replayed: its batch
+id is found committed and nothing is touched. If it dies before the commit row,
+the replay overwrites the invisible partition.
 
 ``trigger(availableNow=True)`` processes everything present and stops, which
 suits a daily job; with a processing-time trigger the same code runs
-continuously.
-
-A day file overwritten in place is not read again by the stream; use the
-batch scan (``ingest_bronze``) for replays that rewrite folders.
+continuously. A day file overwritten in place is not read again by the stream;
+use the batch scan (``ingest_bronze``) for replays that rewrite folders.
 """
 
 from __future__ import annotations
@@ -24,38 +28,34 @@ from pyspark.sql import DataFrame, SparkSession
 from retail_lakehouse.plans import ingest as I
 from retail_lakehouse.schemas import DATASETS, Dataset
 from retail_lakehouse.session import prepare
-from retail_lakehouse.sources.landing import CSV_OPTIONS, with_provenance
+
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _landing_stream(spark: SparkSession, landing_root: str, ds: Dataset) -> DataFrame:
-    reader = spark.readStream.schema(ds.schema)
-    for k, v in CSV_OPTIONS.items():
-        reader = reader.option(k, v)
-    return with_provenance(reader.csv(f"{landing_root}/*/{ds.filename}"))
+def _file_stream(spark: SparkSession, landing_root: str, ds: Dataset, max_files: int) -> DataFrame:
+    """New files of a dataset, by name only (contents are pruned)."""
+    return (
+        spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", str(max_files)).load(f"{landing_root}/*/{ds.filename}").select("path")
+    )
 
 
-def _merge_batch(spark: SparkSession, bronze_root: str, ds: Dataset, query_tag: str):
+def merge_epoch(spark: SparkSession, bronze_root: str, ds: Dataset, query_tag: str):
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        # Deterministic batch id: a replayed epoch overwrites its own staging
-        # and re-commits, so the sink is idempotent.
-        batch_id = f"stream-{query_tag}-{ds.table_name}-{epoch_id}"
-        source = I.bronze_rows(batch, ds, batch_id)
-        target = I.read_bronze(spark, bronze_root, ds.table_name)
-        inserted = I._stage(I.insert_new_rows(target, source), bronze_root, ds.table_name, batch_id)
-        I.record_run(spark, bronze_root, batch_id, None, "succeeded", finished_at=I._now(),
-                     row_counts={ds.table_name: inserted})
+        paths = sorted(r["path"] for r in batch.collect())
+        I.ingest_files(spark, bronze_root, ds, paths, f"stream-{query_tag}-{ds.table_name}-{epoch_id}")
     return merge
 
 
 def stream_bronze(spark: SparkSession, landing_root: str, bronze_root: str, checkpoint_root: str,
-                  datasets: Sequence[Dataset] = DATASETS, query_tag: str = "landing") -> None:
-    """Load the day folders not yet seen by the stream, then stop. The
-    checkpoint must live on shared storage."""
+                  datasets: Sequence[Dataset] = DATASETS, query_tag: str = "landing", max_files: int = 1000) -> None:
+    """Load the files not yet seen by the stream, then stop. The checkpoint
+    must live on shared storage."""
     prepare(spark)
     for ds in datasets:
         q = (
-            _landing_stream(spark, landing_root, ds)
-            .writeStream.foreachBatch(_merge_batch(spark, bronze_root, ds, query_tag))
+            _file_stream(spark, landing_root, ds, max_files)
+            .writeStream.foreachBatch(merge_epoch(spark, bronze_root, ds, query_tag))
             .option("checkpointLocation", f"{checkpoint_root}/{ds.table_name}")
             .trigger(availableNow=True)
             .start()

@@ -578,3 +578,67 @@ def bronze_array_sql(table: str) -> str:
     return with_ctes(_bronze(table, cols).replace(
         f"sha256(to_json(struct_pack({', '.join(f'{c} := {c}' for c in cols)})))",
         f"sha256(to_json([{arr}]))"))
+
+
+def _json_hash(cols: tuple[str, ...]) -> str:
+    return f"sha256(to_json(struct_pack({', '.join(f'{c} := {c}' for c in cols)})))"
+
+
+# Rows of the nine tables that belong to the first purchase date.
+FIRST_DAY_SLICE = {
+    "olist_orders": "SELECT * FROM raw_olist_orders WHERE CAST(CAST(order_purchase_timestamp AS TIMESTAMP) AS DATE) = (SELECT min(batch_date) FROM sl_orders)",
+    "olist_order_items": "SELECT * FROM raw_olist_order_items WHERE order_id IN (SELECT order_id FROM fd_olist_orders)",
+    "olist_order_payments": "SELECT * FROM raw_olist_order_payments WHERE order_id IN (SELECT order_id FROM fd_olist_orders)",
+    "olist_order_reviews": "SELECT * FROM raw_olist_order_reviews WHERE order_id IN (SELECT order_id FROM fd_olist_orders)",
+    "olist_customers": "SELECT * FROM raw_olist_customers WHERE customer_id IN (SELECT customer_id FROM fd_olist_orders)",
+    "olist_products": "SELECT * FROM raw_olist_products WHERE product_id IN (SELECT product_id FROM fd_olist_order_items)",
+    "olist_sellers": "SELECT * FROM raw_olist_sellers WHERE seller_id IN (SELECT seller_id FROM fd_olist_order_items)",
+    "olist_geolocation": """SELECT * FROM raw_olist_geolocation WHERE geolocation_zip_code_prefix IN (
+        SELECT customer_zip_code_prefix FROM fd_olist_customers UNION SELECT seller_zip_code_prefix FROM fd_olist_sellers)""",
+    "product_category_name_translation": """SELECT * FROM raw_product_category_name_translation
+        WHERE product_category_name IN (SELECT product_category_name FROM fd_olist_products)""",
+}
+
+
+def operator_queries_sql() -> dict[str, str]:
+    """SQL of the queries in ``plans.operator_queries``, from the landing rows."""
+    cols = {d.table_name: d.columns for d in DATASETS}
+    slice_ctes = ",\n".join(f"fd_{t} AS ({q})" for t, q in FIRST_DAY_SLICE.items())
+    each = "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, {_json_hash(cols[t])} AS row_hash FROM fd_{t}" for t in FIRST_DAY_SLICE)
+    sliced = with_ctes("").rstrip() + f",\n{slice_ctes},\nfd_rows AS ({each})\n"
+    orders, customers = ", ".join(cols["olist_orders"]), ", ".join(cols["olist_customers"])
+    o_hash, c_hash = _json_hash(cols["olist_orders"]), _json_hash(cols["olist_customers"])
+
+    def first_landing(key: str) -> str:
+        return f"CASE WHEN CAST({key} AS BIGINT) % 2 = 0 THEN DATE '2026-01-01' ELSE DATE '2026-01-02' END AS _batch_date"
+
+    two_days = f"SELECT DISTINCT {customers}, {c_hash} AS _row_hash, {first_landing('customer_id')} FROM raw_olist_customers"
+    layers = [(f"silver.{n}", f"silver_{n}") for n in SILVER] + [(f"gold.{n}", n) for n in (*GOLD, *MART) if not n.endswith(("_iso", "_elapsed"))]
+    orphans = "FROM silver_order_reviews WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM silver_orders WHERE order_id IS NOT NULL) GROUP BY order_id"
+    return {
+        "daily_slice_digest": sliced + "SELECT table_name, row_hash, count(*) AS copies FROM fd_rows GROUP BY ALL",
+        "daily_batch_bronze": sliced + "SELECT DISTINCT table_name, row_hash, (SELECT min(batch_date) FROM sl_orders) AS batch_date FROM fd_rows",
+        "scan_bronze": with_ctes(f"SELECT DISTINCT {orders}, {o_hash} AS _row_hash, {first_landing('order_id')} FROM raw_olist_orders"),
+        "ingest_ledgers": with_ctes("""
+            SELECT 'runs' AS ledger, 'succeeded' AS state, CAST(2 AS BIGINT) AS rows
+            UNION ALL SELECT 'files', 'read', count(*) + count(*) FILTER (WHERE CAST(customer_id AS BIGINT) % 2 = 0) FROM raw_olist_customers
+            UNION ALL SELECT 'files', 'inserted', count(*) FROM (SELECT DISTINCT * FROM raw_olist_customers)"""),
+        "streamed_bronze": with_ctes(two_days),
+        "deduped_landings": with_ctes(f"SELECT DISTINCT {orders}, {o_hash} AS _row_hash, DATE '2026-01-01' AS _batch_date, 'b' AS _source_file FROM raw_olist_orders"),
+        "inserted_rows": with_ctes(f"SELECT DISTINCT {customers}, {c_hash} AS _row_hash FROM raw_olist_customers WHERE CAST(customer_id AS BIGINT) % 2 <> 0"),
+        "event_ntiles": """SELECT event_id, CAST(ntile(10) OVER (ORDER BY value NULLS FIRST, event_id) AS INTEGER) AS decile,
+            CAST(6 - ntile(5) OVER (ORDER BY value NULLS FIRST, event_id) AS INTEGER) AS reversed_quintile FROM events""",
+        "slice_zips": with_ctes("SELECT customer_zip_code_prefix AS zip FROM raw_olist_customers UNION SELECT seller_zip_code_prefix FROM raw_olist_sellers"),
+        "failing_rows": with_ctes(f"""
+            SELECT 'not_null' AS "check", review_id AS value, count(*) AS records FROM silver_order_reviews WHERE review_answered_at IS NULL GROUP BY review_id
+            UNION ALL SELECT 'unique', customer_unique_id, count(*) FROM silver_customers WHERE customer_unique_id IS NOT NULL GROUP BY 2 HAVING count(*) > 1
+            UNION ALL SELECT 'relationships', order_id, count(*) {orphans}
+            UNION ALL SELECT 'orphan_keys', order_id, count(*) {orphans}
+            UNION ALL SELECT 'accepted_values', order_status, count(*) FROM silver_orders WHERE order_status <> 'delivered' GROUP BY 2
+            UNION ALL SELECT 'non_negative', order_id, count(*) FROM silver_order_items WHERE freight_value - 500 < 0 GROUP BY 2"""),
+        "run_status_domain": with_ctes("""
+            SELECT CASE order_status WHEN 'shipped' THEN 'paused' END AS status, count(*) AS n_records
+            FROM raw_olist_orders WHERE order_status <> 'delivered' GROUP BY 1"""),
+        "stored_layer": layer_query("dim_customers"),
+        "built_layers": with_ctes("\nUNION ALL\n".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {t}" for name, t in layers)),
+    }

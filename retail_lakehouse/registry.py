@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from retail_lakehouse import oracle_sql as O
+from retail_lakehouse.plans import operator_queries
 from retail_lakehouse.plans.layers import GOLD_NAMES, MART_NAMES, REPORT_NAMES, SILVER_NAMES, Lakehouse
 from retail_lakehouse.plans.quality_suite import SUITE, data_quality_suite
 from retail_lakehouse.plans.reports import check_reports
@@ -74,7 +75,7 @@ def queries() -> dict[str, Query]:
         D.load_driver_tables(spark, sf), "olist_orders", layout="array")
     q["replay_plan"] = lambda spark, sf: replay_plan(_raw_tables(spark, sf))
     q["source_summary"] = lambda spark, sf: orders_summary(_raw_tables(spark, sf)["olist_orders"])
-    return q
+    return q | operator_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
@@ -98,4 +99,4 @@ def oracle_sql() -> dict[str, str]:
     s["bronze_olist_orders_array_hash"] = O.bronze_array_sql("olist_orders")
     s["replay_plan"] = O.replay_plan_sql()
     s["source_summary"] = O.orders_summary_sql()
-    return s
+    return s | O.operator_queries_sql()

@@ -24,17 +24,18 @@ from retail_lakehouse.sources import driver_tables as D
 class Lakehouse:
     def __init__(self, bronze_source: Callable[[str], DataFrame], week_start: str = "sunday",
                  day_basis: str = "calendar", ntile_partitions: int | None = None,
-                 materialize: bool = False):
-        """``materialize``: write every silver, gold and mart table the first
-        time it is used (parquet in the shared checkpoint folder), for outputs
-        that read many layers many times (quality suite, report check) —
-        each layer is then computed once, its lineage is cut, and readers
-        prune columns."""
+                 materialize: tuple[str, ...] = ()):
+        """``materialize``: layers ("silver", "gold", "mart") whose tables are
+        written the first time they are used (parquet in the shared checkpoint
+        folder), for outputs that read many tables many times (quality suite,
+        report check) — each table is then computed once, its lineage is cut,
+        and readers prune columns."""
         self._bronze_source = bronze_source
         self.week_start = week_start
         self.day_basis = day_basis
         self.ntile_partitions = ntile_partitions
         self.materialize = materialize
+        self._versions_source = bronze_source
         self._memo: dict[str, DataFrame] = {}
 
     # -- construction ---------------------------------------------------------
@@ -42,7 +43,8 @@ class Lakehouse:
     def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> "Lakehouse":
         tables = D.load_driver_tables(spark, sf_dir)
         lh = cls(lambda name: D.snapshot_bronze(tables, name), **kw)
-        lh.driver_tables = tables
+        # The latest version of a review is one row, however often it landed.
+        lh._versions_source = lambda name: D.snapshot_landing(tables, name)
         return lh
 
     @classmethod
@@ -53,28 +55,23 @@ class Lakehouse:
     def _get(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
         if key not in self._memo:
             df = build()
-            if self.materialize and key.split(".")[0] in ("silver", "gold", "mart"):
+            if key.split(".")[0] in self.materialize:
                 df = materialize(df, key.replace(".", "-"))
             self._memo[key] = df
         return self._memo[key]
 
-    def build_layers(self, max_workers: int = 4) -> "Lakehouse":
-        """With ``materialize``: write silver, then gold, then marts, each tier's
-        independent tables as concurrent Spark jobs (one driver thread per
-        table), so small jobs share the cluster instead of running one by one.
-        Without ``materialize`` building is lazy and this is a no-op."""
-        if not self.materialize:
-            return self
+    def build_layers(self, tables: tuple[str, ...] = (), max_workers: int = 4) -> "Lakehouse":
+        """Write the materialized layers, each tier's independent tables as
+        concurrent Spark jobs (one driver thread per table), so small jobs share
+        the cluster instead of running one by one. ``tables`` names those
+        wanted; none named means all."""
         from concurrent.futures import ThreadPoolExecutor
 
-        tiers = [
-            [(self.silver, n) for n in SILVER_NAMES],
-            [(self.gold, n) for n in GOLD_NAMES],
-            [(self.mart, n) for n in MART_NAMES],
-        ]
+        tiers = [("silver", self.silver, SILVER_NAMES), ("gold", self.gold, GOLD_NAMES), ("mart", self.mart, MART_NAMES)]
         with ThreadPoolExecutor(max_workers=max_workers) as pool:
-            for tier in tiers:
-                list(pool.map(lambda job: job[0](job[1]), tier))
+            for layer, build, names in tiers:
+                if layer in self.materialize:
+                    list(pool.map(build, [n for n in names if not tables or n in tables]))
         return self
 
     # -- layers ---------------------------------------------------------------
@@ -85,6 +82,8 @@ class Lakehouse:
 
     def silver(self, name: str) -> DataFrame:
         source, fn = SILVER_BUILDERS[name]
+        if name == "order_reviews":
+            return self._get(f"silver.{name}", lambda: fn(self._versions_source(source)))
         return self._get(f"silver.{name}", lambda: fn(self.bronze(source)))
 
     def gold(self, name: str) -> DataFrame:
@@ -130,5 +129,7 @@ SILVER_NAMES = tuple(SILVER_BUILDERS)
 GOLD_NAMES = ("dim_customers", "dim_products", "dim_sellers", "dim_geography", "dim_date",
               "fct_orders", "fct_order_items")
 MART_NAMES = ("mart_daily_sales", "mart_delivery_performance", "mart_seller_performance", "mart_customer_rfm")
+# What the six reports read.
+REPORT_TABLES = ("dim_customers", "dim_sellers", "fct_orders", "fct_order_items", *MART_NAMES)
 REPORT_NAMES = ("report_executive_kpis", "report_daily_sales", "report_delivery_performance",
                 "report_top_sellers", "report_rfm_segments", "report_sales_by_state")

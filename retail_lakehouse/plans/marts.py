@@ -72,57 +72,57 @@ def mart_delivery_performance(fct_orders: DataFrame, day_basis: str = "calendar"
 
 def mart_seller_performance(dim_sellers: DataFrame, fct_order_items: DataFrame,
                             fct_orders: DataFrame) -> DataFrame:
-    """Sellers with sales: item rollup ⋈ (seller, order) rollup ⋈ seller.
-
-    The (seller, order) pairs are made distinct before averaging review
-    scores, so an order with many lines of one seller counts once.
+    """Sellers with sales, in one pass over the order lines.
+
+    Lines are rolled up per (seller, order) first (partial in every map task),
+    so an order with many lines of one seller meets the orders once and counts
+    once in the review average. Orders are reduced to one row per order id: its
+    distinct (date, score) rows as a count, dates and sums. So copies of an
+    order row neither multiply item sums nor count twice, and versions of one
+    order that differ in date or score all count.
     """
-    items = fct_order_items.groupBy("seller_id").agg(
-        F.count(F.lit(1)).alias("item_count"),
-        _sum16("item_price").alias("item_subtotal"),
-        _sum16("freight_value").alias("freight_total"),
-        _sum16("order_line_total"),
-        exact_avg("item_price", 2, input_scale=2, precision=14).alias("average_item_price"),
-    )
-    o = fct_orders.select(
-        F.col("order_id").alias("_o_order_id"),
-        F.col("order_purchase_date").alias("_o_date"),
-        F.col("average_review_score").alias("_o_score"),
+    lines = fct_order_items.groupBy("seller_id", "order_id").agg(
+        F.count(F.lit(1)).alias("_items"),
+        F.sum("item_price").alias("_price"),
+        F.count("item_price").alias("_prices"),
+        F.sum("freight_value").alias("_freight"),
+        F.sum("order_line_total").alias("_total"),
     )
-    # (seller, order) pairs are made distinct before the join (map-side
-    # partial first), so an order with many lines of one seller meets the
-    # orders table once; the distinct after the join only removes copies of
-    # repeated order rows and reuses the join's partitioning.
-    seller_orders = (
-        fct_order_items.select("seller_id", "order_id").distinct()
-        .join(o, F.col("order_id") == F.col("_o_order_id"), "inner")
-        .select("seller_id", "order_id", "_o_date", "_o_score")
-        .distinct()
-    )
-    orders = seller_orders.groupBy("seller_id").agg(
-        F.count(F.lit(1)).alias("order_count"),
-        F.min("_o_date").alias("first_order_date"),
-        F.max("_o_date").alias("last_order_date"),
-        exact_avg("_o_score", 2, input_scale=2, precision=4).alias("average_review_score"),
+    versions = fct_orders.select("order_id", "order_purchase_date", "average_review_score").distinct()
+    orders = versions.groupBy(F.col("order_id").alias("_o_order_id")).agg(
+        F.count(F.lit(1)).alias("_orders"),
+        F.min("order_purchase_date").alias("_first"),
+        F.max("order_purchase_date").alias("_last"),
+        F.sum("average_review_score").alias("_score"),
+        F.count("average_review_score").alias("_scores"),
     )
-    return (
-        dim_sellers.join(items, "seller_id", "inner")
-        .join(orders, "seller_id", "inner")
-        .select(
-            "seller_id",
-            "seller_city",
-            "seller_state",
-            "zip_code_prefix",
-            "order_count",
-            "item_count",
-            "item_subtotal",
-            "freight_total",
-            "order_line_total",
-            "average_item_price",
-            "average_review_score",
-            "first_order_date",
-            "last_order_date",
-        )
+    # Left: a line counts for its seller's item sums whether or not its order is known.
+    joined = lines.join(orders, F.col("order_id") == F.col("_o_order_id"), "left")
+    sellers = joined.groupBy("seller_id").agg(
+        F.sum("_orders").alias("order_count"),
+        F.sum("_items").alias("item_count"),
+        F.sum("_price").cast("decimal(16,2)").alias("item_subtotal"),
+        F.sum("_freight").cast("decimal(16,2)").alias("freight_total"),
+        F.sum("_total").cast("decimal(16,2)").alias("order_line_total"),
+        exact_quotient(F.sum("_price"), F.sum("_prices"), 2, num_scale=2, precision=14).alias("average_item_price"),
+        exact_quotient(F.sum("_score"), F.sum("_scores"), 2, num_scale=2, precision=4).alias("average_review_score"),
+        F.min("_first").alias("first_order_date"),
+        F.max("_last").alias("last_order_date"),
+    ).where(F.col("order_count") > 0)
+    return dim_sellers.join(sellers, "seller_id", "inner").select(
+        "seller_id",
+        "seller_city",
+        "seller_state",
+        "zip_code_prefix",
+        "order_count",
+        "item_count",
+        "item_subtotal",
+        "freight_total",
+        "order_line_total",
+        "average_item_price",
+        "average_review_score",
+        "first_order_date",
+        "last_order_date",
     )
 
 

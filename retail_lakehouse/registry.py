@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retail_lakehouse import oracle_sql as O
 from retail_lakehouse.plans import operator_queries
-from retail_lakehouse.plans.layers import GOLD_NAMES, MART_NAMES, REPORT_NAMES, SILVER_NAMES, Lakehouse
+from retail_lakehouse.plans.layers import GOLD_NAMES, MART_NAMES, REPORT_NAMES, REPORT_TABLES, SILVER_NAMES, Lakehouse
 from retail_lakehouse.plans.quality_suite import SUITE, data_quality_suite
 from retail_lakehouse.plans.reports import check_reports
 from retail_lakehouse.plans.silver import silver_order_items
@@ -44,7 +44,7 @@ def _report_q(name: str) -> Query:
 
 
 def _check_reports(spark: SparkSession, sf: str) -> DataFrame:
-    lh = Lakehouse.from_driver(spark, sf, materialize=True).build_layers()
+    lh = Lakehouse.from_driver(spark, sf, materialize=("gold", "mart")).build_layers(REPORT_TABLES)
     return check_reports({n: lh.report(n) for n in REPORT_NAMES})
 
 
@@ -68,7 +68,7 @@ def queries() -> dict[str, Query]:
     for n in REPORT_NAMES:
         q[n] = _report_q(n)
     q["check_reports"] = _check_reports
-    q["data_quality_suite"] = lambda spark, sf: data_quality_suite(Lakehouse.from_driver(spark, sf, materialize=True))
+    q["data_quality_suite"] = lambda spark, sf: data_quality_suite(Lakehouse.from_driver(spark, sf, materialize=("silver", "gold", "mart")))
     q["silver_order_items_md5"] = lambda spark, sf: silver_order_items(
         Lakehouse.from_driver(spark, sf).bronze("olist_order_items"), key_algo="md5")
     q["bronze_olist_orders_array_hash"] = lambda spark, sf: D.snapshot_bronze(

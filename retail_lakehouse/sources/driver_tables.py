@@ -115,29 +115,46 @@ def _geo(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def raw_orders(t: dict[str, DataFrame]) -> DataFrame:
+def _seconds(c: Column) -> Column:
+    """The landing text keeps whole seconds, so rows are told apart by them."""
+    return F.date_trunc("SECOND", c).cast("timestamp_ntz")
+
+
+def orders_by_type(t: dict[str, DataFrame]) -> DataFrame:
+    """The order rows before they become text: all that the text depends on."""
     ship_span = t["lineitem"].groupBy("l_orderkey").agg(
         F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")
     )
     o = t["orders"]
-    status = o["o_orderstatus"]
     joined = o.join(ship_span, o["o_orderkey"] == ship_span["l_orderkey"], "left")
-    not_pending = status != "P"
     return joined.select(
-        o["o_orderkey"].cast("string").alias("order_id"),
-        o["o_custkey"].cast("string").alias("customer_id"),
-        _case_map(status, STATUS_BY_CODE).alias("order_status"),
-        ts_text(o["o_orderdate"]).alias("order_purchase_timestamp"),
-        F.when(not_pending, ts_text(o["o_orderdate"])).otherwise(F.lit("")).alias("order_approved_at"),
-        F.when(not_pending, _blank_if_null(ts_text(F.col("first_ship")))).otherwise(F.lit(""))
-        .alias("order_delivered_carrier_date"),
-        F.when(status == "F", _blank_if_null(ts_text(F.col("last_ship")))).otherwise(F.lit(""))
-        .alias("order_delivered_customer_date"),
-        ts_text(F.date_add(o["o_orderdate"], ESTIMATE_DAYS).cast("timestamp_ntz"))
-        .alias("order_estimated_delivery_date"),
+        "o_orderkey", "o_custkey", _case_map(F.col("o_orderstatus"), STATUS_BY_CODE).alias("status"),
+        F.coalesce(F.col("o_orderstatus") != "P", F.lit(False)).alias("approved"),
+        _seconds(F.col("o_orderdate")).alias("ordered"), _seconds(F.col("first_ship")).alias("first_ship"),
+        _seconds(F.col("last_ship")).alias("last_ship"),
+    )
+
+
+def orders_text(o: DataFrame) -> DataFrame:
+    def when(condition: Column, c: str) -> Column:
+        return F.when(condition, _blank_if_null(ts_text(F.col(c)))).otherwise(F.lit(""))
+
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("status").alias("order_status"),
+        ts_text(F.col("ordered")).alias("order_purchase_timestamp"),
+        F.when(F.col("approved"), ts_text(F.col("ordered"))).otherwise(F.lit("")).alias("order_approved_at"),
+        when(F.col("approved"), "first_ship").alias("order_delivered_carrier_date"),
+        when(F.col("status") == STATUS_BY_CODE["F"], "last_ship").alias("order_delivered_customer_date"),
+        ts_text(F.date_add("ordered", ESTIMATE_DAYS).cast("timestamp_ntz")).alias("order_estimated_delivery_date"),
     )
 
 
+def raw_orders(t: dict[str, DataFrame]) -> DataFrame:
+    return orders_text(orders_by_type(t))
+
+
 def _item_amounts(li: DataFrame) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     tax = F.col("l_tax").cast("decimal(4,2)")
@@ -148,19 +165,27 @@ def _item_amounts(li: DataFrame) -> DataFrame:
     )
 
 
-def raw_order_items(t: dict[str, DataFrame]) -> DataFrame:
-    li = _item_amounts(t["lineitem"])
+def items_by_type(t: dict[str, DataFrame]) -> DataFrame:
+    return _item_amounts(t["lineitem"]).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", _seconds(F.col("l_shipdate")).alias("shipped"), "price", "freight")
+
+
+def items_text(li: DataFrame) -> DataFrame:
     return li.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").cast("string").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
-        ts_text(F.col("l_shipdate")).alias("shipping_limit_date"),
+        ts_text(F.col("shipped")).alias("shipping_limit_date"),
         F.col("price").cast("string").alias("price"),
         F.col("freight").cast("string").alias("freight_value"),
     )
 
 
+def raw_order_items(t: dict[str, DataFrame]) -> DataFrame:
+    return items_text(items_by_type(t))
+
+
 def raw_order_payments(t: dict[str, DataFrame]) -> DataFrame:
     li = _item_amounts(t["lineitem"])
     per_flag = li.groupBy("l_orderkey", "l_returnflag").agg(
@@ -301,6 +326,26 @@ def with_snapshot_lineage(raw: DataFrame, table_name: str, layout: str = "struct
     )
 
 
+# Rows that are made distinct on typed columns (8-byte keys, dates, decimals)
+# and become text afterwards; a table's text is one-to-one with these.
+TYPED = {
+    "olist_orders": (orders_by_type, orders_text),
+    "olist_order_items": (items_by_type, items_text),
+}
+# One row per group of its own key: distinct as built.
+DISTINCT_AS_BUILT = {"olist_order_payments", "product_category_name_translation"}
+
+
+def distinct_raw(t: dict[str, DataFrame], table_name: str) -> DataFrame:
+    """The landing rows of the snapshot, each content once."""
+    if table_name in DISTINCT_AS_BUILT:
+        return raw_table(t, table_name)
+    if table_name in TYPED:
+        typed, text = TYPED[table_name]
+        return text(typed(t).distinct())
+    return raw_table(t, table_name).distinct()
+
+
 def snapshot_bronze(t: dict[str, DataFrame], table_name: str, layout: str = "struct") -> DataFrame:
     """Bronze table of the snapshot: one row per distinct landing row.
 
@@ -310,4 +355,10 @@ def snapshot_bronze(t: dict[str, DataFrame], table_name: str, layout: str = "str
     on the 64-character hash. The hash is added after the dedup, so queries
     that never read ``source_row_hash`` do not compute it at all.
     """
-    return with_snapshot_lineage(raw_table(t, table_name).distinct(), table_name, layout)
+    return with_snapshot_lineage(distinct_raw(t, table_name), table_name, layout)
+
+
+def snapshot_landing(t: dict[str, DataFrame], table_name: str) -> DataFrame:
+    """The landing rows with lineage, copies included: for steps that keep one
+    row per key anyway."""
+    return with_snapshot_lineage(raw_table(t, table_name), table_name)

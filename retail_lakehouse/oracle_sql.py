@@ -639,6 +639,8 @@ def operator_queries_sql() -> dict[str, str]:
         "run_status_domain": with_ctes("""
             SELECT CASE order_status WHEN 'shipped' THEN 'paused' END AS status, count(*) AS n_records
             FROM raw_olist_orders WHERE order_status <> 'delivered' GROUP BY 1"""),
+        "landing_inventory": sliced + "\nUNION ALL\n".join(
+            f"SELECT '{d.filename}' AS filename, EXISTS (SELECT 1 FROM fd_{d.table_name}) AS present" for d in DATASETS),
         "stored_layer": layer_query("dim_customers"),
         "built_layers": with_ctes("\nUNION ALL\n".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {t}" for name, t in layers)),
     }

@@ -21,7 +21,7 @@ from retail_lakehouse.plans.layers import Lakehouse
 from retail_lakehouse.schemas import BY_TABLE, DATASETS
 from retail_lakehouse.session import ensure_checkpoint_dir
 from retail_lakehouse.sources import driver_tables as D
-from retail_lakehouse.sources.landing import read_table, write_csv_counted, write_daily_slice, write_layer
+from retail_lakehouse.sources.landing import ensure_layers, missing_files, read_table, write_csv_counted, write_daily_slice, write_layer
 from retail_lakehouse.streaming.bronze_stream import stream_bronze
 
 FIRST_DAY, SECOND_DAY = "2026-01-01", "2026-01-02"
@@ -166,9 +166,24 @@ def run_status_domain(spark: SparkSession, sf: str) -> DataFrame:
     return I.invalid_run_statuses(ledger)
 
 
+def landing_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the first day's slice, only the files that would hold rows are
+    written: (filename, present) of all nine, from the file system."""
+    tables, landing = _raw(spark, sf), _folder(spark, "landing")
+    day = _first_day(tables)
+    sliced = daily_slice(tables, day)
+    held = {r["table_name"] for r in slice_digest(tables, day).select("table_name").distinct().collect()}
+    for d in DATASETS:
+        if d.table_name in held:
+            write_csv_counted(sliced[d.table_name].select(*d.columns), f"{landing}/{day}/{d.filename}")
+    missing = set(missing_files(spark, f"{landing}/{day}"))
+    return spark.createDataFrame([(d.filename, d.filename not in missing) for d in DATASETS], "filename string, present boolean")
+
+
 def stored_layer(spark: SparkSession, sf: str) -> DataFrame:
     """A dimension written as a layer and read back."""
     root = _folder(spark, "layers")
+    ensure_layers(spark, "retail_gold")
     write_layer(Lakehouse.from_driver(spark, sf).gold("dim_customers"), f"{root}/dim_customers")
     return read_table(spark, root, "dim_customers")
 
@@ -191,6 +206,7 @@ QUERIES = {
     "slice_zips": slice_zips,
     "failing_rows": failing_rows,
     "run_status_domain": run_status_domain,
+    "landing_inventory": landing_inventory,
     "stored_layer": stored_layer,
     "built_layers": built_layers,
 }

@@ -1,6 +1,8 @@
 import datetime as dt
 import hashlib
 import os
+import shutil
+import tempfile
 from decimal import Decimal
 
 import pytest
@@ -9,6 +11,7 @@ from retail_lakehouse.operators.slice import daily_slice
 from retail_lakehouse.plans import ingest as I
 from retail_lakehouse.plans.layers import Lakehouse
 from retail_lakehouse.schemas import BY_TABLE, DATASETS
+from retail_lakehouse.session import materialize
 from retail_lakehouse.sources.landing import read_landing_csv, write_daily_slice
 from retail_lakehouse.streaming.bronze_stream import merge_epoch, stream_bronze
 
@@ -18,13 +21,19 @@ from fixtures import DAY, NEXT_DAY, put_csv, put_source, source_rows
 CUSTOMERS = BY_TABLE["olist_customers"]
 
 
+_SLICED: list[str] = []  # both days of the stationery source, sliced and written once
+
+
 def _landing(spark, scratch):
-    """Both days of the stationery source, sliced and written."""
-    landing, src = os.path.join(scratch, "landing"), put_source(os.path.join(scratch, "source"))
-    tables = {d.table_name: read_landing_csv(spark, os.path.join(src, d.filename), d) for d in DATASETS}
-    for day in (DAY, NEXT_DAY):
-        write_daily_slice(daily_slice(tables, day), landing, day)
-    return landing
+    """A copy of the landing area of both days."""
+    if not _SLICED:
+        made = tempfile.mkdtemp(prefix="rl-landing-")
+        src = put_source(os.path.join(made, "source"))
+        tables = {d.table_name: materialize(read_landing_csv(spark, os.path.join(src, d.filename), d)) for d in DATASETS}
+        for day in (DAY, NEXT_DAY):
+            write_daily_slice(daily_slice(tables, day), os.path.join(made, "landing"), day)
+        _SLICED.append(os.path.join(made, "landing"))
+    return shutil.copytree(_SLICED[0], os.path.join(scratch, "landing"))
 
 
 def _put_customers(landing, day, *rows, header=None):
@@ -64,6 +73,22 @@ def test_a_missing_file_fails_the_whole_day_with_its_full_message(spark, scratch
         I.ingest_batch(spark, landing, bronze, "2021-03-09")
     run = I.latest_runs(spark, bronze).first()
     assert run.status == "failed" and run.error_message.endswith(DATASETS[-1].filename)
+    assert I.read_bronze(spark, bronze, "olist_orders") is None and I.file_ledger(spark, bronze).count() == 0
+
+
+def test_rows_of_a_run_that_failed_later_stay_invisible(spark, scratch, monkeypatch):
+    landing, bronze = _landing(spark, scratch), os.path.join(scratch, "bronze")
+    stage = I._stage
+
+    def failing(df, root, table, batch_id):
+        if table == "olist_sellers":
+            raise RuntimeError("x" * 5000)
+        return stage(df, root, table, batch_id)
+
+    monkeypatch.setattr(I, "_stage", failing)
+    with pytest.raises(RuntimeError):
+        I.ingest_batch(spark, landing, bronze, DAY)
+    assert len(I.latest_runs(spark, bronze).first().error_message) == 5000
     assert I.read_bronze(spark, bronze, "olist_orders").count() == 0 and I.file_ledger(spark, bronze).count() == 0
 
 

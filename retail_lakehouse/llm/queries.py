@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from retail_lakehouse.llm import exact_dedup, framefile, interpolated_lm, language_id, learned_ann, mixing, near_join, packing, suffix_dedup, url_lists
 from retail_lakehouse.llm.common import crc32_fold, numbered
+from retail_lakehouse.session import prepare
 
 # Files of the public vocabularies.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -37,6 +38,7 @@ def op2_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)  # the derived times are UTC
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return url_lists.judge(url_lists.captures_of(pages), url_lists.list_of(pages))
 

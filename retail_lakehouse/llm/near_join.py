@@ -289,8 +289,9 @@ def near_copies(docs: DataFrame, threshold: float = 0.8, target_recall: float =
     chosen = sets.select(*same, F.col("first.row__").alias("id"), F.col("first.doc_id").alias("copy_id"), "weight")
     classes = materialize(table.join(chosen.select("id", "weight", "copy_id"), F.col("row__") == F.col("id")).drop("row__", "doc_id"), "classes")
     groups = components(likely(forest_pairs(classes), classes, threshold))
-    members = text_table(docs, "row__", "text").join(groups, F.col("row__") == F.col("vertex")).join(
-        classes.select("id", "weight"), F.col("row__") == F.col("id")).select("id", "root", "weight", "text")
+    # Members grow with the corpus: a sort-merge join at every size.
+    listed = groups.join(classes.select("id", "weight"), F.col("vertex") == F.col("id")).select("id", "root", "weight")
+    members = text_table(docs, "row__", "text").join(listed.hint("merge"), F.col("row__") == F.col("id")).select("id", "root", "weight", "text")
     found = materialize(verified(members, threshold), "links")
     links = found.where("other is null").groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
@@ -307,4 +308,4 @@ def without_near_copies(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``docs`` with one row of each class of connected near copies."""
     rows = numbered(docs)
     kept = near_copies(rows, threshold).where("row__ = class_row__").select("row__")
-    return rows.join(kept, "row__", "left_semi").drop("row__")
+    return rows.join(kept.hint("merge"), "row__", "left_semi").drop("row__")

@@ -11,14 +11,16 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from retail_lakehouse import registry  # noqa: E402
-from retail_lakehouse.session import build_session  # noqa: E402
+from retail_lakehouse.session import build_session, drop_materialized  # noqa: E402
 
 HEADLINE = (
     "fct_orders",
@@ -41,7 +43,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(f"local[{cpus}]", cpus, app_name="retail_lakehouse_bench")
+    folder = tempfile.mkdtemp(prefix="rl-bench-")
+    spark = build_session(f"local[{cpus}]", cpus, app_name="retail_lakehouse_bench", checkpoint_dir=folder)
     q = registry.queries()
     names = only or list(HEADLINE)
     # warm-up: JVM, parquet footers, code generation caches
@@ -53,6 +56,7 @@ def main() -> None:
             t0 = time.perf_counter()
             q[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
+            drop_materialized(spark)
         timings[name] = round(statistics.median(runs), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
@@ -65,6 +69,7 @@ def main() -> None:
         "repeat": repeat,
     }))
     spark.stop()
+    shutil.rmtree(folder, ignore_errors=True)
 
 
 if __name__ == "__main__":

@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "retail_lakehouse") -> SparkSession:
+                  app_name: str = "retail_lakehouse", checkpoint_dir: str | None = None) -> SparkSession:
     """A session for tests and local runs. On a cluster, pass no master and let
     the submitter's configuration decide."""
     builder = SparkSession.builder.appName(app_name)
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     if master:
         builder = builder.master(master)
         if master.startswith("local"):

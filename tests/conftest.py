@@ -1,4 +1,5 @@
 import os
+import shutil
 import sys
 import tempfile
 
@@ -11,9 +12,11 @@ from retail_lakehouse.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", 4, app_name="retail_lakehouse_tests")
+    folder = tempfile.mkdtemp(prefix="rl-checkpoints-")
+    s = build_session("local[4]", 4, app_name="retail_lakehouse_tests", checkpoint_dir=folder)
     yield s
     s.stop()
+    shutil.rmtree(folder, ignore_errors=True)
 
 
 @pytest.fixture()

@@ -202,7 +202,8 @@ def segment_uses(docs: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     plan = source_plan(sizes, mix)
     placed = positions(sizes, plan)
     uses = drawn_slots(docs.sparkSession, plan, mix).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
-    return placed, block_segments(placed, mix).join(uses, ["sid", "block"])
+    # The planner takes the slots for as small as the draws they come from: never broadcast them.
+    return placed, block_segments(placed, mix).join(uses.hint("merge"), ["sid", "block"])
 
 
 def mixed_blocks(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -212,14 +213,14 @@ def mixed_blocks(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     plan = source_plan(sizes, mix)
     held = block_segments(positions(sizes, plan), mix).groupBy("sid", "block").agg(
         F.array_sort(F.collect_list(F.struct("row__", "first", "words"))).alias("segments"))
-    return drawn_slots(docs.sparkSession, plan, mix).join(held, ["sid", "block"])
+    return drawn_slots(docs.sparkSession, plan, mix).hint("merge").join(held, ["sid", "block"])
 
 
 def taken_words(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """One row per row of ``docs``: (doc_id, row__, size, source_size, target, taken)."""
     placed, segments = segment_uses(docs, mix)
     taken = segments.groupBy("row__").agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
-    return placed.join(taken, "row__", "left").select(
+    return placed.join(taken.hint("merge"), "row__", "left").select(
         "doc_id", "row__", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 

@@ -41,7 +41,7 @@ from retail_lakehouse.llm.common import materialize, text_table
 from retail_lakehouse.llm.near_join import _mix
 from retail_lakehouse.llm.tokens import slices, strings
 
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 6_000_000
 BINS = 8  # per octave
 ROUNDS = 60
 NONE = -(10 ** 6)  # bin of a zero count
@@ -101,10 +101,10 @@ def _cuts(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(bucket.astype(np.int64), return_index=True)
 
 
-def _train_totals(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys, which one each token has, training count)."""
+def _train_totals(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, training count of each)."""
     distinct, which = np.unique(keys, return_inverse=True)
-    return distinct, which, np.bincount(which[train], minlength=len(distinct)).astype(_U)
+    return distinct, np.bincount(which[train], minlength=len(distinct)).astype(_U)
 
 
 ROUTED = "block string, bucket long, kind int, n long, keys binary, counts binary"
@@ -120,7 +120,7 @@ def requests(docs: DataFrame, buckets: int) -> DataFrame:
                 train = np.repeat(part.column(1).to_numpy(zero_copy_only=False), count)
                 name = _block_name(part)
                 for kind, keys in enumerate(keys_of(token, context)):
-                    distinct, _, counts = _train_totals(keys, train)
+                    distinct, counts = _train_totals(keys, train)
                     numbers, at = _cuts(distinct, buckets)
                     rows = [(name, int(b), kind, int(e - s), _packed(np.diff(distinct[s:e], prepend=_U(0))), _packed(counts[s:e]))
                             for b, s, e in zip(numbers, at, [*at[1:], len(distinct)])]
@@ -216,6 +216,24 @@ def _bin(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, np.floor(BINS * np.log2(np.where(x > 0, x, 1))), NONE).astype(np.int32)
 
 
+_BIN_BITS = 21
+
+
+def _cells(bucket: np.ndarray, *bins: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(bucket, bin, bin, how often): the distinct combinations, counted by one
+    sort of a packed number."""
+    code = bucket.astype(np.int64)
+    for b in bins:
+        code = (code << _BIN_BITS) | np.where(b == NONE, 0, b.astype(np.int64) + (1 << (_BIN_BITS - 1)))
+    code, n = np.unique(code, return_counts=True)
+    out = []
+    for _ in bins:
+        b = code & ((1 << _BIN_BITS) - 1)
+        out.append(np.where(b == 0, NONE, b - (1 << (_BIN_BITS - 1))))
+        code = code >> _BIN_BITS
+    return (code, *out[::-1], n)
+
+
 def _after(count_w: np.ndarray, first: np.ndarray, starts: float | np.ndarray) -> np.ndarray:
     """Each token's context count: that of the token before it, or of the start."""
     out = np.concatenate([[0], count_w[:-1]])
@@ -253,9 +271,10 @@ def events(docs: DataFrame, buckets: int) -> DataFrame:
         first, ends = np.cumsum(count) - count, np.cumsum(count)
         found, own = [], []
         for kind, keys in enumerate(keys_of(token, context)):
-            distinct, which, _ = _train_totals(keys, train)
+            distinct, which = np.unique(keys, return_inverse=True)
             found.append(_complete(kind, distinct, got, buckets)[which].astype(np.int64))
             own.append(_own_counts(which, text))
+        del token, context, keys, distinct, which
         c_w, c_hw = found
         # Training texts = occurrences of the end = occurrences of the start.
         starts = int(c_w[ends[0] - 1]) if len(ends) else 0
@@ -266,8 +285,8 @@ def events(docs: DataFrame, buckets: int) -> DataFrame:
         left_h = (c_h - _after(own[0], first, 1))[train]
         left_hw, left_w = (c_hw - own[1])[train], (c_w - own[0])[train]
         ratio = left_hw / np.maximum(left_h, 1)
-        cells, n = np.unique(np.stack([frequency_bucket(left_h), _bin(ratio), _bin(left_w)]), axis=1, return_counts=True)
-        yield out({"bucket": cells[0], "pair_bin": cells[1], "word_bin": cells[2], "tokens": n}, len(n))
+        bucket, pair_bin, word_bin, n = _cells(frequency_bucket(left_h), _bin(ratio), _bin(left_w))
+        yield out({"bucket": bucket, "pair_bin": pair_bin, "word_bin": word_bin, "tokens": n}, len(n))
 
     return routed.select("block", "bucket", "kind", "n", "keys", "counts").mapInArrow(meet, EVENTS)
 

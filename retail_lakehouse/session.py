@@ -160,14 +160,22 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def drop_materialized(spark: SparkSession) -> int:
-    """Delete every table that this process has materialized so far; call it
-    when no result that reads them is needed any more. Returns how many went."""
+def materialized() -> list[str]:
+    """The tables that this process has materialized and not dropped, oldest first."""
+    return list(_WRITTEN)
+
+
+def drop_materialized(spark: SparkSession, tables: list[str] | None = None) -> int:
+    """Delete tables that this process has materialized (all of them, if not
+    named); call it when no result that reads them is needed any more. Returns how
+    many went."""
     jvm, hconf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        removed += bool(path.getFileSystem(hconf).delete(path, True))
+    for name in materialized() if tables is None else tables:
+        if name in _WRITTEN:
+            _WRITTEN.remove(name)
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            removed += bool(path.getFileSystem(hconf).delete(path, True))
     return removed
 
 

@@ -11,6 +11,7 @@ working set is one slice of ``SLICE_BYTES`` plus one document's ids.
 
 from __future__ import annotations
 
+import ctypes
 import re
 from functools import lru_cache
 
@@ -19,8 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-CACHE_PARTS = 600_000
-SLICE_BYTES = 12_000_000
+CACHE_PARTS = 400_000
+SLICE_BYTES = 8_000_000
 
 # The code points with Unicode's White_Space property.
 _WS = "\t-\r \x85\xa0  -     　"
@@ -245,6 +246,16 @@ def encoder(path: str) -> PartEncoder:
     return PartEncoder(path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its task, and what
+    its allocators hold back is missing elsewhere on the executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES):
     """Consecutive pieces of ``batch`` whose ``column`` holds about ``max_bytes`` (one row at least)."""
     col = batch.column(batch.schema.get_field_index(column))
@@ -255,3 +266,4 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES):
         end = max(at + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
         yield batch.slice(at, end - at)
         at = end
+        give_back()

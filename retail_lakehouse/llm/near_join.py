@@ -44,6 +44,7 @@ DEPTH = 8
 SLACK = 5.0
 NEIGHBOURS = 2
 SUB_BUCKET = 20_000
+SKETCH_BYTES = 4_000_000  # text sketched at a time
 BLOCK = 512
 _SEED = 0x5EED
 
@@ -120,7 +121,7 @@ def sketches(docs: DataFrame, depth: int) -> DataFrame:
 
     def sketch(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SKETCH_BYTES):
                 sh, counts = shingle_sets(part.column(2))
                 at = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
                 digest = [np.where(counts > 0, np.add.reduceat(np.append(_mix(sh * _U(k)), _U(0)), np.minimum(at, len(sh))), _U(0))

@@ -32,9 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_lakehouse.llm.common import NOT_SPACE, buckets_for, materialize, numbered, text_table
+from retail_lakehouse.llm.common import NOT_SPACE, buckets_for, materialize, numbered
+from retail_lakehouse.llm.tokens import slices, strings
 
 ROWS_PER_BUCKET = 100_000
+TEXT_BYTES = 4_000_000  # text cut at a time
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -250,13 +252,25 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     rows = numbered(docs)
     _, segments = segment_uses(rows, mix)
     lists = segments.groupBy("row__").agg(F.collect_list(F.struct("first", "words", "uses")).alias("segments__"))
-
-    @F.pandas_udf("string")
-    def take(text: pd.Series, segments: pd.Series) -> pd.Series:
-        return pd.Series([cut_text(t, [(s["first"], s["words"], s["uses"]) for s in seg]) for t, seg in zip(text, segments)])
-
     # Most rows are taken from: a sort-merge join at every size.
-    out = rows.join(lists.hint("merge"), "row__").withColumn("text", take("text", "segments__"))
+    both = rows.join(lists.hint("merge"), "row__").select(
+        *docs.columns, *[F.col("segments__")[f].alias(f"{f}__") for f in ("first", "words", "uses")])
+    names = list(docs.columns)
+    at, kept = names.index("text"), len(names)
+
+    def take(batches):
+        for batch in batches:
+            for part in slices(batch, "text", TEXT_BYTES):
+                lists = part.columns[kept:]
+                ends = lists[0].offsets.to_numpy()
+                first, words, uses = (c.values.to_numpy() for c in lists)
+                texts = [cut_text(t, list(zip(first[a:b].tolist(), words[a:b].tolist(), uses[a:b].tolist())))
+                         for t, a, b in zip(strings(part.column(at)), ends, ends[1:])]
+                columns = list(part.columns[:kept])
+                columns[at] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    out = both.mapInArrow(take, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out

@@ -9,7 +9,10 @@ with probability ``target_recall``: ``shortened_depth`` gives the length, a
 tree's bucket is then a prefix of that length. In each bucket every class
 meets its next neighbours in sorted order and the bucket's first class; pairs
 whose signatures agree too little are dropped (``SLACK`` standard errors below
-the threshold). Connected candidates form a group.
+the threshold). Connected candidates form a group. Buckets whose classes are
+then still in several groups are resolved in full: the signatures of all pairs
+across groups are compared, in pairs of blocks of ``SIGNATURES`` classes, and
+likely pairs join their groups.
 
 Verification is exact and complete: within a group all pairs are compared on
 their shingle sets, in blocks of ``BLOCK`` classes, each pair of blocks being
@@ -18,7 +21,8 @@ returns a link count per class and a spanning forest of its links.
 
 A group of copies that holds a third of all rows is one class; a group of near
 copies is spread over pairs of blocks, its buckets over salted sub-buckets of
-``SUB_BUCKET`` rows that the bucket's first class ties together.
+``SUB_BUCKET`` rows that the bucket's first class, or else the comparison across
+groups, ties together.
 
 Defined results: null text is ''; texts without words form one class and have
 no links but to each other; equal rows are counted each; an empty table gives
@@ -27,6 +31,8 @@ an empty result.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -45,6 +51,7 @@ SLACK = 5.0
 NEIGHBOURS = 2
 SUB_BUCKET = 20_000
 SKETCH_BYTES = 4_000_000  # text sketched at a time
+SIGNATURES = 4096  # of a block compared within a bucket
 BLOCK = 512
 _SEED = 0x5EED
 
@@ -146,12 +153,16 @@ def sketches(docs: DataFrame, depth: int) -> DataFrame:
         sketch, "row__ long, doc_id long, n_shingles long, d1 long, d2 long, signature binary, prefix array<long>, rest array<long>")
 
 
-def forest_pairs(classes: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of class ids from the buckets of all trees."""
+def forest_buckets(classes: DataFrame) -> DataFrame:
+    """(id, tree, prefix, rest, members, leader) of the buckets with several classes."""
     labels = classes.where("n_shingles > 0").select("id", F.posexplode(F.arrays_zip("prefix", "rest")).alias("tree", "l")).select(
         "id", "tree", F.col("l.prefix").alias("prefix"), F.col("l.rest").alias("rest"))
     buckets = labels.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("leader")).where("members > 1")
-    inside = labels.join(buckets, ["tree", "prefix"])
+    return labels.join(buckets, ["tree", "prefix"])
+
+
+def forest_pairs(inside: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) of class ids: neighbours within the buckets."""
     part = F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / SUB_BUCKET))
     order = Window.partitionBy("tree", "prefix", "part").orderBy("rest", "id")
     inside = inside.withColumn("part", part)
@@ -160,10 +171,14 @@ def forest_pairs(classes: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
+def least_agreement(threshold: float) -> float:
+    return threshold - SLACK * (threshold * (1 - threshold) / (TREES * DEPTH)) ** 0.5
+
+
 def likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose 8-bit signatures and set sizes allow the threshold."""
     values = TREES * DEPTH
-    least = threshold - SLACK * (threshold * (1 - threshold) / values) ** 0.5
+    least = least_agreement(threshold)
     sig = classes.select("id", "signature", "n_shingles")
     both = pairs.join(sig.toDF("a", "sa", "na"), "a").join(sig.toDF("b", "sb", "nb"), "b").where(
         F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
@@ -178,6 +193,78 @@ def likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(agree, "a long, b long")
 
 
+def agreements(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many values each signature of ``x`` shares with each of ``y``."""
+    if len(x) * len(y) <= 4096:
+        return (x[:, None, :] == y[None, :, :]).sum(axis=2)
+    out = np.zeros((len(x), len(y)), dtype=np.uint8)
+    columns = np.ascontiguousarray(y.T)
+    for k in range(x.shape[1]):
+        out += (x[:, k, None] == columns[k]).view(np.uint8)
+    return out
+
+
+def bridges(root: np.ndarray, size: np.ndarray, signature: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Likely pairs (one of ``at_a``, one of ``at_b``) that join all the groups
+    which any likely pair of the two blocks joins."""
+    least, out = least_agreement(threshold) * signature.shape[1], []
+    _, group = np.unique(root, return_inverse=True)
+    at_a = at_a[np.argsort(group[at_a], kind="stable")]
+    for lo in range(0, len(at_a), 64):
+        a = at_a[lo:lo + 64]
+        own = group[a[0]]
+        b = at_b[group[at_b] != own] if (group[a] == own).all() else at_b
+        if not len(b):
+            continue
+        ok = agreements(signature[a], signature[b]) >= least
+        ok &= np.minimum(size[a][:, None], size[b]) >= threshold * np.maximum(size[a][:, None], size[b])
+        for i in np.flatnonzero(ok.any(axis=1)):
+            other = b[ok[i]]
+            other = other[group[other] != group[a[i]]]
+            while len(other):
+                out.append((int(a[i]), int(other[0])))
+                group[group == group[other[0]]] = group[a[i]]
+                other = other[group[other] != group[a[i]]]
+    return out
+
+
+def missed_pairs(inside: DataFrame, classes: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """Likely pairs (a, b) across ``groups`` (vertex, root) from all pairs of each
+    bucket's members, a spanning forest of them for each pair of blocks. Members
+    of a bucket's largest group are not compared with each other; buckets whose
+    members are in one group, or have all met as neighbours, are left out."""
+    grouped = classes.select("id", "n_shingles", "signature").join(groups, F.col("id") == F.col("vertex"), "left").select(
+        "id", "n_shingles", "signature", F.coalesce("root", "id").alias("root"))
+    crowded = inside.where(F.col("members") > NEIGHBOURS + 1).select("tree", "prefix", "id", "members").join(grouped.select("id", "root"), "id")
+    sizes = crowded.groupBy("tree", "prefix", "root").agg(F.count(F.lit(1)).alias("n"), F.first("members").alias("members"))
+    mixed = sizes.groupBy("tree", "prefix").agg(F.max(F.struct("n", "root")).alias("most"), F.first("members").alias("members")).where(
+        "most.n < members").select("tree", "prefix", F.col("most.root").alias("main"), F.ceil(F.col("most.n") / SIGNATURES).cast("int").alias("mains"),
+                                   F.ceil((F.col("members") - F.col("most.n")) / SIGNATURES).cast("int").alias("others"))
+    salt, main = F.xxhash64("id"), F.col("root") == F.col("main")
+    last = F.col("mains") + F.col("others") - 1
+    placed = crowded.join(mixed, ["tree", "prefix"]).select(
+        "tree", "prefix", "id", F.when(main, F.pmod(salt, F.col("mains"))).otherwise(F.col("mains") + F.pmod(salt, F.col("others"))).cast("int").alias("block"),
+        F.when(main, F.col("mains")).otherwise(F.lit(0)).alias("from"), last.alias("last"))
+    pieces = placed.join(grouped, "id").select("*", F.explode(F.sequence("from", "last")).alias("with")).select(
+        "tree", "prefix", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "id", "root", "n_shingles", "signature")
+    dealt = pieces.repartition("tree", "prefix", "i", "j").sortWithinPartitions("tree", "prefix", "i", "j", "id")
+
+    def work(key, rows):
+        _, _, i, j = key
+        block, ids, root, size = (np.array([r[k] for r in rows]) for k in range(4))
+        signature = np.frombuffer(b"".join(r[4] for r in rows), dtype=np.uint8).reshape(len(rows), -1)
+        return [(int(ids[a]), int(ids[b])) for a, b in bridges(root, size, signature, np.flatnonzero(block == i), np.flatnonzero(block == j), threshold)]
+
+    def run(batches):
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for key, piece in groupby(rows, lambda r: r[:4]):
+            found = work(key, [r[4:] for r in piece])
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def linked(sets_a: tuple, sets_b: tuple, threshold: float, same: bool) -> np.ndarray:
     """Boolean matrix of links between two blocks of (shingles, counts)."""
     (xa, na), (xb, nb) = sets_a, sets_b
@@ -289,7 +376,11 @@ def near_copies(docs: DataFrame, threshold: float = 0.8, target_recall: float =
     sets = table.groupBy(*same).agg(first, F.count(F.lit(1)).alias("weight"))
     chosen = sets.select(*same, F.col("first.row__").alias("id"), F.col("first.doc_id").alias("copy_id"), "weight")
     classes = materialize(table.join(chosen.select("id", "weight", "copy_id"), F.col("row__") == F.col("id")).drop("row__", "doc_id"), "classes")
-    groups = components(likely(forest_pairs(classes), classes, threshold))
+    inside = materialize(forest_buckets(classes), "buckets")
+    groups = components(likely(forest_pairs(inside), classes, threshold))
+    missed = materialize(missed_pairs(inside, classes, groups, threshold), "missed")
+    if not missed.isEmpty():
+        groups = components(groups.select(F.col("vertex").alias("a"), F.col("root").alias("b")).union(missed))
     # Members grow with the corpus: a sort-merge join at every size.
     listed = groups.join(classes.select("id", "weight"), F.col("vertex") == F.col("id")).select("id", "root", "weight")
     members = text_table(docs, "row__", "text").join(listed.hint("merge"), F.col("row__") == F.col("id")).select("id", "root", "weight", "text")

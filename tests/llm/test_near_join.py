@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from llm_helpers import SF, edge_rows, frame
 from retail_lakehouse.llm import near_join, queries
@@ -75,6 +76,29 @@ def test_large_group_of_near_copies_over_blocks(spark, monkeypatch):
     assert got(near_join.near_copies(numbered(docs))) == brute(rows)
 
 
+@pytest.mark.parametrize("sub_bucket,block", [(20_000, 4096), (7, 5)])
+def test_pairs_that_meet_in_one_crowded_bucket_only(spark, monkeypatch, sub_bucket, block):
+    """As if a passage shared by all texts had made the one bucket in which they meet."""
+    real = near_join.sketches
+
+    def crowded(docs, depth):
+        alone = F.transform("prefix", lambda p, i: F.when(i == 0, F.lit(7)).otherwise(F.xxhash64("row__", i)))
+        far = F.transform("rest", lambda r: F.xxhash64("row__"))
+        return real(docs, depth).withColumn("prefix", alone).withColumn("rest", far)
+
+    monkeypatch.setattr(near_join, "sketches", crowded)
+    monkeypatch.setattr(near_join, "SUB_BUCKET", sub_bucket)
+    monkeypatch.setattr(near_join, "SIGNATURES", block, raising=False)
+    rng = random.Random(3)
+    texts = [f"alone {i} " + " ".join(f"w{rng.randrange(5000)}" for _ in range(100)) for i in range(30)]
+    for seed in range(8):
+        texts += variants(1 + seed % 4, edits=2, seed=seed)
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    docs = frame(spark, [(i, t, "en", "s", len(t)) for i, t in rows])
+    assert got(near_join.near_copies(numbered(docs))) == brute(rows)
+
+
 def test_edge_rows(spark):
     rows = [r for r in edge_rows()]
     docs = frame(spark, rows).selectExpr("*", "1 as class_id", "2 as prefix")

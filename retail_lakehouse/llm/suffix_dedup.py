@@ -24,6 +24,8 @@ the group is sorted again with another hash base.
 A passage in very many texts: its inner pieces are alike and resolved by digest;
 groups of over ``GROUP`` different pieces are split by distance to the anchor
 into parts that only meet where the bytes common to the part's windows agree.
+Parts with equal bytes are counted in the map tasks and go on as one; what is
+still over ``LOT_BYTES`` is cut narrower (``WIDTHS``), down to single windows.
 
 Defined results: null text is ''; texts under LENGTH bytes keep everything;
 equal rows repeat each other; an empty table gives an empty result.
@@ -32,7 +34,8 @@ equal rows repeat each other; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
+from functools import lru_cache, reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +51,16 @@ GRAM = 128
 SPREAD = LENGTH - GRAM + 1  # grams in a window
 GROUP = 4000
 UNIT = 4_000_000  # bytes hashed at a time
+WIDTHS = (64, 8, 1)  # distances in a part of a split group, ever narrower
 WINDOWS = 400_000  # windows sorted at a time
+LOT_BYTES = 4_000_000  # bytes sorted at a time
 
 _U = np.uint64
 _PLACE = _U((1 << 24) - 1)
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xDA942042E4DD58B5, 0xA0761D6478BD642F)  # odd
+CUT_FIELDS = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("core", pa.int64()), ("many", pa.bool_()), ("k1", pa.int64()),
+                        ("k2", pa.int64()), ("lo", pa.int64()), ("far", pa.int32()), ("data", pa.binary())])
+CUT_SCHEMA = "key long, part int, core long, many boolean, k1 long, k2 long, lo long, far int, data binary"
 
 
 @lru_cache(maxsize=8)
@@ -241,12 +249,70 @@ def wanted_pieces(shared: DataFrame) -> tuple[DataFrame, DataFrame]:
     return whole, kinds.join(open_, "key").select("key", "p.*", (F.col("m") > 1).alias("many"), "d")
 
 
+def parts_of(piece: bytes, far: int, width: int) -> list[tuple]:
+    """The windows of a piece (the first ``far`` from the anchor) by distance to
+    the anchor, in parts of ``width`` distances: (part, core, place in the piece,
+    distance of the first window, bytes). The core stands for the bytes that all
+    windows at these distances hold."""
+    out = []
+    for b in range((far - len(piece) + LENGTH) // width, far // width + 1):
+        lo, hi = max(0, far - (b + 1) * width + 1), min(len(piece) - LENGTH, far - b * width)
+        core = 0
+        if width < SPREAD:
+            core = xxhash.xxh3_64_intdigest(piece[far - b * width:far - (b + 1) * width + 1 + LENGTH]) - 2 ** 63
+        out.append((b, core, lo, far - lo, piece[lo:hi + LENGTH]))
+    return out
+
+
+def settled(cuts: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(spans of parts of split groups that are repeated as wholes, groups of
+    bounded size that must be compared). Parts with equal bytes are counted in
+    the map tasks and go on as one; groups still over ``LOT_BYTES`` are cut into
+    narrower parts, down to single windows, which equality settles alone."""
+    group = ["key", "part", "core"]
+    known, bounded = [], []
+    for width in (*WIDTHS[1:], None):
+        # One row per distinct part, told apart by its bytes; with n = 1 the minima are its own.
+        alike = [*group, "far", "data"]
+        kinds = materialize(cuts.groupBy(*alike).agg(
+            F.count(F.lit(1)).alias("n"), F.max("many").alias("many"), *[F.min(c).alias(c) for c in ("k1", "k2", "lo")]), "kinds")
+        twice = kinds.where("n > 1").select(*alike)
+        size = F.octet_length("data")
+        known.append(cuts.where("not many").join(twice.hint("merge"), alike).select(
+            "k1", "k2", F.col("lo").alias("from"), (F.col("lo") + size).alias("to")))
+        kinds = kinds.withColumn("many", F.col("many") | (F.col("n") > 1))
+        sizes = kinds.groupBy(*group).agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("d"), F.min("many").alias("all_many")).where("d > 1 and not all_many")
+        left = kinds.drop("n").join(sizes.select(*group, "bytes"), group)
+        columns = ["key", "part", "core", "many", "k1", "k2", "lo", "far", "data"]
+        if width is None:  # single windows of one core are equal, but for a collision of cores
+            bounded.append(left.select(*columns))
+            break
+        bounded.append(left.where(F.col("bytes") <= LOT_BYTES).select(*columns))
+        large = left.where(F.col("bytes") > LOT_BYTES).select(*columns)
+        cuts = materialize(narrower(large, width), "parts")
+        if cuts.isEmpty():
+            break
+    return known, bounded
+
+
+def narrower(cuts: DataFrame, width: int) -> DataFrame:
+    """``cuts`` cut again into parts of ``width`` distances."""
+    def cut(batches):
+        for batch in batches:
+            for part in slices(batch, "data", UNIT // 8):
+                out = []
+                for key, _, _, many, k1, k2, lo, far, data in zip(*(c.to_pylist() for c in part.columns)):
+                    out += [(key, b, core, many, k1, k2, lo + at, far_, bytes_) for b, core, at, far_, bytes_ in parts_of(data, far, width)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(CUT_FIELDS)], schema=CUT_FIELDS)
+
+    return cuts.mapInArrow(cut, CUT_SCHEMA)
+
+
 def cut_out(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of the wanted pieces, by group: (key, part, core, many, k1, k2, lo, far, data);
     ``lo`` is the first window, ``far`` its distance to the anchor."""
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("key", "x", "lo", "hi", "many", "d")).alias("list"))
-    schema = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("core", pa.int64()), ("many", pa.bool_()), ("k1", pa.int64()),
-                        ("k2", pa.int64()), ("lo", pa.int64()), ("far", pa.int32()), ("data", pa.binary())])
+    schema = CUT_FIELDS
 
     def cut(batches):
         for batch in batches:
@@ -256,23 +322,17 @@ def cut_out(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                                               part.column(2).cast(pa.binary()), part.column(3).to_pylist()):
                     data = text.as_buffer()
                     for p in todo:
-                        width = SPREAD if p["d"] <= GROUP else max(1, SPREAD * GROUP // p["d"])
-                        # Windows by distance to the anchor, in parts of ``width`` distances.
-                        for b in range((p["x"] - p["hi"]) // width, (p["x"] - p["lo"]) // width + 1):
-                            lo = max(p["lo"], p["x"] - (b + 1) * width + 1)
-                            hi = min(p["hi"], p["x"] - b * width)
-                            core = 0
-                            if width < SPREAD:  # all windows at these distances hold these bytes
-                                a, e = p["x"] - b * width, p["x"] - (b + 1) * width + 1 + LENGTH
-                                core = xxhash.xxh3_64_intdigest(bytes(data[a:e])) - 2 ** 63 if e <= len(data) and a >= 0 else b
-                            out.append((p["key"], b, core, p["many"], k1, k2, lo, p["x"] - lo, bytes(data[lo:hi + LENGTH])))
+                        width = SPREAD if p["d"] <= GROUP else WIDTHS[0]
+                        piece = bytes(data[p["lo"]:p["hi"] + LENGTH])
+                        out += [(p["key"], b, core, p["many"], k1, k2, p["lo"] + at, far, part_)
+                                for b, core, at, far, part_ in parts_of(piece, p["x"] - p["lo"], width)]
                 for at in range(0, len(out), 5000):
                     rows_ = out[at:at + 5000]
                     yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows_], f.type) for i, f in enumerate(schema)], schema=schema)
 
     # Lists grow with the corpus: sort-merge joins at every size, here and below.
     return rows.join(lists.hint("merge"), ["k1", "k2"]).select("k1", "k2", "text", "list").mapInArrow(
-        cut, "key long, part int, core long, many boolean, k1 long, k2 long, lo long, far int, data binary")
+        cut, CUT_SCHEMA)
 
 
 def compared(cuts: DataFrame) -> DataFrame:
@@ -302,22 +362,20 @@ def compared(cuts: DataFrame) -> DataFrame:
             names=["k1", "k2", "from", "to"])
 
     def run(batches):
-        lot, group, key, number, amount = [], [], None, 0, 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[:3] != key:
-                    if len(group) > 1:
-                        lot += group
-                    else:
-                        amount -= sum(len(p[-1]) - LENGTH + 1 for p in group)
-                    if amount > WINDOWS:
-                        yield solve(lot)
-                        lot, amount, number = [], 0, 0
-                    key, group, number = row[:3], [], number + 1
-                group.append((number, *row[3:]))
-                amount += len(row[-1]) - LENGTH + 1
-        if len(group) > 1:
+        lot, windows, size, number = [], 0, 0, 0
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for _, members in groupby(rows, lambda r: r[:3]):
+            group = [(number, *row[3:]) for row in members]
+            number += 1
+            if len(group) < 2:
+                continue
+            more_bytes = sum(len(p[-1]) for p in group)
+            more = more_bytes - (LENGTH - 1) * len(group)
+            if lot and (windows + more > WINDOWS or size + more_bytes > LOT_BYTES):
+                yield solve(lot)
+                lot, windows, size = [], 0, 0
             lot += group
+            windows, size = windows + more, size + more_bytes
         if lot:
             yield solve(lot)
 
@@ -330,7 +388,13 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     often = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     shared = materialize(found.join(often, "key"), "shared-pieces")
     whole, wanted = wanted_pieces(shared)
-    return whole.union(compared(cut_out(rows, wanted)))
+    if shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).isEmpty():
+        return whole.union(compared(cut_out(rows, wanted)))
+    cuts = materialize(cut_out(rows, wanted), "cuts")
+    large = wanted.where(F.col("d") > GROUP).select("key").distinct()
+    known, bounded = settled(cuts.join(large, "key", "left_semi"))
+    spans = [whole, *known, compared(reduce(DataFrame.union, [cuts.join(large, "key", "left_anti"), *bounded]))]
+    return reduce(DataFrame.union, spans)
 
 
 def merged(spans: list) -> list[tuple[int, int]]:

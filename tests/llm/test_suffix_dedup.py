@@ -60,6 +60,26 @@ def test_split_groups_long_texts_and_small_lots(spark, monkeypatch, group, unit,
     assert got(suffix_dedup.cleaned(docs)) == brute(rows)
 
 
+def test_a_passage_in_most_texts_leaves_only_bounded_groups(spark, monkeypatch):
+    """Pieces that begin and end with a text's own bytes must not meet in one task as a whole."""
+    monkeypatch.setattr(suffix_dedup, "GROUP", 3)
+    monkeypatch.setattr(suffix_dedup, "LOT_BYTES", 4000, raising=False)
+    seen, real = [], suffix_dedup.compared
+
+    def watched(cuts):
+        seen.append(cuts.groupBy("key", "part", "core").agg({"data": "count"}).agg({"count(data)": "max"}).first()[0])
+        return real(cuts)
+
+    monkeypatch.setattr(suffix_dedup, "compared", watched)
+    rng = random.Random(5)
+    own = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = own(700)
+    rows = [(i, own(300 + i) + passage[i % 2 * 3:] + own(200)) for i in range(60)] + list(enumerate(passages(8), 60))
+    docs = frame(spark, [(i, t, "en", "s", 0) for i, t in rows])
+    assert got(suffix_dedup.cleaned(docs)) == brute(rows)
+    assert max(seen) <= 10  # parts of 400 bytes and more
+
+
 def test_documents(spark):
     rows = [(r["doc_id"], r["text"]) for r in queries.documents(spark, SF).collect()]
     assert got(queries.op8_suffix_dedup(spark, SF)) == brute(rows)

@@ -11,7 +11,8 @@ Index and search: every row is put into its most probable part; a query goes to
 its most probable parts and is compared there with all rows, by inner product in
 double precision. A part is a grid of (row block, query block) cells of bounded
 size, so one that holds a third of all rows, or one vector repeated very often,
-is spread over many tasks; a cell returns at most k rows per query.
+is spread over many tasks; of equal vectors a cell scores only the rows with the
+smallest ids that a query can need, and returns at most k rows per query.
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite
 component take no part, nor do those whose length is not the most common one;
@@ -34,6 +35,7 @@ from retail_lakehouse.llm.interpolated_lm import _by_key
 
 ROWS_PER_CELL = 20_000
 QUERIES_PER_CELL = 4_000
+RESCORED = 2_000_000  # components multiplied at a time
 
 
 @dataclass(frozen=True)
@@ -151,6 +153,26 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
+def needed_copies(x: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """The rows that can be among the k nearest of some query, if equal vectors
+    are taken from the smallest id up: k of each distinct vector and, as a query
+    never meets rows with its own id, as many more as one id has there."""
+    bits = np.ascontiguousarray(x + 0.0).view(np.dtype((np.void, x.shape[1] * x.itemsize))).reshape(-1)
+    _, which = np.unique(bits, return_inverse=True)
+    order = np.lexsort((ids, which))
+    v, i = which[order], ids[order]
+    new_vector = np.append(True, v[1:] != v[:-1])
+    new_id = new_vector | np.append(True, i[1:] != i[:-1])
+    firsts = np.flatnonzero(new_id)
+    repeats = np.zeros(v.max() + 1, dtype=np.int64)
+    np.maximum.at(repeats, v[firsts], np.minimum(np.diff(np.append(firsts, len(v))), k))
+    # Of one id, rows after the k-th are never needed.
+    of_id = np.arange(len(v)) - np.repeat(firsts, np.diff(np.append(firsts, len(v))))
+    order, v = order[of_id < k], v[of_id < k]
+    place = np.arange(len(v)) - np.searchsorted(v, v)
+    return np.sort(order[place < k + repeats[v]])
+
+
 def search(rows: DataFrame, is_query, k: int, fit: Fit = Fit(), id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The k nearest rows of each row for which ``is_query`` (a column over
     ``vec_id``) holds: (query_id, rank, vec_id, score)."""
@@ -192,6 +214,8 @@ def search(rows: DataFrame, is_query, k: int, fit: Fit = Fit(), id_column: str =
                 yield from nearest(np.array(x), ids[side == 0], np.array(q), ids[side == 1])
 
     def nearest(x, x_ids, q, q_ids):
+        used = needed_copies(x, x_ids, k)
+        x, x_ids = x[used], x_ids[used]
         for lo in range(0, len(q), 256):
             some, some_ids = q[lo:lo + 256], q_ids[lo:lo + 256]
             rough = some @ x.T
@@ -201,7 +225,10 @@ def search(rows: DataFrame, is_query, k: int, fit: Fit = Fit(), id_column: str =
             # what may tie with the k-th, then compare sums made in one order.
             slack = 1e-9 * np.linalg.norm(some, axis=1) * np.linalg.norm(x, axis=1).max()
             a, b = np.nonzero((rough >= (kth - slack)[:, None]) & (rough > -np.inf))
-            score = (some[a] * x[b]).sum(axis=1)
+            score = np.empty(len(a))
+            step = max(1, RESCORED // x.shape[1])
+            for at in range(0, len(a), step):
+                score[at:at + step] = (some[a[at:at + step]] * x[b[at:at + step]]).sum(axis=1)
             order = np.lexsort((x_ids[b], -score, a))
             a, b, score = a[order], b[order], score[order]
             rank = np.arange(len(a)) - np.searchsorted(a, a)

@@ -53,6 +53,19 @@ def test_probing_every_part_is_exact(spark, monkeypatch):
     assert {q: [i for i, _ in v] for q, v in found.items()} == {q: [i for i, _ in v] for q, v in want.items()}
 
 
+def test_few_copies_of_one_vector_are_scored():
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 2, (3000, 3)).astype(np.float64)
+    ids = rng.integers(0, 900, 3000)
+    ids[:50] = 4  # one id very often
+    kept = learned_ann.needed_copies(x, ids, 5)
+    assert len(kept) <= 8 * 10
+    for own in [*np.unique(ids[kept]), -1]:
+        for v in np.unique(x, axis=0):
+            best = [sorted(ids[at][(x[at] == v).all(axis=1) & (ids[at] != own)])[:5] for at in (np.arange(3000), kept)]
+            assert best[0] == best[1]
+
+
 def test_unusable_vectors_few_rows_and_clashing_names(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (40, None), (60, []), (80, [0.0, 0.0]), (100, [float("nan"), 1.0]), (120, [float("inf"), 1.0]),
             (140, [None, 1.0]), (160, [1.0, 2.0, 3.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (None, [1.0, 1.0]), (20, [0.5, 0.5])]

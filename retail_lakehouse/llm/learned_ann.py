@@ -17,8 +17,9 @@ smallest ids that a query can need, and returns at most k rows per query.
 Defined results: vectors that are null, empty, zero or hold a null or non-finite
 component take no part, nor do those whose length is not the most common one;
 ties go to the smaller vec_id; equal vec_ids are separate candidates, but a query
-never meets rows with its own id; a query with fewer candidates gets them all
-(its parts are then all parts); empty tables give an empty result.
+never meets rows with its own id; a query takes further parts until they hold k
+other rows, so one with fewer candidates gets them all; empty tables give an
+empty result.
 """
 
 from __future__ import annotations
@@ -185,15 +186,27 @@ def search(rows: DataFrame, is_query, k: int, fit: Fit = Fit(), id_column: str =
 
     def route(batches):
         for batch in batches:
-            ranked = router.ranked(_matrix(batch.column(1)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ranked[:, 0].astype("int32")),
-                 pa.array(list(ranked[:, :router.probes].astype("int32")), pa.list_(pa.int32()))], names=["vec_id", "v", "home", "probes"])
+            home = router.ranked(_matrix(batch.column(1)))[:, 0]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(home.astype("int32"))], names=["vec_id", "v", "home"])
 
-    index = materialize(known.mapInArrow(route, "vec_id long, v array<double>, home int, probes array<int>"), "vectors")
-    asked = index.where(is_query).select("vec_id", "v", F.explode("probes").alias("part"))
+    index = materialize(known.mapInArrow(route, "vec_id long, v array<double>, home int"), "vectors")
     # Two rows per part come to the driver, and part numbers are bounded by ``fit.parts``.
     n_rows = {r["home"]: r["n"] for r in index.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # A query never meets rows with its own id: so many more must be in its parts.
+    own_rows = index.where(is_query).groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    held = np.array([n_rows.get(p, 0) for p in range(parts)])
+
+    def probe(batches):
+        for batch in batches:
+            ranked = router.ranked(_matrix(batch.column(1)))
+            before = np.cumsum(held[ranked], axis=1) - held[ranked]
+            taken = (np.arange(parts) < router.probes) | (before < k + own_rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([r[t].astype("int32") for r, t in zip(ranked, taken)], pa.list_(pa.int32()))],
+                names=["vec_id", "v", "probes"])
+
+    asked = index.where(is_query).select("vec_id", "v").mapInArrow(probe, "vec_id long, v array<double>, probes array<int>").select(
+        "vec_id", "v", F.explode("probes").alias("part"))
     n_asked = {r["part"]: r["n"] for r in asked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     grid = [(p, buckets_for(n_rows.get(p, 0), ROWS_PER_CELL), buckets_for(n_asked.get(p, 0), QUERIES_PER_CELL)) for p in range(parts)]
     cells = rows.sparkSession.createDataFrame(grid, "part int, row_blocks long, query_blocks long")

@@ -66,6 +66,19 @@ def test_few_copies_of_one_vector_are_scored():
             assert best[0] == best[1]
 
 
+def test_queries_of_sparse_parts_get_k_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((300, 4))
+    weights = np.zeros((6, 4))
+    weights[0, 1:] = [40, 41, 42]  # three parts for what lies along the first axis, the rest in part 0
+    x[:, 0] = -np.abs(x[:, 0])
+    x[::40, 0] *= -1
+    monkeypatch.setattr(learned_ann, "learn", lambda *_: learned_ann.Router(weights, 1))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = by_query(learned_ann.search(df, F.col("vec_id") % 20 == 0, 20))
+    assert {q: len(near) for q, near in found.items()} == {q: 20 for q in range(0, 300, 20)}
+
+
 def test_unusable_vectors_few_rows_and_clashing_names(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (40, None), (60, []), (80, [0.0, 0.0]), (100, [float("nan"), 1.0]), (120, [float("inf"), 1.0]),
             (140, [None, 1.0]), (160, [1.0, 2.0, 3.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (None, [1.0, 1.0]), (20, [0.5, 0.5])]

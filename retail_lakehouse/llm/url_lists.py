@@ -2,7 +2,8 @@
 
 List entries (pattern, action, listed_at) say from when on a pattern is
 blocked, allowed or off the list ("remove"). A pattern is a host, a parent
-domain of hosts, or a host with leading path segments. Entries of one pattern
+domain of hosts (a single label as well), or a host with leading path segments;
+the case of its host does not count. Entries of one pattern
 become validity intervals: each holds until the next one. A capture is judged
 by the entries active at its fetch time; of these the most specific decides
 (more path segments, then more host labels).
@@ -43,7 +44,10 @@ def segments(url: Column) -> Column:
 def intervals(entries: DataFrame) -> DataFrame:
     """(pattern, action, valid_from, valid_to): half-open, valid_to null while it still holds."""
     rank = F.array_position(F.array(F.lit("remove"), F.lit("allow"), F.lit("block")), F.col("action"))
-    dated = entries.select("pattern", "action", "listed_at").where(
+    cut = F.instr("pattern", "/")
+    name = F.when(cut > 0, F.substring("pattern", F.lit(1), cut - 1)).otherwise(F.col("pattern"))
+    pattern = F.concat(F.lower(name), F.when(cut > 0, F.substr("pattern", cut)).otherwise(F.lit("")))
+    dated = entries.select(pattern.alias("pattern"), "action", "listed_at").where(
         "pattern is not null and action is not null and listed_at is not null")
     # One entry per pattern and time, then each lasts until the next.
     single = dated.groupBy("pattern", F.col("listed_at").alias("valid_from")).agg(
@@ -57,7 +61,7 @@ def _patterns(depth: Column) -> Column:
     with its specificity (path segments, host labels)."""
     labels = F.split("host", r"\.")
     domains = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
+        F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.struct(F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("pattern"),
                            F.lit(0).alias("path_len"), (F.size(labels) - i + 1).alias("labels")))
     n = F.least(F.size("segments"), depth)

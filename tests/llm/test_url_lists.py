@@ -55,6 +55,14 @@ def test_every_capture_against_the_entries_of_its_time(spark):
     assert judged(spark, captures, ENTRIES) == brute(captures, ENTRIES)
 
 
+def test_single_labels_and_case_of_the_host(spark):
+    captures = [(u, t(20)) for u in ("http://a.b.gov/x", "http://www.Example.com/P/q", "http://localhost/a")]
+    entries = [("gov", "block", t(1)), ("Example.COM", "allow", t(1)), ("WWW.example.com/P", "block", t(2)), ("www.example.com/p", "allow", t(3)), ("localhost", "block", t(1))]
+    found = {u: (d, p, n) for u, _, d, p, _, n in judged(spark, captures, entries)}
+    assert found == {"http://a.b.gov/x": ("block", "gov", 1), "http://www.Example.com/P/q": ("block", "www.example.com/P", 2),
+                     "http://localhost/a": ("block", "localhost", 1)}
+
+
 def test_empty_tables(spark):
     assert judged(spark, [], ENTRIES) == []
     captures = [(u, t(1)) for u in URLS]

@@ -29,7 +29,7 @@ from retail_lakehouse.llm.tokens import slices, strings
 
 SNIPPETS = 600
 SNIPPET_CHARS = 200
-DICTIONARY_BYTES = 64_000
+DICTIONARY_BYTES = SNIPPETS * (SNIPPET_CHARS + 1) * 4  # all snippets, in any script
 SEGMENT_BYTES = 700
 MIN_MARGIN = 0.002
 UNKNOWN = "und"
@@ -37,7 +37,7 @@ ADDED = ("lang_pred", "score", "rejected")
 
 _OTHER = r"[^\pL\pM]+"
 _LETTER = re.compile(r"[^\W\d_]")
-_PARAMETERS = dict(strategy=zstd.STRATEGY_GREEDY, window_log=17, hash_log=15, chain_log=15, search_log=2, min_match=4,
+_PARAMETERS = dict(strategy=zstd.STRATEGY_GREEDY, window_log=19, hash_log=17, chain_log=17, search_log=2, min_match=4,
                    write_content_size=False)
 
 

@@ -56,3 +56,12 @@ def test_narrow_margins_are_rejected():
 
 def test_letters_only():
     assert language_id.letters_only(pa.array(["A b!! 12c", None, "É\n\nx", " 3 "])) == ["a b c", "", "é x", ""]
+
+
+def test_every_snippet_teaches(spark):
+    letters = "бвгджзклмн"
+    words = ["".join(letters[int(c)] for c in f"{i:06d}") for i in range(language_id.SNIPPETS)]
+    rows = [(i, " ".join([w] * 28), "ru", "s", 195) for i, w in enumerate(words)]
+    learned = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    assert set(words) <= set(learned["ru"].decode().split())
+    assert len(learned["ru"]) + language_id.SEGMENT_BYTES <= 1 << language_id._PARAMETERS["window_log"]

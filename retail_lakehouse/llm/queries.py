@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_lakehouse.llm import exact_dedup, framefile, interpolated_lm, language_id, learned_ann, mixing, near_join, packing, suffix_dedup, url_lists
+from retail_lakehouse.llm import exact_dedup, framefile, interpolated_lm, language_id, learned_ann, mixing, near_join, packing, source_divergence, suffix_dedup, url_lists
 from retail_lakehouse.llm.common import crc32_fold, numbered
 from retail_lakehouse.session import prepare
 
@@ -78,6 +78,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(documents(spark, sf_dir), MIX).drop("row__")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergences(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -90,12 +94,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_token_files": op9_token_files,
         "op10_source_mix": op10_source_mix,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_url_lists": url_lists.ORACLE,
+        "op13_source_divergence": source_divergence.ORACLE,
         "op4_exact_dedup": """
 select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
        count(*) over (partition by coalesce(text, '')) as group_size,

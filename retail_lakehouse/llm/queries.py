@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_lakehouse.llm import exact_dedup, framefile, interpolated_lm, language_id, learned_ann, mixing, near_join, packing, source_divergence, suffix_dedup, url_lists
+from retail_lakehouse.llm import exact_dedup, framefile, interpolated_lm, language_id, learned_ann, mixing, near_join, packing, prefix_trie, source_divergence, suffix_dedup, toxicity, url_lists
 from retail_lakehouse.llm.common import crc32_fold, numbered
 from retail_lakehouse.session import prepare
 
@@ -78,6 +78,16 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(documents(spark, sf_dir), MIX).drop("row__")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", crc32_fold(F.col("doc_id"), 5) == 0)
+    network = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~F.col("held_out"))
+    return toxicity.scored(docs, network, ["doc_id", "held_out"])
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.divergences(documents(spark, sf_dir))
 
@@ -94,6 +104,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_token_files": op9_token_files,
         "op10_source_mix": op10_source_mix,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_toxicity": op12_toxicity,
         "op13_source_divergence": op13_source_divergence,
     }
 

@@ -26,9 +26,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,26 +67,22 @@ def term_counts(text: str) -> Counter:
     return found
 
 
-def _stripe_batch(rows: list[tuple]) -> pa.RecordBatch:
-    lang, term, docs, sources, counts = zip(*rows)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(term, pa.binary()), pa.array(docs, pa.int64()),
-         pa.array(sources, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64()))],
-        names=["lang", "term", "docs", "sources", "counts"])
-
-
 def spilled(stripes: dict[str, dict[bytes, dict[str, int]]]):
     """The stripes of a task as batches for the shuffle."""
-    rows = []
     for lang, terms in stripes.items():
-        for term, entries in terms.items():
-            rows.append((lang, term, sum(v // _ONE_DOCUMENT for v in entries.values()), list(entries),
-                         [v % _ONE_DOCUMENT for v in entries.values()]))
-            if len(rows) >= ROWS_OUT:
-                yield _stripe_batch(rows)
-                rows = []
-    if rows:
-        yield _stripe_batch(rows)
+        keys = list(terms)
+        for at in range(0, len(keys), ROWS_OUT):
+            some = keys[at:at + ROWS_OUT]
+            entries = [terms[t] for t in some]
+            ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, entries), np.int64, len(entries)))])
+            packed = np.fromiter(chain.from_iterable(e.values() for e in entries), np.int64, int(ends[-1]))
+            sources = pa.array(chain.from_iterable(entries), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(some), pa.string()), pa.array(some, pa.binary()),
+                 pa.array(np.add.reduceat(packed // _ONE_DOCUMENT, ends[:-1])),
+                 pa.ListArray.from_arrays(ends.astype(np.int32), sources),
+                 pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(packed % _ONE_DOCUMENT))],
+                names=["lang", "term", "docs", "sources", "counts"])
 
 
 def folded(docs: DataFrame, spill_entries: int = SPILL_ENTRIES) -> DataFrame:
@@ -114,44 +112,65 @@ def folded(docs: DataFrame, spill_entries: int = SPILL_ENTRIES) -> DataFrame:
     return docs.mapInArrow(fold, STRIPE)
 
 
+def runs_of(batch: pa.RecordBatch, min_documents: int):
+    """Runs of one key in a sorted batch, as (key, docs, {source: count}): the first and
+    the last, which may go on in other batches, and those in between that reach ``min_documents``."""
+    lang, term, docs, sources, counts = batch.columns
+    n = batch.num_rows
+    new = np.ones(n, dtype=bool)
+    for c in (lang, term):
+        same = pc.equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        new[1:] = new[1:] & same if c is lang else ~(new[1:] & same)
+    begin = np.flatnonzero(new)
+    total = np.add.reduceat(docs.to_numpy(), begin)
+    wanted = total >= min_documents
+    wanted[[0, -1]] = True
+    ends = sources.offsets.to_numpy()
+    run = np.repeat(np.cumsum(new) - 1, np.diff(ends))
+    coded, n_of = sources.flatten().dictionary_encode(), counts.flatten().to_numpy()
+    names, width = coded.dictionary.to_pylist(), len(coded.dictionary)
+    kept = np.flatnonzero(wanted[run])
+    cell = run[kept] * width + coded.indices.to_numpy()[kept]
+    order = np.argsort(cell, kind="stable")
+    cell, n_of = cell[order], n_of[kept][order]
+    first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+    sums, cell = np.add.reduceat(n_of, first), cell[first]
+    found: dict[int, dict[str, int]] = {}
+    for r, s, c in zip((cell // width).tolist(), (cell % width).tolist(), sums.tolist()):
+        found.setdefault(r, {})[names[s]] = c
+    for r in np.flatnonzero(wanted).tolist():
+        at = int(begin[r])
+        yield (lang[at].as_py(), term[at].as_py()), int(total[r]), found[r]
+
+
 def merged_stripes(partial: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """One stripe per (lang, term) that is in at least ``min_documents`` documents."""
 
-    def merge(batches):
-        key, docs, parts, out = None, 0, [], []
-
-        def close():
-            if docs >= min_documents:
-                total: dict[str, int] = {}
-                for sources, counts in parts:
-                    for s, n in zip(sources, counts):
-                        total[s] = total.get(s, 0) + n
-                out.append((key[0], key[1], list(total), list(total.values())))
-
-        def batch_of(rows):
-            lang, term, sources, counts = zip(*rows)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(term, pa.binary()), pa.array(sources, pa.list_(pa.string())),
-                 pa.array(counts, pa.list_(pa.int64()))], names=["lang", "term", "sources", "counts"])
+    def batch_of(rows):
+        (lang, term), sources, counts = zip(*[k for k, *_ in rows]), [list(e) for _, _, e in rows], [list(e.values()) for _, _, e in rows]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(lang, pa.string()), pa.array(term, pa.binary()), pa.array(sources, pa.list_(pa.string())),
+             pa.array(counts, pa.list_(pa.int64()))], names=["lang", "term", "sources", "counts"])
 
+    def merge(batches):
+        key, docs, entries, out = None, 0, {}, []
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for lang, term, n, sources, counts in zip(*columns):
-                if key != (lang, term):
-                    close()
-                    key, docs, parts = (lang, term), 0, []
-                docs += n
-                parts.append((sources, counts))
-                if len(parts) >= 1000:  # a term of many spills: merge as they come
-                    total: dict[str, int] = {}
-                    for ss, cs in parts:
-                        for s, c in zip(ss, cs):
-                            total[s] = total.get(s, 0) + c
-                    parts = [(list(total), list(total.values()))]
-                if len(out) >= ROWS_OUT:
-                    yield batch_of(out)
-                    out = []
-        close()
+            if not batch.num_rows:
+                continue
+            for k, n, e in runs_of(batch, min_documents):
+                if k == key:  # the run that the batch before ended with
+                    docs += n
+                    for s, c in e.items():
+                        entries[s] = entries.get(s, 0) + c
+                    continue
+                if docs >= min_documents:
+                    out.append((key, docs, entries))
+                key, docs, entries = k, n, e
+            if len(out) >= ROWS_OUT:
+                yield batch_of(out)
+                out = []
+        if docs >= min_documents:
+            out.append((key, docs, entries))
         if out:
             yield batch_of(out)
 

@@ -93,32 +93,3 @@ def distributed_ntile(df: DataFrame, n: int, order: Sequence[Column | str], out_
     if reverse:
         bucket = (F.lit(n + 1) - bucket).cast("int")
     return ranked.withColumn(out_col, bucket).drop("_pos", "_total")
-
-
-def bucket_starts(df: DataFrame, n: int, value: str, tie: str, partitions: int | None = None) -> list[tuple]:
-    """(value, tie) of the first row of buckets 2 … n of ``ntile(n)`` over
-    ascending (value, tie), NULLs first: what cuts the order into buckets.
-
-    Only these two columns of ``df`` (a stored table, ``tie`` unique) are sorted
-    and written; at most ``n - 1`` rows come back to the driver.
-    """
-    pair = df.select(F.col(value).alias("_value"), F.col(tie).alias("_tie"))
-    ranked = row_positions(pair, ["_value", "_tie"], partitions or frame_partitions(df, 2))
-    bucket = ntile_bucket(F.col("_pos"), F.col("_total"), n)
-    # The first position of a bucket is the one whose predecessor is in another.
-    previous = ntile_bucket(F.col("_pos") - 1, F.col("_total"), n)
-    first = ranked.where((F.col("_pos") > 1) & (bucket != previous)).select("_pos", "_value", "_tie")
-    return [(r["_value"], r["_tie"]) for r in sorted(first.collect(), key=lambda r: r["_pos"])]
-
-
-def bucket_by_starts(starts: Sequence[tuple], value: str, tie: str, value_type: str) -> Column:
-    """The bucket (1 …) of a row, given the first rows of the later buckets."""
-    row = F.struct(F.col(value).alias("v"), F.col(tie).alias("t"))
-    reached = [
-        (row >= F.struct(F.lit(v).cast(value_type).alias("v"), F.lit(t).cast("string").alias("t"))).cast("int")
-        for v, t in starts
-    ]
-    out = F.lit(1)
-    for r in reached:
-        out = out + r
-    return out.cast("int")

@@ -17,7 +17,7 @@ from retail_lakehouse.functions.columns import (
     exact_avg,
     exact_quotient,
 )
-from retail_lakehouse.operators.ntile import bucket_by_starts, bucket_starts
+from retail_lakehouse.operators.selection import bucket_by_starts, order_key, quantile_starts
 from retail_lakehouse.session import materialize
 
 
@@ -148,30 +148,28 @@ def rfm_metrics(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     )
 
 
-def mart_customer_rfm(fct_orders: DataFrame, dim_customers: DataFrame, partitions: int | None = None) -> DataFrame:
+def mart_customer_rfm(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """RFM scores by quintile: recency 5 = most recent, frequency and monetary
     5 = highest. Ties are broken by ``customer_unique_id`` so the scores are
     repeatable. Recency counts from the day after the last order of all.
 
     The metrics (one row per person) are written once to the shared checkpoint
-    folder. Each quintile sorts two columns of them by range over the cluster
-    and returns the four rows that begin a quintile; a score is then a
-    comparison with these rows, so no person row is ranked in one task, joined or
-    written again.
+    folder. The first rows of the quintiles of all three orders are selected
+    together (``quantile_starts``); a score is then a comparison with these rows,
+    so no person row is sorted, ranked, joined or written again.
     """
     m = materialize(rfm_metrics(fct_orders, dim_customers), "rfm-metrics")
     snapshot = m.select(F.date_add(F.max("last_order_date"), 1)).scalar()
     recency = F.datediff(snapshot, F.col("last_order_date"))
-    tie = "customer_unique_id"
-
-    def score(value: str):
-        return bucket_by_starts(bucket_starts(m, 5, value, tie, partitions), value, tie, m.schema[value].dataType.simpleString())
-
-    # The least recent has the oldest last order: recency ascending is the date
-    # descending, so its reversed bucket is found on the days themselves.
-    days = materialize(m.select(tie, recency.alias("recency_days")), "rfm-recency")
-    recent = bucket_by_starts(bucket_starts(days, 5, "recency_days", tie, partitions), "recency_days", tie, "int")
-    scored = m.select(
+    # The fewest days since the last order: the latest date first.
+    keys = {
+        "recency": order_key(m, "last_order_date", descending=True),
+        "frequency": order_key(m, "order_count"),
+        "monetary": order_key(m, "monetary_value"),
+    }
+    starts = quantile_starts(m, 5, keys, "customer_unique_id")
+    quintile = {name: bucket_by_starts(starts[name], key, "customer_unique_id") for name, key in keys.items()}
+    return m.select(
         "customer_unique_id",
         snapshot.alias("snapshot_date"),
         "last_order_date",
@@ -179,11 +177,8 @@ def mart_customer_rfm(fct_orders: DataFrame, dim_customers: DataFrame, partition
         "order_count",
         "monetary_value",
         "average_order_value",
-    )
-    return scored.select(
-        "*",
-        (F.lit(6) - recent).cast("int").alias("recency_score"),
-        score("order_count").alias("frequency_score"),
-        score("monetary_value").alias("monetary_score"),
+        (F.lit(6) - quintile["recency"]).cast("int").alias("recency_score"),
+        quintile["frequency"].alias("frequency_score"),
+        quintile["monetary"].alias("monetary_score"),
     ).withColumn("rfm_score", F.concat(F.col("recency_score").cast("string"), F.col("frequency_score").cast("string"),
                                        F.col("monetary_score").cast("string")))

@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from retail_lakehouse.operators import ntile
-from retail_lakehouse.operators.ntile import bucket_by_starts, bucket_starts, distributed_ntile, frame_partitions
+from retail_lakehouse.operators.ntile import distributed_ntile, frame_partitions
 from retail_lakehouse.session import materialize
 
 
@@ -24,24 +24,6 @@ def test_distributed_ntile_equals_window_ntile(spark, n_rows, n, distinct, parts
     assert rev == {k: n + 1 - v for k, v in expect.items()}
 
 
-@pytest.mark.parametrize("n_rows,n,distinct", [(0, 5, 1), (1, 5, 1), (3, 5, 2), (100, 5, 4), (1003, 7, 40), (57, 5, 57)])
-def test_buckets_by_their_first_rows_equal_window_ntile(spark, n_rows, n, distinct):
-    rnd = random.Random(n_rows)
-    rows = [(f"k{i:05d}", rnd.choice([None, *range(distinct)])) for i in range(n_rows)]
-    df = materialize(spark.createDataFrame(rows, "id string, v int"))
-    order = Window.orderBy(F.col("v").asc_nulls_first(), F.col("id").asc_nulls_first())
-    expect = {r["id"]: r["b"] for r in df.select("id", F.ntile(n).over(order).alias("b")).collect()}
-    bucket = bucket_by_starts(bucket_starts(df, n, "v", "id", 4), "v", "id", "int")
-    assert {r["id"]: r["b"] for r in df.select("id", bucket.alias("b")).collect()} == expect
-
-
-def test_rfm_ranks_no_person_rows_in_one_task(spark):
-    from retail_lakehouse import registry
-    plan = registry.queries()["mart_customer_rfm"](spark, "/root/testdata/sf0.001")
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in text
-
-
 def test_frame_partitions_follow_the_stored_bytes(spark, monkeypatch):
     df = materialize(spark.range(1000).selectExpr("id", "id as a", "id as b", "id as c"))
     monkeypatch.setattr(ntile, "input_bytes", lambda spark, folders: 64 * 1024 ** 3)

@@ -4,11 +4,9 @@ Each check returns its *failing* rows (what a schema test query returns);
 ``run_checks`` turns a suite into one DataFrame of
 ``(check_name, table_name, column_name, failing_rows, passed)``.
 
-Scale: the not-null, accepted-value and range checks of one table are fused
-into a single aggregate pass; ``unique`` is one partial+final aggregate on the
-column; ``relationships`` counts child rows per key (map-side partial) and
-anti-joins those counts with the distinct parent keys. No rows reach the
-driver.
+Scale: a suite is one aggregation. Every table is scanned once and emits, for all of
+its checks together, rows (check, key, side), which are combined in the map tasks and
+cross one shuffle. No rows reach the driver.
 """
 
 from __future__ import annotations
@@ -95,54 +93,83 @@ class Check:
         return f"{self.kind}_{self.table}_{self.column.replace(',', '_')}"
 
 
-def _fused_expr(c: Check) -> Column:
-    col = F.col(c.column.split(",")[0])
-    if c.kind == "not_null":
-        return F.count_if(col.isNull())
-    if c.kind == "accepted_values":
-        return F.count_distinct(F.when(~col.isin(list(c.values)), col))
-    if c.kind == "non_negative":
-        cond = None
-        for name in c.column.split(","):
-            part = F.col(name) < 0
-            cond = part if cond is None else (cond | part)
-        return F.count_if(F.coalesce(cond, F.lit(False)))
-    raise ValueError(c.kind)
+# What an entry says about its key.
+FAILS, CHILD, PARENT = 0, 1, 2
 
 
-def _result(check: Check, failing: Column) -> list[Column]:
-    return [
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-        failing.cast("bigint").alias("failing_rows"),
-    ]
+def stacked_entries(tables: Callable[[str], DataFrame], suite: Sequence[Check]) -> DataFrame:
+    """All that the checks need, as rows (check, a, b, side): the check's
+    number, 128 bits of a key, and what the row is. One scan per table feeds all of
+    its checks, as child and as parent; passing values of row checks emit nothing."""
+    wanted: dict[str, list[Column]] = {}
 
+    def entry(i: int, condition: Column, key: Column | None, side: int) -> Column:
+        bits = [F.lit(0).cast("long")] * 2 if key is None else [F.xxhash64(key), F.xxhash64(key, F.lit("b"))]
+        return F.when(condition, F.struct(F.lit(i).alias("check"), bits[0].alias("a"), bits[1].alias("b"),
+                                          F.lit(side).cast("byte").alias("side")))
 
-def run_checks(tables: Mapping[str, DataFrame] | Callable[[str], DataFrame],
-               suite: Sequence[Check]) -> DataFrame:
-    """Evaluate a suite; one output row per check."""
-    get = tables if callable(tables) else tables.__getitem__
-    parts: list[DataFrame] = []
-    fused: dict[str, list[Check]] = {}
-    for c in suite:
-        if c.kind in ("not_null", "accepted_values", "non_negative"):
-            fused.setdefault(c.table, []).append(c)
+    for i, c in enumerate(suite):
+        mine = wanted.setdefault(c.table, [])
+        col = F.col(c.column.split(",")[0])
+        if c.kind == "not_null":
+            mine.append(entry(i, col.isNull(), None, FAILS))
+        elif c.kind == "non_negative":
+            below = [F.coalesce(F.col(name) < 0, F.lit(False)) for name in c.column.split(",")]
+            mine.append(entry(i, F.array_contains(F.array(*below), True), None, FAILS))
+        elif c.kind == "accepted_values":
+            mine.append(entry(i, ~col.isin(list(c.values)), col, FAILS))
         elif c.kind == "unique":
-            failing = unique(get(c.table), c.column).agg(F.count(F.lit(1)).alias("_n"))
-            parts.append(failing.select(*_result(c, F.col("_n"))))
+            mine.append(entry(i, col.isNotNull(), col, CHILD))
         elif c.kind == "relationships":
-            failing = orphan_keys(get(c.table), c.column, get(c.to_table), c.to_column)
-            parts.append(failing.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
-                         .select(*_result(c, F.col("_n"))))
+            mine.append(entry(i, col.isNotNull(), col, CHILD))
+            parent = F.col(c.to_column)
+            wanted.setdefault(c.to_table, []).append(entry(i, parent.isNotNull(), parent, PARENT))
         else:
             raise ValueError(f"unknown check kind {c.kind!r}")
-    for table, checks in fused.items():
-        # One pass over the table for all its row-level checks.
-        counts = get(table).agg(*[_fused_expr(c).alias(f"_c{i}") for i, c in enumerate(checks)])
-        stacked = F.explode(F.array(*[F.struct(*_result(c, F.col(f"_c{i}"))) for i, c in enumerate(checks)]))
-        parts.append(counts.select(stacked.alias("_r")).select("_r.*"))
+    parts = [tables(name).select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+             for name, entries in wanted.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("passed", F.col("failing_rows") == 0)
+    return out
+
+
+def run_checks(tables: Mapping[str, DataFrame] | Callable[[str], DataFrame],
+               suite: Sequence[Check]) -> DataFrame:
+    """Evaluate a suite; one output row per check.
+
+    The entries of all checks are counted per (check, key) in the map tasks,
+    cross one shuffle, and are judged per key: more than one child of a unique
+    key fails the key, children without a parent fail one by one. So a key that holds a third
+    of a table is one row per map task, and the number of shuffles does not grow with the suite.
+    Keys are told apart by 128 bits of hash; columns compared must have one type."""
+    get = tables if callable(tables) else tables.__getitem__
+    _same_types(get, suite)
+    spark = get(suite[0].table).sparkSession
+    per_key = stacked_entries(get, suite).groupBy("check", "a", "b").agg(
+        F.count_if(F.col("side") != PARENT).alias("n"), F.max(F.col("side") == PARENT).alias("parent"))
+    kinds = [(i, c.kind, c.name, c.table, c.column) for i, c in enumerate(suite)]
+    number = {kind: [i for i, k, *_ in kinds if k == kind] for _, kind, *_ in kinds}
+
+    def of(kind: str) -> Column:
+        return F.col("check").isin(number.get(kind, []))
+
+    failing = (
+        F.when(of("unique"), (F.col("n") > 1).cast("long"))
+        .when(of("relationships"), F.when(~F.col("parent"), F.col("n")).otherwise(0))
+        .when(of("accepted_values"), F.lit(1).cast("long"))
+        .otherwise(F.col("n"))
+    )
+    counts = per_key.groupBy("check").agg(F.sum(failing).alias("failing"))
+    names = spark.createDataFrame(kinds, "number int, kind string, check_name string, table_name string, column_name string")
+    return names.join(counts, F.col("number") == F.col("check"), "left").select(
+        "check_name", "table_name", "column_name", F.coalesce("failing", F.lit(0)).cast("bigint").alias("failing_rows"),
+    ).withColumn("passed", F.col("failing_rows") == 0)
+
+
+def _same_types(get: Callable[[str], DataFrame], suite: Sequence[Check]) -> None:
+    for c in suite:
+        if c.kind == "relationships":
+            child, parent = get(c.table).schema[c.column].dataType, get(c.to_table).schema[c.to_column].dataType
+            if child != parent:
+                raise TypeError(f"{c.name}: {child.simpleString()} against {parent.simpleString()}")

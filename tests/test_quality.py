@@ -20,3 +20,56 @@ def test_orphan_keys_counts_rows_of_each_missing_key(spark):
     assert got == {("b", 3)}
     # the suite's count equals the row-level definition
     assert relationships(child, "k", parent, "k").count() == 3
+
+
+def suite_tables(spark):
+    child = spark.createDataFrame([(1, "a", 5, 1.0), (2, "a", 9, -1.0), (None, None, None, 0.0), (3, "b", 9, None), (3, "b", 7, -2.0)],
+                                  "id int, k string, score int, amount double")
+    return {"child": child, "parent": spark.createDataFrame([("a",), ("a",), (None,)], "k string"),
+            "empty": spark.createDataFrame([], "id int, k string, score int, amount double")}
+
+
+def test_stacked_suite_equals_the_single_checks(spark):
+    from retail_lakehouse.operators.quality import Check, run_checks
+    t = suite_tables(spark)
+    suite = [c for name in ("child", "empty") for c in (
+        Check("not_null", name, "id"), Check("unique", name, "id"), Check("unique", name, "k"),
+        Check("relationships", name, "k", "parent", "k"), Check("relationships", name, "k", "empty", "k"),
+        Check("accepted_values", name, "score", values=(1, 5)), Check("non_negative", name, "amount,score"))]
+    got = {(r.table_name, r.check_name): (r.failing_rows, r.passed) for r in run_checks(t, suite).collect()}
+    want = {}
+    for c in suite:
+        df = t[c.table]
+        failing = {"not_null": lambda: not_null(df, c.column), "unique": lambda: unique(df, c.column),
+                   "relationships": lambda: relationships(df, c.column, t[c.to_table], c.to_column) if c.to_table else None,
+                   "accepted_values": lambda: accepted_values(df, c.column, c.values),
+                   "non_negative": lambda: non_negative(df, c.column.split(","))}[c.kind]().count()
+        want[c.table, c.name] = (failing, failing == 0)
+    assert got == want and len(got) == len(suite)
+
+
+def test_the_suite_is_one_shuffle_of_combined_keys(spark):
+    import re
+
+    from retail_lakehouse.operators.quality import run_checks
+    from retail_lakehouse.plans.quality_suite import SUITE, table_resolver
+    from retail_lakehouse.plans.layers import Lakehouse
+    lh = Lakehouse.from_driver(spark, "/root/testdata/sf0.001", materialize=("silver", "gold", "mart"))
+    lh.bronze = lambda name, bronze=lh.bronze: stored.setdefault(name, materialize(bronze(name)))
+    stored = {}
+    from retail_lakehouse.session import materialize
+    lines = run_checks(table_resolver(lh), SUITE)._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len([i for i in exchanges if re.search(r"hashpartitioning\(check#\d+, a#\d+L, b#\d+L", lines[i])]) == 1
+    assert len(exchanges) <= 3  # keys, sums per check, and the join with the list of checks
+    keyed = next(i for i in exchanges if " a#" in lines[i])
+    assert "HashAggregate(keys=[check" in lines[keyed + 1] and "partial_max" in lines[keyed + 1]
+
+
+def test_keys_of_different_types_are_refused(spark):
+    import pytest
+
+    from retail_lakehouse.operators.quality import Check, run_checks
+    t = suite_tables(spark)
+    with pytest.raises(TypeError):
+        run_checks(t, [Check("relationships", "child", "id", "parent", "k")])

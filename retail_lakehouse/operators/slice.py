@@ -8,14 +8,13 @@ those products and the geolocation rows of every customer or seller zip.
 Keys are compared null-safely (``<=>``), so a blank key matches a blank key,
 as set membership on the landing text does.
 
-``replay_plan`` computes the row counts of *every* day's slice at once, as
-joins and aggregates — each child table is pre-aggregated on its key before
-it is joined to the (day, key) pairs, so no row is copied once per day.
+``replay_plan`` computes the row counts of *every* day's slice at once: every
+key carries the set of its days, so no row is copied once per day.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -109,69 +108,65 @@ def daily_slice(t: Mapping[str, DataFrame], batch_date: date | str) -> dict[str,
 
 # --- every day at once -----------------------------------------------------------------
 
-def _ns_join(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None,
-             how: str = "inner") -> DataFrame:
-    right_key = right_key or key
-    r = right.withColumnRenamed(right_key, "_rk")
-    return left.join(r, left[key].eqNullSafe(r["_rk"]), how).drop("_rk")
+def _key(c: str) -> Column:
+    """Text that is never NULL and tells NULL from '': plain equality on it is ``<=>``."""
+    return F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))
 
 
-def _rows_by_key(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-
-
-def _per_day(pairs: DataFrame, df: DataFrame, key: str, out: str) -> DataFrame:
-    """Sum over the distinct (day, key) pairs of the rows of ``df`` holding
-    that key."""
-    return (
-        _ns_join(pairs, _rows_by_key(df, key), key)
-        .groupBy("batch_date").agg(F.sum("_rows").alias(out))
-    )
+def _stacked(parts: Sequence[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 def replay_plan(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count of every landing table in the slice of each purchase date."""
-    o = t[ORDERS].select(purchase_date(t[ORDERS]).alias("batch_date"), "order_id", "customer_id")
-    days = o.groupBy("batch_date").agg(F.count(F.lit(1)).alias(f"{ORDERS}_rows"))
-    day_orders = o.select("batch_date", "order_id").distinct()
-    day_customers = o.select("batch_date", "customer_id").distinct()
-
-    item_keys = t[ITEMS].select("order_id", "product_id", "seller_id")
-    day_products = (
-        _ns_join(day_orders, item_keys.select("order_id", "product_id").distinct(), "order_id")
-        .select("batch_date", "product_id").distinct()
-    )
-    day_sellers = (
-        _ns_join(day_orders, item_keys.select("order_id", "seller_id").distinct(), "order_id")
-        .select("batch_date", "seller_id").distinct()
-    )
-    day_categories = (
-        _ns_join(day_products, t[PRODUCTS].select("product_id", "product_category_name").distinct(), "product_id")
-        .select("batch_date", "product_category_name").distinct()
-    )
-    cust_zip = _ns_join(
-        day_customers, t[CUSTOMERS].select("customer_id", F.col("customer_zip_code_prefix").alias("zip")).distinct(),
-        "customer_id").select("batch_date", "zip")
-    seller_zip = _ns_join(
-        day_sellers, t[SELLERS].select("seller_id", F.col("seller_zip_code_prefix").alias("zip")).distinct(),
-        "seller_id").select("batch_date", "zip")
-    day_zips = cust_zip.union(seller_zip).distinct()
-
-    parts = [
-        _per_day(day_orders, t[ITEMS], "order_id", f"{ITEMS}_rows"),
-        _per_day(day_orders, t[PAYMENTS], "order_id", f"{PAYMENTS}_rows"),
-        _per_day(day_orders, t[REVIEWS], "order_id", f"{REVIEWS}_rows"),
-        _per_day(day_customers, t[CUSTOMERS], "customer_id", f"{CUSTOMERS}_rows"),
-        _per_day(day_products, t[PRODUCTS], "product_id", f"{PRODUCTS}_rows"),
-        _per_day(day_sellers, t[SELLERS], "seller_id", f"{SELLERS}_rows"),
-        _per_day(day_zips, t[GEO].withColumnRenamed("geolocation_zip_code_prefix", "zip"), "zip", f"{GEO}_rows"),
-        _per_day(day_categories, t[CATEGORIES], "product_category_name", f"{CATEGORIES}_rows"),
-    ]
-    out = days
-    for p in parts:
-        out = out.join(p, "batch_date", "left")
-    cols = [f"{n}_rows" for n in (ORDERS, ITEMS, PAYMENTS, REVIEWS, CUSTOMERS, PRODUCTS, SELLERS, GEO, CATEGORIES)]
-    return out.select("batch_date", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in cols])
+    """Row count of every landing table in the slice of each purchase date.
+
+    A key carries the set of days it is needed on (at most one entry per day
+    of the calendar, combined in the map tasks), so a row of any table meets its
+    days once, as one row, whatever their number. Tables that share a key
+    are stacked and counted in one aggregation: orders, items, payments and reviews
+    per order; customers, products and sellers per kind and id; geolocation and
+    category names per kind and value.
+    """
+    o = t[ORDERS].select(purchase_date(t[ORDERS]).alias("day"), _key("order_id").alias("order"), _key("customer_id").alias("customer"))
+    items = t[ITEMS].select(_key("order_id").alias("order"), _key("product_id").alias("product"), _key("seller_id").alias("seller"))
+    one = F.lit(1).cast("bigint")
+
+    def per_day(df: DataFrame, **columns: Column) -> DataFrame:
+        return df.select(F.explode("days").alias("day"), *[c.alias(f"{n}_rows") for n, c in columns.items()])
+
+    # Orders: their days, and the rows of the tables that hang on them.
+    children = [t[name].select(_key("order_id").alias("order"), one.alias(name)) for name in (ITEMS, PAYMENTS, REVIEWS)]
+    orders = _stacked([o.select("order", "day"), *children]).groupBy("order").agg(
+        F.collect_set("day").alias("days"), *[F.sum(n).alias(n) for n in (ITEMS, PAYMENTS, REVIEWS)])
+    levels = [o.select("day", one.alias(f"{ORDERS}_rows")), per_day(orders, **{n: F.col(n) for n in (ITEMS, PAYMENTS, REVIEWS)})]
+
+    # What orders refer to: kind, id, and the days it is needed on.
+    ids = {CUSTOMERS: ("customer_id", "customer_zip_code_prefix"), PRODUCTS: ("product_id", "product_category_name"),
+           SELLERS: ("seller_id", "seller_zip_code_prefix")}
+    sold = items.join(orders.select("order", "days"), "order").select(
+        F.explode(F.array(F.struct(F.lit(PRODUCTS).alias("kind"), F.col("product").alias("id")),
+                          F.struct(F.lit(SELLERS).alias("kind"), F.col("seller").alias("id")))).alias("e"), "days",
+    ).select("e.kind", "e.id", F.explode("days").alias("day"))
+    needed = _stacked([o.select(F.lit(CUSTOMERS).alias("kind"), F.col("customer").alias("id"), "day"), sold]).groupBy(
+        "kind", "id").agg(F.collect_set("day").alias("days"))
+    things = _stacked([t[name].select(F.lit(name).alias("kind"), _key(key).alias("id"), _key(value).alias("value"))
+                       for name, (key, value) in ids.items()]).groupBy("kind", "id", "value").agg(F.count(F.lit(1)).alias("n"))
+    used = things.join(needed, ["kind", "id"])
+    levels.append(per_day(used, **{n: F.when(F.col("kind") == n, F.col("n")) for n in ids}))
+
+    # What those refer to: zips and categories.
+    values = used.select(F.when(F.col("kind") == PRODUCTS, F.lit(CATEGORIES)).otherwise(F.lit(GEO)).alias("kind"), "value",
+                         F.explode("days").alias("day")).groupBy("kind", "value").agg(F.collect_set("day").alias("days"))
+    rows = _stacked([t[name].select(F.lit(name).alias("kind"), _key(c).alias("value")) for name, c in (
+        (GEO, "geolocation_zip_code_prefix"), (CATEGORIES, "product_category_name"))]).groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    levels.append(per_day(rows.join(values, ["kind", "value"]), **{n: F.when(F.col("kind") == n, F.col("n")) for n in (GEO, CATEGORIES)}))
+
+    names = (ORDERS, ITEMS, PAYMENTS, REVIEWS, CUSTOMERS, PRODUCTS, SELLERS, GEO, CATEGORIES)
+    return _stacked(levels).groupBy(F.col("day").alias("batch_date")).agg(
+        *[F.coalesce(F.sum(f"{n}_rows"), F.lit(0)).cast("bigint").alias(f"{n}_rows") for n in names])
 
 
 def orders_summary(orders: DataFrame, strict: bool = True) -> DataFrame:

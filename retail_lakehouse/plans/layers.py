@@ -17,14 +17,18 @@ from retail_lakehouse.plans import reports as R
 from retail_lakehouse.plans import warehouse as W
 from retail_lakehouse.plans.silver import SILVER_BUILDERS
 from retail_lakehouse.schemas import BY_TABLE
-from retail_lakehouse.session import materialize, prepare
+from retail_lakehouse.session import materialize, new_table_path, prepare
 from retail_lakehouse.sources import driver_tables as D
+from retail_lakehouse.sources.stored import layout_of, read_table, write_layer
+
+# Tables that are stored in buckets of order_id: the rollups and joins of the facts
+# and of the seller mart are by order.
+BY_ORDER = {"silver": ("orders", "order_items", "order_payments", "order_reviews"), "gold": ("fct_orders", "fct_order_items")}
 
 
 class Lakehouse:
     def __init__(self, bronze_source: Callable[[str], DataFrame], week_start: str = "sunday",
-                 day_basis: str = "calendar", ntile_partitions: int | None = None,
-                 materialize: tuple[str, ...] = ()):
+                 day_basis: str = "calendar", materialize: tuple[str, ...] = ()):
         """``materialize``: layers ("silver", "gold", "mart") whose tables are
         written the first time they are used (parquet in the shared checkpoint
         folder), for outputs that read many tables many times (quality suite,
@@ -33,10 +37,10 @@ class Lakehouse:
         self._bronze_source = bronze_source
         self.week_start = week_start
         self.day_basis = day_basis
-        self.ntile_partitions = ntile_partitions
         self.materialize = materialize
         self._versions_source = bronze_source
         self._memo: dict[str, DataFrame] = {}
+        self._dealt: set[str] = set()  # stored tables in buckets of order_id
 
     # -- construction ---------------------------------------------------------
     @classmethod
@@ -52,11 +56,26 @@ class Lakehouse:
         prepare(spark)
         return cls(lambda name: bronze_tables[name], **kw)
 
+    def by_order(self) -> bool:
+        """Whether the silver tables of orders are stored in buckets of ``order_id``."""
+        return all(f"silver.{n}" in self._dealt for n in BY_ORDER["silver"])
+
+    def _store(self, key: str, df: DataFrame) -> DataFrame:
+        layer, name = key.split(".")
+        if name not in BY_ORDER.get(layer, ()):
+            return materialize(df, key.replace(".", "-"))
+        spark, path = df.sparkSession, new_table_path(df.sparkSession, key.replace(".", "-"))
+        write_layer(df, path, bucket_by="order_id")
+        if layout_of(spark, path):
+            self._dealt.add(key)
+        root, table = path.rsplit("/", 1)
+        return read_table(spark, root, table)
+
     def _get(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
         if key not in self._memo:
             df = build()
             if key.split(".")[0] in self.materialize:
-                df = materialize(df, key.replace(".", "-"))
+                df = self._store(key, df)
             self._memo[key] = df
         return self._memo[key]
 
@@ -95,7 +114,7 @@ class Lakehouse:
             "dim_geography": lambda: W.dim_geography(s("geolocation")),
             "dim_date": lambda: W.dim_date(s("orders"), self.week_start),
             "fct_orders": lambda: W.fct_orders(s("orders"), s("order_items"), s("order_payments"),
-                                               s("order_reviews")),
+                                               s("order_reviews"), self.by_order()),
             "fct_order_items": lambda: W.fct_order_items(s("order_items"), s("orders")),
         }
         return self._get(f"gold.{name}", builders[name])
@@ -107,8 +126,7 @@ class Lakehouse:
             "mart_delivery_performance": lambda: M.mart_delivery_performance(g("fct_orders"), self.day_basis),
             "mart_seller_performance": lambda: M.mart_seller_performance(
                 g("dim_sellers"), g("fct_order_items"), g("fct_orders")),
-            "mart_customer_rfm": lambda: M.mart_customer_rfm(g("fct_orders"), g("dim_customers"),
-                                                             self.ntile_partitions),
+            "mart_customer_rfm": lambda: M.mart_customer_rfm(g("fct_orders"), g("dim_customers")),
         }
         return self._get(f"mart.{name}", builders[name])
 

@@ -21,7 +21,8 @@ from retail_lakehouse.plans.layers import Lakehouse
 from retail_lakehouse.schemas import BY_TABLE, DATASETS
 from retail_lakehouse.session import ensure_checkpoint_dir
 from retail_lakehouse.sources import driver_tables as D
-from retail_lakehouse.sources.landing import ensure_layers, missing_files, read_table, write_csv_counted, write_daily_slice, write_layer
+from retail_lakehouse.sources.landing import ensure_layers, missing_files, write_csv_counted, write_daily_slice
+from retail_lakehouse.sources.stored import read_table, write_layer
 from retail_lakehouse.streaming.bronze_stream import stream_bronze
 
 FIRST_DAY, SECOND_DAY = "2026-01-01", "2026-01-02"

@@ -85,7 +85,26 @@ def dim_date(orders: DataFrame, week_start: str = "sunday") -> DataFrame:
     )
 
 
-def _item_rollup(items: DataFrame) -> DataFrame:
+def _item_rollup(items: DataFrame, by_order: bool) -> DataFrame:
+    if by_order:
+        # The rows of an order are in one task: grouping twice keeps them there,
+        # while two distinct counts in one aggregate would deal them anew.
+        products = items.groupBy("order_id", "product_id").agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.sum("item_price").alias("_price"),
+            F.sum("freight_value").alias("_freight"),
+            F.sum(F.col("item_price") + F.col("freight_value")).alias("_total"),
+        )
+        sellers = items.select(F.col("order_id").alias("_s_order_id"), "seller_id").distinct().groupBy("_s_order_id").agg(
+            F.count("seller_id").alias("distinct_seller_count"))
+        orders = products.groupBy("order_id").agg(
+            F.sum("_n").alias("item_count"),
+            F.count("product_id").alias("distinct_product_count"),
+            F.sum("_price").alias("item_subtotal"),
+            F.sum("_freight").alias("freight_total"),
+            F.sum("_total").alias("order_line_total"),
+        )
+        return orders.join(sellers, F.col("order_id") == F.col("_s_order_id"), "left").drop("_s_order_id")
     return items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("item_count"),
         F.count_distinct("product_id").alias("distinct_product_count"),
@@ -111,15 +130,17 @@ def _review_rollup(reviews: DataFrame) -> DataFrame:
     )
 
 
-def fct_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
-    """One row per order with item, payment and review rollups.
+def fct_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
+               by_order: bool = False) -> DataFrame:
+    """One row per order with item, payment and review rollups. ``by_order``: all
+    four are stored in buckets of ``order_id``; then nothing is exchanged.
 
     Children are aggregated *before* the join (no fan-out), each rollup comes
     out hash-partitioned on ``order_id``, so the three left joins need only one
     more exchange (of orders). Missing rollups give 0 counts and 0.00 money;
     the review average stays NULL.
     """
-    i = _item_rollup(items).withColumnRenamed("order_id", "_i_order_id")
+    i = _item_rollup(items, by_order).withColumnRenamed("order_id", "_i_order_id")
     p = _payment_rollup(payments).withColumnRenamed("order_id", "_p_order_id")
     r = _review_rollup(reviews).withColumnRenamed("order_id", "_r_order_id")
     joined = (

@@ -143,6 +143,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _WRITTEN: list[str] = []  # tables this process has materialized
 
 
+def new_table_path(spark: SparkSession, label: str = "table") -> str:
+    """A new folder for a table of this process under the shared checkpoint
+    folder; ``drop_materialized`` deletes it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/materialized/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and return
     the written table.

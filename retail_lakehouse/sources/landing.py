@@ -1,4 +1,4 @@
-"""Landing area (daily CSV folders) and layer storage: SS-1 … SS-7, IN-4, IN-9.
+"""Landing area (daily CSV folders): SS-1 … SS-5, SS-7, IN-4, IN-9.
 
 Layout: ``<landing>/<YYYY-MM-DD>/<dataset file>`` where the dataset file is a
 CSV file or a folder of CSV part files (what ``write_daily_slice`` writes).
@@ -197,24 +197,8 @@ def write_daily_slice(tables: Mapping[str, DataFrame], landing_root: str, batch_
     return counts
 
 
-# --- layer storage ---------------------------------------------------------------
+# --- layers ----------------------------------------------------------------------
 
 def ensure_layers(spark: SparkSession, *schemas: str) -> None:
     for s in schemas:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{s.replace('`', '``')}`")
-
-
-def write_layer(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
-    """Full rebuild (overwrite, schema replaced) of a layer table; the row
-    count comes from the same job. A rebuild must never overwrite the path it
-    reads from: write to a new path and switch readers."""
-    obs = Observation()
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return int(obs.get["rows"])
-
-
-def read_table(spark: SparkSession, layer_root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{layer_root}/{name}")

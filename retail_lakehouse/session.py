@@ -6,6 +6,9 @@ import atexit
 import os
 import shutil
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -141,6 +144,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 _WRITTEN: list[str] = []  # tables this process has materialized
+_SCOPE: ContextVar[list[str] | None] = ContextVar("tables", default=None)
+
+
+@contextmanager
+def table_scope() -> Iterator[list[str]]:
+    """The tables that the code inside the block materializes, in this thread: those of
+    another query that runs meanwhile are not among them."""
+    mine: list[str] = []
+    token = _SCOPE.set(mine)
+    try:
+        yield mine
+    finally:
+        _SCOPE.reset(token)
 
 
 def new_table_path(spark: SparkSession, label: str = "table") -> str:
@@ -148,6 +164,8 @@ def new_table_path(spark: SparkSession, label: str = "table") -> str:
     folder; ``drop_materialized`` deletes it."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/materialized/{label}-{uuid.uuid4().hex}"
     _WRITTEN.append(path)
+    if (mine := _SCOPE.get()) is not None:
+        mine.append(path)
     return path
 
 
@@ -161,10 +179,8 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     overwrites what another reader may be reading.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/materialized/{label}-{uuid.uuid4().hex}"
+    path = new_table_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
-    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
@@ -173,13 +189,13 @@ def materialized() -> list[str]:
     return list(_WRITTEN)
 
 
-def drop_materialized(spark: SparkSession, tables: list[str] | None = None) -> int:
+def drop_materialized(spark: SparkSession, tables: Iterable[str] | None = None) -> int:
     """Delete tables that this process has materialized (all of them, if not
     named); call it when no result that reads them is needed any more. Returns how
     many went."""
     jvm, hconf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
-    for name in materialized() if tables is None else tables:
+    for name in materialized() if tables is None else list(tables):
         if name in _WRITTEN:
             _WRITTEN.remove(name)
             path = jvm.org.apache.hadoop.fs.Path(name)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +39,28 @@ def buckets_for(rows: int, rows_per_bucket: int) -> int:
     return max(1, -(-rows // rows_per_bucket))
 
 
-def numbered(docs: DataFrame, name: str = "row__") -> DataFrame:
+def free_name(columns: Sequence[str], wanted: str) -> str:
+    """``wanted``, or that with as many underscores as it takes not to be among ``columns`` (in any case)."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """A stable copy of ``docs`` with a number per row, so that rows alike in
-    every column can still be told apart by later joins."""
-    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    every column can still be told apart by later joins; and the number's column, a new one."""
+    name = free_name(docs.columns, "row__")
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+def located(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The same for rows as they lie in stored Parquet (columns may be added, rows
+    left out, none repeated): a row is told apart by its file (128 bits of
+    its name) and its place there, without a copy. Anything else is copied."""
+    name, file = free_name(docs.columns, "row__"), F.col("_metadata.file_path")
+    place = F.struct(F.xxhash64(file).alias("a"), F.xxhash64(file, F.lit("b")).alias("b"), F.col("_metadata.row_index").alias("at"))
+    try:
+        return (docs.select("*", place.alias(name)), name) if "_metadata" not in docs.columns else numbered(docs)
+    except AnalysisException:  # not read from files
+        return numbered(docs)

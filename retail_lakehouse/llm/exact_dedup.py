@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_lakehouse.llm.common import materialize, numbered, text_table
+from retail_lakehouse.llm.common import located, materialize, numbered, text_table
 
 # A chunk ends after a sentence or line end that comes before a character other
 # than the first half of the alphabet, 256 characters on at least, 4096 at most.
@@ -54,17 +54,18 @@ def verified_seed(docs: DataFrame, attempts: int = 8) -> int:
     raise RuntimeError(f"chunk identifiers collide under {attempts} seeds")
 
 
-def recipes(docs: DataFrame, seed: int) -> DataFrame:
-    """(doc_id, row__, recipe, text_sha256) of ``docs``."""
-    row = [F.col("row__")] if "row__" in docs.columns else [F.monotonically_increasing_id().alias("row__")]
+def recipes(docs: DataFrame, seed: int, row: str | None = None) -> DataFrame:
+    """(doc_id, row__, recipe, text_sha256) of ``docs``; ``row`` names a column
+    that tells its rows apart, otherwise they are numbered here."""
+    number = F.col(row) if row else F.monotonically_increasing_id()
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", *row, F.transform(chunks(text), lambda c: chunk_id(c, seed)).alias("recipe"),
+    return docs.select("doc_id", number.alias("row__"), F.transform(chunks(text), lambda c: chunk_id(c, seed)).alias("recipe"),
                        F.sha2(text, 256).alias("text_sha256"))
 
 
-def exact_copies(docs: DataFrame) -> DataFrame:
+def exact_copies(docs: DataFrame, row: str | None = None) -> DataFrame:
     """One row per row of ``docs``: (doc_id, row__, keep_id, group_size, kept, text_sha256)."""
-    table = materialize(recipes(docs, verified_seed(docs)), "recipes")
+    table = materialize(recipes(docs, verified_seed(docs), row), "recipes")
     groups = table.groupBy("recipe", "text_sha256").agg(
         F.max(F.struct("doc_id", "row__")).alias("best"), F.count(F.lit(1)).alias("group_size"))
     return table.join(groups, ["recipe", "text_sha256"]).select(
@@ -72,9 +73,10 @@ def exact_copies(docs: DataFrame) -> DataFrame:
         (F.col("row__") == F.col("best.row__")).alias("kept"), "text_sha256")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that are exact copies of a row that stays."""
-    rows = numbered(docs)
-    kept = exact_copies(rows).filter("kept").select("row__")
+def deduplicated(docs: DataFrame, stored: bool = False) -> DataFrame:
+    """``docs`` without the rows that are exact copies of a row that stays.
+    ``stored``: ``docs`` reads Parquet files and nothing else, so its rows need no copy to be told apart."""
+    rows, row = located(docs) if stored else numbered(docs)
+    kept = exact_copies(rows, row).filter("kept").select(F.col("row__").alias(row))
     # Most rows are kept: a sort-merge join at every size.
-    return rows.join(kept.hint("merge"), "row__", "left_semi").drop("row__")
+    return rows.join(kept.hint("merge"), row, "left_semi").drop(row)

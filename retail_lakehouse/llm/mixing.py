@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_lakehouse.llm.common import NOT_SPACE, buckets_for, materialize, numbered
+from retail_lakehouse.llm.common import NOT_SPACE, buckets_for, free_name, materialize, numbered
 from retail_lakehouse.llm.tokens import slices, strings
 
 ROWS_PER_BUCKET = 100_000
@@ -115,11 +115,12 @@ def permuted(place: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(row__, doc_id, source, size): words per document, written once."""
-    row = F.col("row__") if "row__" in docs.columns else F.monotonically_increasing_id().alias("row__")
+def sized(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """(row__, doc_id, source, size): words per document, written once. ``row`` names a
+    column that tells the rows apart, otherwise they are numbered here."""
+    number = F.col(row) if row else F.monotonically_increasing_id()
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(NOT_SPACE)).cast("long")
-    return materialize(docs.select(row, "doc_id", "source", words.alias("size")), "sizes")
+    return materialize(docs.select(number.alias("row__"), "doc_id", "source", words.alias("size")), "sizes")
 
 
 def source_plan(sizes: DataFrame, mix: Mix) -> list[dict]:
@@ -198,9 +199,9 @@ def hash_key(seed: int, sid: int, epoch: int) -> int:
     return (seed * 1_000_003 + sid) * 1_000_003 + epoch
 
 
-def segment_uses(docs: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
+def segment_uses(docs: DataFrame, mix: Mix, row: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents with their place, segments with ``uses``: how often the mix takes each)."""
-    sizes = sized(docs)
+    sizes = sized(docs, row)
     plan = source_plan(sizes, mix)
     placed = positions(sizes, plan)
     uses = drawn_slots(docs.sparkSession, plan, mix).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
@@ -249,12 +250,13 @@ def cut_text(text: str, segments: list[tuple[int, int, int]]) -> str:
 def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """``docs`` with each text replaced by the words the mix takes from it and
     ``n_chars`` (if there) by their length; documents not taken are left out."""
-    rows = numbered(docs)
-    _, segments = segment_uses(rows, mix)
-    lists = segments.groupBy("row__").agg(F.collect_list(F.struct("first", "words", "uses")).alias("segments__"))
+    rows, row = numbered(docs)
+    _, segments = segment_uses(rows, mix, row)
+    held = free_name(rows.columns, "segments__")
+    lists = segments.groupBy(F.col("row__").alias(row)).agg(F.collect_list(F.struct("first", "words", "uses")).alias(held))
     # Most rows are taken from: a sort-merge join at every size.
-    both = rows.join(lists.hint("merge"), "row__").select(
-        *docs.columns, *[F.col("segments__")[f].alias(f"{f}__") for f in ("first", "words", "uses")])
+    both = rows.join(lists.hint("merge"), row).select(
+        *docs.columns, *[F.col(held)[f].alias(free_name(docs.columns, f"{f}__")) for f in ("first", "words", "uses")])
     names = list(docs.columns)
     at, kept = names.index("text"), len(names)
 

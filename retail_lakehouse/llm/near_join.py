@@ -364,12 +364,13 @@ def _emit(rows: list[tuple]):
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], names=["id", "other", "links"])
 
 
-def near_copies(docs: DataFrame, threshold: float = 0.8, target_recall: float = 0.9995) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text and row__): class_id, the
+def near_copies(docs: DataFrame, threshold: float = 0.8, target_recall: float = 0.9995, row: str = "row__") -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text and their number ``row``), which is row__ in the result: class_id, the
     smallest doc_id that the document is connected with by links; copy_id, the
     smallest doc_id with the same shingle set; n_links, the number of other
     documents (copies included) whose similarity reaches ``threshold``; and
     class_row__, the row number of the class's first row."""
+    docs = docs.select(F.col(row).alias("row__"), "doc_id", "text")
     table = materialize(sketches(docs, shortened_depth(threshold, target_recall)), "sketches")
     same = ["n_shingles", "d1", "d2"]
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row__")).alias("first")
@@ -398,6 +399,6 @@ def near_copies(docs: DataFrame, threshold: float = 0.8, target_recall: float =
 
 def without_near_copies(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``docs`` with one row of each class of connected near copies."""
-    rows = numbered(docs)
-    kept = near_copies(rows, threshold).where("row__ = class_row__").select("row__")
-    return rows.join(kept.hint("merge"), "row__", "left_semi").drop("row__")
+    rows, row = numbered(docs)
+    kept = near_copies(rows, threshold, row=row).where("row__ = class_row__").select(F.col("row__").alias(row))
+    return rows.join(kept.hint("merge"), row, "left_semi").drop(row)

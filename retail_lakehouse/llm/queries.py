@@ -58,8 +58,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    return near_join.near_copies(numbered(docs)).drop("row__", "class_row__")
+    docs, row = numbered(documents(spark, sf_dir).select("doc_id", "text"))
+    return near_join.near_copies(docs, row=row).drop("row__", "class_row__")
 
 
 def op7_learned_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

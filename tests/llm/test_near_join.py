@@ -73,7 +73,7 @@ def test_large_group_of_near_copies_over_blocks(spark, monkeypatch):
     texts = variants(150) + variants(10, seed=9) + ["one two three", "one two three", "four five"] + [f"alone {i} a b c d e f" for i in range(20)]
     rows = [(i, t) for i, t in enumerate(texts)]
     docs = frame(spark, [(i, t, "en", "s", len(t)) for i, t in rows])
-    assert got(near_join.near_copies(numbered(docs))) == brute(rows)
+    assert got(near_join.near_copies(numbered(docs)[0])) == brute(rows)
 
 
 @pytest.mark.parametrize("sub_bucket,block", [(20_000, 4096), (7, 5)])
@@ -96,14 +96,14 @@ def test_pairs_that_meet_in_one_crowded_bucket_only(spark, monkeypatch, sub_buck
     rng.shuffle(texts)
     rows = list(enumerate(texts))
     docs = frame(spark, [(i, t, "en", "s", len(t)) for i, t in rows])
-    assert got(near_join.near_copies(numbered(docs))) == brute(rows)
+    assert got(near_join.near_copies(numbered(docs)[0])) == brute(rows)
 
 
 def test_edge_rows(spark):
     rows = [r for r in edge_rows()]
     docs = frame(spark, rows).selectExpr("*", "1 as class_id", "2 as prefix")
     want = brute([r[:2] for r in rows])
-    found = near_join.near_copies(numbered(docs.select("doc_id", "text")))
+    found = near_join.near_copies(numbered(docs.select("doc_id", "text"))[0])
     assert got(found) == want
     kept = near_join.without_near_copies(docs)
     assert kept.columns == docs.columns
@@ -111,7 +111,7 @@ def test_edge_rows(spark):
 
 
 def test_empty_table(spark):
-    assert near_join.near_copies(numbered(frame(spark, []))).count() == 0
+    assert near_join.near_copies(numbered(frame(spark, []))[0]).count() == 0
 
 
 def test_shingle_sets_match_the_definition():

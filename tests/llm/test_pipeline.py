@@ -79,3 +79,33 @@ def test_odd_rows_pass_through_every_stage(spark, rows):
     for name, _ in corpus_pipeline.STAGES:
         docs = after(spark, docs, name)
     assert rows or docs.count() == 0
+
+
+def test_stages_delete_their_own_tables_only(spark, monkeypatch):
+    """A table that another query writes while a stage runs survives; a stage that fails leaves none."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from retail_lakehouse.session import materialized
+
+    docs = materialize(frame(spark, edge_rows()), "input")
+    inner = corpus_pipeline.exact_dedup.deduplicated
+    others = []
+
+    def meanwhile(*a, **k):
+        with ThreadPoolExecutor(1) as pool:
+            others.append(pool.submit(lambda: materialize(spark.range(5).toDF("n"), "other-query")).result())
+        return inner(*a, **k)
+
+    monkeypatch.setattr(corpus_pipeline.exact_dedup, "deduplicated", meanwhile)
+    earlier = set(materialized())
+    first = materialize(STAGES["exact_dedup"](spark, docs, SF), "first")
+    left = [t for t in materialized() if "recipes" in t and t not in earlier]
+    second = materialize(STAGES["near_join"](spark, first, SF), "second")
+    assert left and not set(left) & set(materialized())
+    assert others[0].count() == 5 and docs.count() == len(edge_rows()) and second.count() > 0
+
+    before = set(materialized())
+    monkeypatch.setattr(corpus_pipeline.exact_dedup, "deduplicated", lambda d, **k: (materialize(d, "half"), 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        STAGES["exact_dedup"](spark, docs, SF)
+    assert not set(materialized()) - before and corpus_pipeline._BEFORE.get() == ()

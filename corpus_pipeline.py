@@ -1,33 +1,41 @@
 """A corpus pipeline over ``documents``: each stage is one operator of ``retail_lakehouse.llm``.
 
 Every stage works on all rows that the one before it kept, and but for the last
-returns the columns of ``documents``. A stage's result has to be stored before the
+returns the columns of ``documents`` and any further ones of its input. Null texts count as empty: they
+have no language and go in the first stage. A stage's ``docs`` is read from stored Parquet. Its result has to be stored before the
 next stage is called: that call deletes the intermediate tables which the result
 was made from, so only one stage's tables are on the disk at a time.
 """
 
 from __future__ import annotations
 
+from contextvars import ContextVar
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from retail_lakehouse.llm import exact_dedup, language_id, mixing, near_join, packing, queries
 from retail_lakehouse.llm.common import shared_path
-from retail_lakehouse.session import drop_materialized, materialized
+from retail_lakehouse.session import drop_materialized, table_scope
 
-_BEFORE: list[str] = []  # intermediate tables of the stage called last
+# Intermediate tables of the stage called last in this thread.
+_BEFORE: ContextVar[tuple[str, ...]] = ContextVar("before", default=())
 
 
 def stage(fn):
-    """A stage that clears what the one before it has left."""
+    """A stage that owns the tables it writes: the next stage deletes them, and it does so itself if it fails."""
 
     @wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_materialized(spark, _BEFORE)
-        others = set(materialized())
-        out = fn(spark, docs, sf_dir)
-        _BEFORE[:] = [t for t in materialized() if t not in others]
+        drop_materialized(spark, _BEFORE.get())
+        _BEFORE.set(())
+        with table_scope() as written:
+            try:
+                out = fn(spark, docs, sf_dir)
+            except BaseException:
+                drop_materialized(spark, written)
+                raise
+        _BEFORE.set(tuple(written))
         return out
 
     return run_stage
@@ -43,7 +51,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 @stage
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact dedup: one row of each text stays."""
-    return exact_dedup.deduplicated(docs)
+    return exact_dedup.deduplicated(docs, stored=True)
 
 
 @stage

@@ -146,7 +146,8 @@ with url_parts as (
   from raw_patterns, range(4) r(k)
   where pattern is not null and ('0x' || substr(md5(pattern), 1, 4))::bigint % 2 = 0
 ), entries as (
-  select pattern, ['block', 'allow', 'remove'][('0x' || substr(md5(tag), 1, 4))::bigint % 3 + 1] as action,
+  select lower(split_part(pattern, '/', 1)) || substr(pattern, length(split_part(pattern, '/', 1)) + 1) as pattern,
+         ['block', 'allow', 'remove'][('0x' || substr(md5(tag), 1, 4))::bigint % 3 + 1] as action,
          timestamp '2024-01-01 00:00:00' + to_days((('0x' || substr(md5(tag), 5, 4))::bigint % 366)::int) as listed_at
   from tags
 ), single as (
@@ -160,7 +161,7 @@ with url_parts as (
   select distinct url, fetched_at, host, segs, string_split(host, '.') as labels from url_parts where host is not null
 ), keyed as (
   select url, fetched_at, array_to_string(labels[i:], '.') as pattern, 0 as path_len, len(labels) - i + 1 as labels
-  from (select *, unnest(range(1, greatest(len(labels) - 1, 1) + 1)) as i from cover)
+  from (select *, unnest(range(1, len(labels) + 1)) as i from cover)
   union all
   select url, fetched_at, host || '/' || array_to_string(segs[1:k], '/'), k, len(labels)
   from (select *, unnest(range(1, len(segs) + 1)) as k from cover)

@@ -600,7 +600,7 @@ FIRST_DAY_SLICE = {
 }
 
 
-def operator_queries_sql() -> dict[str, str]:
+def operator_queries_sql(suite) -> dict[str, str]:
     """SQL of the queries in ``plans.operator_queries``, from the landing rows."""
     cols = {d.table_name: d.columns for d in DATASETS}
     slice_ctes = ",\n".join(f"fd_{t} AS ({q})" for t, q in FIRST_DAY_SLICE.items())
@@ -609,20 +609,24 @@ def operator_queries_sql() -> dict[str, str]:
     orders, customers = ", ".join(cols["olist_orders"]), ", ".join(cols["olist_customers"])
     o_hash, c_hash = _json_hash(cols["olist_orders"]), _json_hash(cols["olist_customers"])
 
-    def first_landing(key: str) -> str:
-        return f"CASE WHEN CAST({key} AS BIGINT) % 2 = 0 THEN DATE '2026-01-01' ELSE DATE '2026-01-02' END AS _batch_date"
-
-    two_days = f"SELECT DISTINCT {customers}, {c_hash} AS _row_hash, {first_landing('customer_id')} FROM raw_olist_customers"
+    first_day = {t: f"CAST({k} AS BIGINT) % 2 = 0" for t, k in {
+        "olist_orders": "order_id", "olist_order_items": "order_id", "olist_order_payments": "order_id", "olist_order_reviews": "order_id",
+        "olist_customers": "customer_id", "olist_products": "product_id", "olist_sellers": "seller_id",
+        "olist_geolocation": "geolocation_zip_code_prefix"}.items()} | {
+        "product_category_name_translation": "length(product_category_name) % 2 = 0"}
+    two_days = "\nUNION ALL\n".join(
+        f"SELECT DISTINCT '{t}' AS table_name, {_json_hash(cols[t])} AS row_hash, "
+        f"CASE WHEN {first} THEN DATE '2026-01-01' ELSE DATE '2026-01-02' END AS batch_date FROM raw_{t}" for t, first in first_day.items())
+    loads = "\nUNION ALL\n".join(
+        f"SELECT 'files' AS ledger, '{t}.read' AS state, count(*) + count(*) FILTER (WHERE {first}) AS rows FROM raw_{t}\n"
+        f"UNION ALL SELECT 'files', '{t}.inserted', count(*) FROM (SELECT DISTINCT * FROM raw_{t})" for t, first in first_day.items())
     layers = [(f"silver.{n}", f"silver_{n}") for n in SILVER] + [(f"gold.{n}", n) for n in (*GOLD, *MART) if not n.endswith(("_iso", "_elapsed"))]
     orphans = "FROM silver_order_reviews WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM silver_orders WHERE order_id IS NOT NULL) GROUP BY order_id"
     return {
         "daily_slice_digest": sliced + "SELECT table_name, row_hash, count(*) AS copies FROM fd_rows GROUP BY ALL",
         "daily_batch_bronze": sliced + "SELECT DISTINCT table_name, row_hash, (SELECT min(batch_date) FROM sl_orders) AS batch_date FROM fd_rows",
-        "scan_bronze": with_ctes(f"SELECT DISTINCT {orders}, {o_hash} AS _row_hash, {first_landing('order_id')} FROM raw_olist_orders"),
-        "ingest_ledgers": with_ctes("""
-            SELECT 'runs' AS ledger, 'succeeded' AS state, CAST(2 AS BIGINT) AS rows
-            UNION ALL SELECT 'files', 'read', count(*) + count(*) FILTER (WHERE CAST(customer_id AS BIGINT) % 2 = 0) FROM raw_olist_customers
-            UNION ALL SELECT 'files', 'inserted', count(*) FROM (SELECT DISTINCT * FROM raw_olist_customers)"""),
+        "scan_bronze": with_ctes(two_days),
+        "ingest_ledgers": with_ctes(f"SELECT 'runs' AS ledger, 'succeeded' AS state, CAST(2 AS BIGINT) AS rows\nUNION ALL\n{loads}"),
         "streamed_bronze": with_ctes(two_days),
         "deduped_landings": with_ctes(f"SELECT DISTINCT {orders}, {o_hash} AS _row_hash, DATE '2026-01-01' AS _batch_date, 'b' AS _source_file FROM raw_olist_orders"),
         "inserted_rows": with_ctes(f"SELECT DISTINCT {customers}, {c_hash} AS _row_hash FROM raw_olist_customers WHERE CAST(customer_id AS BIGINT) % 2 <> 0"),
@@ -642,5 +646,7 @@ def operator_queries_sql() -> dict[str, str]:
         "landing_inventory": sliced + "\nUNION ALL\n".join(
             f"SELECT '{d.filename}' AS filename, EXISTS (SELECT 1 FROM fd_{d.table_name}) AS present" for d in DATASETS),
         "stored_layer": layer_query("dim_customers"),
-        "built_layers": with_ctes("\nUNION ALL\n".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {t}" for name, t in layers)),
+        "built_layers": with_ctes("\nUNION ALL\n".join(
+            [f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {t}" for name, t in layers]
+            + [f"SELECT 'check.' || check_name, failing_rows FROM ({_check_sql(c)})" for c in suite])),
     }

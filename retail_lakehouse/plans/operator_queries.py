@@ -6,6 +6,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,57 +57,71 @@ def daily_batch_bronze(spark: SparkSession, sf: str) -> DataFrame:
     day = _first_day(tables)
     write_daily_slice(daily_slice(tables, day), landing, day)
     I.ingest_batch(spark, landing, bronze, day)
-    parts = [I.read_bronze(spark, bronze, d.table_name).select(F.lit(d.table_name).alias("table_name"), F.col("_row_hash").alias("row_hash"),
-                                                                F.col("_batch_date").alias("batch_date")) for d in DATASETS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _bronze_digest(spark, bronze)
 
 
-def _write_two_days(spark: SparkSession, sf: str, table: str, key: str) -> tuple[str, DataFrame]:
-    """A table landed on two days: rows of even keys first, then all rows."""
-    raw, landing = _raw(spark, sf)[table], _folder(spark, "landing")
-    name = BY_TABLE[table].filename
-    write_csv_counted(raw.where(F.col(key).cast("bigint") % 2 == 0), f"{landing}/{FIRST_DAY}/{name}")
-    write_csv_counted(raw, f"{landing}/{SECOND_DAY}/{name}")
-    return landing, raw
+# Which rows land on the first of two days already: by the parity of a column.
+_BY_KEY = {
+    ORDERS: "order_id", "olist_order_items": "order_id", "olist_order_payments": "order_id", "olist_order_reviews": "order_id",
+    CUSTOMERS: "customer_id", "olist_products": "product_id", "olist_sellers": "seller_id",
+    "olist_geolocation": "geolocation_zip_code_prefix",
+}
+FIRST_LANDED = {t: f"CAST({key} AS BIGINT) % 2 = 0" for t, key in _BY_KEY.items()} | {
+    "product_category_name_translation": "length(product_category_name) % 2 = 0"}
+
+
+def _write_two_days(spark: SparkSession, sf: str) -> str:
+    """All nine tables landed on two days: the first rows of each, then all rows. The landing folder."""
+    raw, landing = _raw(spark, sf), _folder(spark, "landing")
+
+    def write(d) -> None:
+        write_csv_counted(raw[d.table_name].where(F.expr(FIRST_LANDED[d.table_name])), f"{landing}/{FIRST_DAY}/{d.filename}")
+        write_csv_counted(raw[d.table_name], f"{landing}/{SECOND_DAY}/{d.filename}")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(write, DATASETS))
+    return landing
+
+
+def _bronze_digest(spark: SparkSession, bronze: str) -> DataFrame:
+    """Every row of all nine bronze tables: (table_name, row_hash, batch_date)."""
+    parts = [I.read_bronze(spark, bronze, d.table_name).select(
+        F.lit(d.table_name).alias("table_name"), F.col("_row_hash").alias("row_hash"), F.col("_batch_date").alias("batch_date")) for d in DATASETS]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scan_bronze(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders landed on two days, loaded by two scans: every row once, with the
-    day it landed first."""
-    landing, _ = _write_two_days(spark, sf, ORDERS, "order_id")
-    bronze = _folder(spark, "bronze")
+    """All tables landed on two days, loaded by two scans: every row once, with the day it landed first."""
+    landing, bronze = _write_two_days(spark, sf), _folder(spark, "bronze")
     for _ in range(2):
-        I.ingest_bronze(spark, landing, bronze, [BY_TABLE[ORDERS]])
-    d = BY_TABLE[ORDERS]
-    return I.read_bronze(spark, bronze, ORDERS).select(*d.columns, "_row_hash", "_batch_date")
+        I.ingest_bronze(spark, landing, bronze)
+    return _bronze_digest(spark, bronze)
 
 
 def ingest_ledgers(spark: SparkSession, sf: str) -> DataFrame:
-    """What the ledgers hold after two scans of customers landed on two days:
-    (ledger, state, rows): runs by status, rows read and inserted by loaded files."""
-    landing, _ = _write_two_days(spark, sf, CUSTOMERS, "customer_id")
-    bronze = _folder(spark, "bronze")
+    """What the ledgers hold after two scans of all tables landed on two days:
+    (ledger, state, rows): runs by status, rows read and inserted by loaded files of each table."""
+    landing, bronze = _write_two_days(spark, sf), _folder(spark, "bronze")
     for _ in range(2):
-        I.ingest_bronze(spark, landing, bronze, [BY_TABLE[CUSTOMERS]])
+        I.ingest_bronze(spark, landing, bronze)
     runs = I.latest_runs(spark, bronze).groupBy(F.col("status").alias("state")).agg(F.count(F.lit(1)).alias("rows"))
     # The files of one run and table share its counts.
     loaded = I.file_ledger(spark, bronze).select("batch_id", "table_name", "row_count", "inserted_row_count").distinct()
     files = loaded.select("table_name", F.explode(F.map_from_arrays(
         F.array(F.lit("read"), F.lit("inserted")), F.array("row_count", "inserted_row_count"))).alias("state", "rows"))
+    state = F.concat("table_name", F.lit("."), "state")
     return runs.select(F.lit("runs").alias("ledger"), "state", "rows").unionByName(
-        files.groupBy(F.lit("files").alias("ledger"), "state").agg(F.sum("rows").alias("rows")))
+        files.groupBy(F.lit("files").alias("ledger"), state.alias("state")).agg(F.sum("rows").alias("rows")))
 
 
 def streamed_bronze(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers landed on two days, loaded by the stream (run twice)."""
-    landing, _ = _write_two_days(spark, sf, CUSTOMERS, "customer_id")
-    bronze, state = _folder(spark, "bronze"), _folder(spark, "stream-state")
+    """All tables landed on two days, loaded by nine concurrent streams (run
+    twice) and a scan after them, which finds nothing new."""
+    landing, bronze, state = _write_two_days(spark, sf), _folder(spark, "bronze"), _folder(spark, "stream-state")
     for _ in range(2):
-        stream_bronze(spark, landing, bronze, state, [BY_TABLE[CUSTOMERS]])
-    return I.read_bronze(spark, bronze, CUSTOMERS).select(*BY_TABLE[CUSTOMERS].columns, "_row_hash", "_batch_date")
+        stream_bronze(spark, landing, bronze, state)
+    I.ingest_bronze(spark, landing, bronze)
+    return _bronze_digest(spark, bronze)
 
 
 def deduped_landings(spark: SparkSession, sf: str) -> DataFrame:
@@ -190,9 +206,12 @@ def stored_layer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def built_layers(spark: SparkSession, sf: str) -> DataFrame:
-    """Every layer built and written: rows per table."""
-    out = build_all(spark, Lakehouse.from_driver(spark, sf), _folder(spark, "lake"), run_quality=False)
-    return spark.createDataFrame(sorted(out["rows"].items()), "table_name string, row_count long")
+    """Every layer built, written and checked: rows per table, failing rows per check."""
+    root = _folder(spark, "lake")
+    out = build_all(spark, Lakehouse.from_driver(spark, sf), root)
+    rows = spark.createDataFrame(sorted(out["rows"].items()), "table_name string, row_count long")
+    return rows.unionByName(read_table(spark, root, "quality/checks").select(
+        F.concat(F.lit("check."), "check_name").alias("table_name"), F.col("failing_rows").alias("row_count")))
 
 
 QUERIES = {

@@ -99,4 +99,4 @@ def oracle_sql() -> dict[str, str]:
     s["bronze_olist_orders_array_hash"] = O.bronze_array_sql("olist_orders")
     s["replay_plan"] = O.replay_plan_sql()
     s["source_summary"] = O.orders_summary_sql()
-    return s | O.operator_queries_sql()
+    return s | O.operator_queries_sql(SUITE)

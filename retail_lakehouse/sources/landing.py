@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -26,7 +27,7 @@ BATCH_DATE_PATTERN = r"/(\d{4}-\d{2}-\d{2})/"
 # Quoted fields may hold newlines and doubled quotes (RFC 4180).
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "encoding": "UTF-8"}
 HASH_BLOCK = 4 * 1024 * 1024
-FILE_FACTS = "source_file string, sha256 string, bytes long, header array<string>"
+FILE_FACTS = "source_file string, sha256 string, bytes long, header array<string>, multiline boolean"
 
 
 def _dataset(d: Dataset | str) -> Dataset:
@@ -39,10 +40,21 @@ def _paths(path: str | Sequence[str]) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
+def line_end_in_quotes(block: bytes, quotes: int) -> tuple[bool, int]:
+    """Whether a line ends inside a quoted field of ``block`` (a doubled quote counts
+    twice and changes nothing), given the quotes before it; and the quotes up to its end."""
+    if b'"' not in block:
+        return quotes % 2 == 1 and (b"\n" in block or b"\r" in block), quotes
+    data = np.frombuffer(block, dtype=np.uint8)
+    before = quotes + np.cumsum(data == ord('"'))
+    ends = (data == ord("\n")) | (data == ord("\r"))
+    return bool((before[ends] % 2 == 1).any()), int(before[-1])
+
+
 def file_facts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """One row per file under ``path`` (file, folder, glob or several): its name
-    as the CSV reader reports it, the sha256 of its bytes, its size and the CSV
-    header. The listing reads no contents; each file is then read in blocks by
+    as the CSV reader reports it, the sha256 of its bytes, its size, the CSV
+    header and whether a quoted field goes over a line's end. The listing reads no contents; each file is then read in blocks by
     the task that hashes it, so no file is ever held whole."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_paths(path)) \
         .select(F.col("_metadata.file_path").alias("source_file"), "path", "length")
@@ -53,16 +65,18 @@ def file_facts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
             for name, place, length in zip(*(c.to_pylist() for c in batch.columns)):
                 place = place.replace("file:/", "file:///", 1) if place.startswith("file:/") and not place.startswith("file://") else place
                 fs, inside = pafs.FileSystem.from_uri(place) if "://" in place else (pafs.LocalFileSystem(), place)
-                digest, head = hashlib.sha256(), b""
+                digest, head, quotes, spans = hashlib.sha256(), b"", 0, False
                 with fs.open_input_stream(inside) as stream:
                     while block := stream.read(HASH_BLOCK):
                         digest.update(block)
                         head = head or block
+                        if not spans:
+                            spans, quotes = line_end_in_quotes(block, quotes)
                 header = next(csv.reader(io.StringIO(head.decode("utf-8-sig", "ignore"), newline="")), [])
-                rows.append((name, digest.hexdigest(), length, header))
+                rows.append((name, digest.hexdigest(), length, header, spans))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.list_(pa.string())))],
-                names=["source_file", "sha256", "bytes", "header"])
+                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.bool_()))],
+                names=["source_file", "sha256", "bytes", "header", "multiline"])
 
     return files.mapInArrow(read, FILE_FACTS)
 
@@ -76,17 +90,19 @@ def read_landing_csv(spark: SparkSession, path: str | Sequence[str], dataset: Da
 
     ``facts`` are the ``file_facts`` of the files under ``path`` (found if not
     given). Files of one header, the usual case, are read without a join; the
-    distinct headers that come to the driver are few. A line equal to its file's
-    header is taken for the header.
+    distinct headers that come to the driver are few. A file's first line is its
+    header. Files are read in splits, unless a quoted field of one goes over a line's end: then
+    a file is one task.
     """
     ds = _dataset(dataset)
     facts = facts if facts is not None else file_facts(spark, path)
-    kinds = [list(r["header"]) for r in facts.select("header").distinct().collect()]
+    found = facts.groupBy("header").agg(F.bool_or("multiline").alias("multiline")).collect()
+    kinds = [list(r["header"]) for r in found]
     width = max([len(h) for h in kinds], default=0)
     if not width:
         return spark.createDataFrame([], ds.schema.add("_source_file", "string"))
     reader = spark.read.schema(", ".join(f"_c{i} string" for i in range(width))).option("recursiveFileLookup", "true")
-    for k, v in (CSV_OPTIONS | {"header": "false"}).items():
+    for k, v in (CSV_OPTIONS | {"multiLine": str(any(r["multiline"] for r in found)).lower()}).items():
         reader = reader.option(k, v)
     raw = reader.csv(_paths(path)).select(F.col("_metadata.file_path").alias("_source_file"),
                                           F.array(*[F.coalesce(f"_c{i}", F.lit("")) for i in range(width)]).alias("_v"))
@@ -94,10 +110,7 @@ def read_landing_csv(spark: SparkSession, path: str | Sequence[str], dataset: Da
         bound = raw.withColumn("_h", F.array(*[F.lit(n) for n in kinds[0]]))
     else:
         bound = raw.join(facts.select(F.col("source_file").alias("_source_file"), F.col("header").alias("_h")), "_source_file")
-    first = F.regexp_replace(F.get("_v", F.lit(0)), "^\ufeff", "")
-    own = F.concat(F.array(first), F.slice("_v", 2, width))
-    is_header = F.slice(own, 1, F.size("_h")) == F.col("_h")
-    return bound.where(~is_header).select(
+    return bound.select(
         *[F.coalesce(F.get("_v", F.array_position("_h", n).cast("int") - 1), F.lit("")).alias(n) for n in ds.columns], "_source_file")
 
 

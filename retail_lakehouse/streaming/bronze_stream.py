@@ -4,7 +4,8 @@ Each dataset is a stream of new files under ``<landing>/*/<file>``; the stream's
 checkpoint remembers which files were seen, so a run reads only new ones. A
 micro-batch names its files (at most ``max_files`` of them), which are loaded
 like any other batch: columns bound by each file's header, rows hashed,
-deduplicated, merged insert-only and committed through the run ledger.
+deduplicated, merged insert-only, recorded in the file ledger and committed through
+the run ledger; a later scan does not parse them again, nor does the stream parse what a scan has loaded.
 Deduplication state is the bronze table itself (no watermark: content seen once
 is never inserted again).
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from retail_lakehouse.plans import ingest as I
@@ -49,15 +51,23 @@ def merge_epoch(spark: SparkSession, bronze_root: str, ds: Dataset, query_tag: s
 
 def stream_bronze(spark: SparkSession, landing_root: str, bronze_root: str, checkpoint_root: str,
                   datasets: Sequence[Dataset] = DATASETS, query_tag: str = "landing", max_files: int = 1000) -> None:
-    """Load the files not yet seen by the stream, then stop. The checkpoint
-    must live on shared storage."""
+    """Load the files not yet seen by the streams, then stop: one query per
+    dataset, all started together. If one fails, the others end their epochs
+    and its error is raised. The checkpoint must live on shared storage."""
     prepare(spark)
-    for ds in datasets:
-        q = (
-            _file_stream(spark, landing_root, ds, max_files)
-            .writeStream.foreachBatch(merge_epoch(spark, bronze_root, ds, query_tag))
-            .option("checkpointLocation", f"{checkpoint_root}/{ds.table_name}")
-            .trigger(availableNow=True)
-            .start()
-        )
-        q.awaitTermination()
+    queries = [
+        _file_stream(spark, landing_root, ds, max_files)
+        .writeStream.foreachBatch(merge_epoch(spark, bronze_root, ds, query_tag))
+        .option("checkpointLocation", f"{checkpoint_root}/{ds.table_name}")
+        .trigger(availableNow=True)
+        .start()
+        for ds in datasets
+    ]
+    failed = []
+    for q in queries:
+        try:
+            q.awaitTermination()
+        except StreamingQueryException as error:
+            failed.append(error)
+    if failed:
+        raise failed[0]

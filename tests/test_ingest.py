@@ -211,3 +211,86 @@ def test_build_all_writes_every_layer_and_runs_checks(spark, scratch):
     assert "accepted_values_silver_orders_order_status" not in out["failed_checks"]
     # blank customer, as landed
     assert "not_null_silver_orders_customer_id" in out["failed_checks"]
+
+
+def test_a_scan_after_the_stream_parses_no_file_and_the_other_way_round(spark, scratch, monkeypatch):
+    landing = _landing(spark, scratch)
+    bronze, state = os.path.join(scratch, "bronze"), os.path.join(scratch, "state")
+    stream_bronze(spark, landing, bronze, state)
+    files = {(r.table_name, r.source_file) for r in I.file_ledger(spark, bronze).collect()}
+    assert {t for t, _ in files} == {d.table_name for d in DATASETS}
+    monkeypatch.setattr(I, "read_landing_csv", lambda *a: pytest.fail("a loaded file was parsed"))
+    assert set(I.ingest_bronze(spark, landing, bronze).values()) == {0}
+    monkeypatch.undo()
+    scanned, fresh_state = os.path.join(scratch, "scanned"), os.path.join(scratch, "state2")
+    I.ingest_bronze(spark, landing, scanned)
+    monkeypatch.setattr(I, "read_landing_csv", lambda *a: pytest.fail("a loaded file was parsed"))
+    stream_bronze(spark, landing, scanned, fresh_state)
+
+
+def test_one_failing_stream_fails_the_load_and_the_others_end(spark, scratch, monkeypatch):
+    from pyspark.errors import StreamingQueryException
+
+    landing, bronze = _landing(spark, scratch), os.path.join(scratch, "bronze")
+    real = I.bronze_rows
+    monkeypatch.setattr(I, "bronze_rows", lambda raw, ds, *a: 1 / 0 if ds.table_name == "olist_orders" else real(raw, ds, *a))
+    with pytest.raises(StreamingQueryException):
+        stream_bronze(spark, landing, bronze, os.path.join(scratch, "state"))
+    assert not spark.streams.active
+    assert I.read_bronze(spark, bronze, "olist_orders") is None and I.read_bronze(spark, bronze, "olist_customers").count() > 0
+    monkeypatch.undo()
+    stream_bronze(spark, landing, bronze, os.path.join(scratch, "state"))
+    assert I.read_bronze(spark, bronze, "olist_orders").count() > 0
+
+
+def test_a_row_like_its_header_is_data(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    header = list(CUSTOMERS.columns)
+    _put_customers(landing, DAY, ANA, dict(zip(header, header)), RUI)
+    found = read_landing_csv(spark, os.path.join(landing, DAY, CUSTOMERS.filename), CUSTOMERS).collect()
+    assert sorted(r.customer_id for r in found) == ["ana", "customer_id", "rui"]
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="") as f:
+        f.write(text)
+    return path
+
+
+def test_plain_files_are_read_in_splits_and_others_whole(spark, scratch):
+    from retail_lakehouse.sources.landing import file_facts
+
+    header, place = ",".join(CUSTOMERS.columns), os.path.join(scratch, CUSTOMERS.filename)
+    lines = [f'c{i},u{i},{i % 7},"city ""{i}"", x",st' for i in range(20_000)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        _write(place, header + "\n" + "\n".join(lines) + "\n")
+        assert [r.multiline for r in file_facts(spark, place).collect()] == [False]
+        plain = read_landing_csv(spark, place, CUSTOMERS)
+        assert plain.rdd.getNumPartitions() > 4
+        rows = sorted(plain.select("customer_id", "customer_city").collect())
+        assert len(rows) == 20_000 and rows[0] == ("c0", 'city "0", x')
+        _write(place, header + "\n" + "\n".join(lines) + '\nlast,u,1,"two\nlines",st\n')
+        assert [r.multiline for r in file_facts(spark, place).collect()] == [True]
+        whole = read_landing_csv(spark, place, CUSTOMERS)
+        assert whole.rdd.getNumPartitions() == 1
+        assert sorted(whole.select("customer_id", "customer_city").collect()) == sorted(rows + [("last", "two\nlines")])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_line_ends_in_quotes_are_found_across_blocks():
+    from retail_lakehouse.sources.landing import line_end_in_quotes as spans
+
+    def whole(text, size):
+        quotes, found = 0, False
+        for at in range(0, len(text), size):
+            hit, quotes = spans(text[at:at + size], quotes)
+            found = found or hit
+        return found
+
+    for size in (1, 2, 3, 100):
+        assert whole(b'a,"b\nc"\n', size) and whole(b'a,"b\rc"\n', size) and whole(b'"x""\n""y"\n', size)
+        assert not whole(b'a,"b ""c"""\n"d",e\r\n', size) and not whole(b"", size)

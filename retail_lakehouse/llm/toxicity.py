@@ -1,14 +1,14 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word enters as two vectors side by side: one of its own (``WORD_BUCKETS`` hashed
-words) and one of its characters (sum of the vectors of its 3-, 5- and 7-byte pieces with word
+words) and one of its characters (sum of the vectors of its 5- and 7-byte pieces with word
 ends, ``GRAM_BUCKETS`` hashed, over the root of their number). Two gated recurrent
 layers read a window of ``WINDOW`` words from both sides, attention pools their
 states into one vector, and a logistic output scores it. A text is read whole, as
 windows that begin every ``STRIDE`` words, so neighbours overlap; its score is the
 highest of its windows.
 
-Learning: the driver gets a bounded sample, about ``SAMPLE`` labelled documents per
+Learning: the driver gets a bounded sample, about ``SAMPLE`` labelled documents of each
 label (those whose id hashes are under a cut computed from the label's count) of
 at most ``LEARN_CHARS`` characters; every text is scored whole. A label is of a document, not of a window, so
 the windows to learn from are chosen first by the evidence of single words and
@@ -39,12 +39,12 @@ from pyspark.sql import functions as F
 from retail_lakehouse.llm.common import materialize
 from retail_lakehouse.llm.tokens import slices, strings
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 26
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 15, 1 << 16
-WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 12, 20, 16, 16
-GRAMS = (3, 5, 7)
+WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 16, 16, 16
+GRAMS = (5, 7)
 LEAST_DOCUMENTS = 3
-SAMPLE = 3000
+SAMPLE = {0: 4000, 1: 2000}
 LEARN_CHARS = 20_000
 STEPS, BATCH, RATE, SEED = 240, 256, 0.01, 12
 KNOWN_WORDS = 120_000
@@ -66,7 +66,7 @@ def windows_of(n: int) -> np.ndarray:
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word bucket per word, gram buckets one word after another, grams per word)."""
-    raw = [b"<" + w.encode("utf-8", "replace") + b">" for w in words]
+    raw = [b"<" + w.encode("utf-8", "replace") + b">>>" for w in words]  # a piece at least
     ids = np.fromiter((zlib.crc32(r) % WORD_BUCKETS for r in raw), dtype=np.int64, count=len(raw))
     size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
     flat = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.uint64)
@@ -132,7 +132,10 @@ def new_parameters(rng: np.random.Generator) -> dict[str, np.ndarray]:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    out = np.tanh(x * x.dtype.type(0.5))
+    out += 1
+    out *= 0.5
+    return out
 
 
 def word_inputs(p, ids, grams, count) -> np.ndarray:
@@ -363,7 +366,7 @@ def train(sample: Sample, steps: int = STEPS) -> dict[str, np.ndarray]:
     return p
 
 
-def learn(docs: DataFrame, labels: DataFrame, training, sample: int = SAMPLE, learn_chars: int = LEARN_CHARS) -> Network:
+def learn(docs: DataFrame, labels: DataFrame, training, sample: dict[int, int] = SAMPLE, learn_chars: int = LEARN_CHARS) -> Network:
     """A network from the labelled ``docs`` (doc_id, text) for which the column
     ``training`` is true; ``labels``: (doc_id, toxic)."""
     named = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
@@ -376,10 +379,10 @@ def learn(docs: DataFrame, labels: DataFrame, training, sample: int = SAMPLE, le
     n = sum(found.values())
     if not (found.get(0) and found.get(1)):
         return Network(None, found.get(1, 0) / n if n else 0.0)
-    # Under this cut are about `sample` ids of the label, wherever they lie.
+    # Under its cut are about `sample` ids of a label, wherever they lie.
     cut = F.lit(None).cast("long")
     for y, count in found.items():
-        cut = F.when(F.col("toxic") == y, F.lit(int(-2 ** 63 + min(1.0, sample / count) * (2 ** 64 - 1025)))).otherwise(cut)
+        cut = F.when(F.col("toxic") == y, F.lit(int(-2 ** 63 + min(1.0, sample[y] / count) * (2 ** 64 - 1025)))).otherwise(cut)
     few = F.broadcast(marked.where(F.col("order") <= cut))
     texts = short.join(few, F.col("doc_id") == F.col("chosen")).groupBy("order", "chosen", "toxic").agg(F.min("text").alias("text"))
     taken = sorted((tuple(r) for r in texts.collect()), key=lambda r: r[:3])
@@ -395,17 +398,22 @@ class Scorer:
         self.network = network
         self.known: dict[str, int] = {}
         self.gates = np.zeros((1, 6 * HIDDEN), dtype=np.float32)  # row 0: no word
+        self.slices = np.zeros(1, dtype=np.int32)  # in how many slices a word was
 
     def _learn_words(self, words: list[str]) -> None:
-        if len(self.known) > KNOWN_WORDS:
-            self.known, self.gates = {}, self.gates[:1]
-        new = list({w for w in words if w not in self.known})
+        if len(self.known) > KNOWN_WORDS:  # only those that came back stay
+            kept = [w for w, at in self.known.items() if self.slices[at] > 1][:KNOWN_WORDS // 2]
+            rows = np.array([0, *[self.known[w] for w in kept]])
+            self.known = dict(zip(kept, range(1, len(kept) + 1)))
+            self.gates, self.slices = self.gates[rows], np.ones(len(rows), dtype=np.int32)
+        new = list(set(words).difference(self.known))
         parts = [self.gates]
         for at in range(0, len(new), 20_000):
             some = new[at:at + 20_000]
             self.known.update(zip(some, range(len(self.known) + 1, len(self.known) + 1 + len(some))))
             parts.append(projected(self.network.p, *features(some)))
         self.gates = np.concatenate(parts)
+        self.slices = np.concatenate([self.slices, np.zeros(len(new), dtype=np.int32)])
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         if self.network.p is None:
@@ -414,6 +422,7 @@ class Scorer:
         flat = [w for words in split for w in words]
         self._learn_words(flat)
         codes = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
+        self.slices[np.unique(codes)] += 1
         codes = np.concatenate([codes, np.zeros(WINDOW, dtype=np.int64)])
         size = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         begin = np.cumsum(size) - size

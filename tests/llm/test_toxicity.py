@@ -146,5 +146,5 @@ def test_learning_from_hashed_sample_only(spark, monkeypatch):
     labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
     seen = []
     monkeypatch.setattr(tx, "train", lambda sample: seen.append(sample) or None)
-    tx.learn(docs, labels, "n_chars = 1", sample=50)
+    tx.learn(docs, labels, "n_chars = 1", sample={0: 50, 1: 50})
     assert 60 <= len(seen[0].labels) <= 150 and 0.3 < seen[0].labels.mean() < 0.7

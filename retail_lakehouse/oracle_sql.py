@@ -646,6 +646,7 @@ def operator_queries_sql(suite) -> dict[str, str]:
         "landing_inventory": sliced + "\nUNION ALL\n".join(
             f"SELECT '{d.filename}' AS filename, EXISTS (SELECT 1 FROM fd_{d.table_name}) AS present" for d in DATASETS),
         "stored_layer": layer_query("dim_customers"),
+        "incremental_build": layer_query("mart_daily_sales"),
         "built_layers": with_ctes("\nUNION ALL\n".join(
             [f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {t}" for name, t in layers]
             + [f"SELECT 'check.' || check_name, failing_rows FROM ({_check_sql(c)})" for c in suite])),

@@ -1,0 +1,82 @@
+"""The incremental build: only touched days are written, and the result is that of a full build."""
+
+import os
+
+import pytest
+
+from retail_lakehouse.plans import incremental as N
+from retail_lakehouse.plans import ingest as I
+from retail_lakehouse.plans.layers import Lakehouse
+from retail_lakehouse.schemas import BY_TABLE
+
+from fixtures import DAY, NEXT_DAY, put_csv
+from test_ingest import _landing
+
+TABLES = {"fct_orders": "gold", "fct_order_items": "gold", "mart_daily_sales": "mart", "mart_delivery_performance": "mart"}
+
+
+def files(root, day):
+    return {f for t in TABLES for f in os.listdir(os.path.join(root, t, f"{N.DAY}={day}"))}
+
+
+def equals_full_build(spark, bronze, out):
+    lh = Lakehouse.from_bronze(spark, I.bronze_tables(spark, bronze))
+    for name, layer in TABLES.items():
+        full = getattr(lh, layer)(name)
+        stored = spark.read.parquet(os.path.join(out, name)).select(full.columns)
+        assert sorted(map(str, stored.collect())) == sorted(map(str, full.collect())), name
+
+
+def test_a_second_day_writes_its_partitions_only(spark, scratch):
+    landing, bronze, out = _landing(spark, scratch), os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
+    I.ingest_batch(spark, landing, bronze, DAY)
+    assert [str(d) for d in N.build_new_days(spark, bronze, out)] == [DAY]
+    first = files(out, DAY)
+    I.ingest_batch(spark, landing, bronze, NEXT_DAY)
+    assert [str(d) for d in N.build_new_days(spark, bronze, out)] == [NEXT_DAY]
+    assert files(out, DAY) == first
+    equals_full_build(spark, bronze, out)
+    assert N.build_new_days(spark, bronze, out) == []  # nothing new
+
+
+def test_late_rows_and_moved_reviews_touch_their_orders_days(spark, scratch):
+    landing, bronze, out = _landing(spark, scratch), os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
+    I.ingest_bronze(spark, landing, bronze)
+    days = {str(d) for d in N.build_new_days(spark, bronze, out)}
+    assert days == {DAY, NEXT_DAY}
+    orders = {str(r.order_purchase_date): r.order_id for r in spark.read.parquet(os.path.join(out, "fct_orders")).collect()}
+    reviews = [r.asDict() for r in I.read_bronze(spark, bronze, "olist_order_reviews").collect()]
+    later, columns = "2031-01-01", BY_TABLE["olist_order_reviews"].columns
+    # A payment of an order of the first day comes years later.
+    payments = BY_TABLE["olist_order_payments"]
+    put_csv(os.path.join(landing, later, payments.filename), list(payments.columns),
+            [{"order_id": orders[DAY], "payment_sequential": "77", "payment_value": "5.00"}])
+    I.ingest_bronze(spark, landing, bronze, [payments])
+    assert [str(d) for d in N.build_new_days(spark, bronze, out)] == [DAY]
+    equals_full_build(spark, bronze, out)
+    # A review of the first day's order is sent again for the other day's: both days change.
+    moved = next(dict(r) for r in reviews if r["order_id"] == orders[DAY])
+    moved |= {"order_id": orders[NEXT_DAY], "review_answer_timestamp": "2031-01-01 00:00:00"}
+    put_csv(os.path.join(landing, later, BY_TABLE["olist_order_reviews"].filename), list(columns), [{c: moved[c] for c in columns}])
+    I.ingest_bronze(spark, landing, bronze, [BY_TABLE["olist_order_reviews"]])
+    assert {str(d) for d in N.build_new_days(spark, bronze, out)} == {DAY, NEXT_DAY}
+    equals_full_build(spark, bronze, out)
+
+
+def test_a_run_that_dies_is_repeated(spark, scratch, monkeypatch):
+    landing, bronze, out = _landing(spark, scratch), os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
+    I.ingest_batch(spark, landing, bronze, DAY)
+    real, written = N._overwrite_days, []
+
+    def dying(df, path):
+        if written:
+            raise RuntimeError("lost")
+        written.append(path)
+        real(df, path)
+
+    monkeypatch.setattr(N, "_overwrite_days", dying)
+    with pytest.raises(RuntimeError):
+        N.build_new_days(spark, bronze, out)
+    monkeypatch.undo()
+    assert [str(d) for d in N.build_new_days(spark, bronze, out)] == [DAY]
+    equals_full_build(spark, bronze, out)

@@ -610,7 +610,7 @@ def operator_queries_sql(suite) -> dict[str, str]:
     o_hash, c_hash = _json_hash(cols["olist_orders"]), _json_hash(cols["olist_customers"])
 
     first_day = {t: f"CAST({k} AS BIGINT) % 2 = 0" for t, k in {
-        "olist_orders": "order_id", "olist_order_items": "order_id", "olist_order_payments": "order_id", "olist_order_reviews": "order_id",
+        "olist_orders": "order_id", "olist_order_items": "order_id", "olist_order_payments": "order_id", "olist_order_reviews": "review_id",
         "olist_customers": "customer_id", "olist_products": "product_id", "olist_sellers": "seller_id",
         "olist_geolocation": "geolocation_zip_code_prefix"}.items()} | {
         "product_category_name_translation": "length(product_category_name) % 2 = 0"}

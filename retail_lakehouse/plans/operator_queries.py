@@ -19,7 +19,7 @@ from retail_lakehouse.operators.rows import dedupe_rows
 from retail_lakehouse.operators.slice import daily_slice, orders_summary, slice_digest, zip_codes
 from retail_lakehouse.plans import ingest as I
 from retail_lakehouse.plans.build import build_all
-from retail_lakehouse.plans.incremental import build_new_days
+from retail_lakehouse.plans.incremental import build_new_days, read_built
 from retail_lakehouse.plans.layers import Lakehouse
 from retail_lakehouse.schemas import BY_TABLE, DATASETS
 from retail_lakehouse.session import ensure_checkpoint_dir
@@ -63,7 +63,8 @@ def daily_batch_bronze(spark: SparkSession, sf: str) -> DataFrame:
 
 # Which rows land on the first of two days already: by the parity of a column.
 _BY_KEY = {
-    ORDERS: "order_id", "olist_order_items": "order_id", "olist_order_payments": "order_id", "olist_order_reviews": "order_id",
+    ORDERS: "order_id", "olist_order_items": "order_id", "olist_order_payments": "order_id",
+    "olist_order_reviews": "review_id",  # the versions of a review land together
     CUSTOMERS: "customer_id", "olist_products": "product_id", "olist_sellers": "seller_id",
     "olist_geolocation": "geolocation_zip_code_prefix",
 }
@@ -220,8 +221,8 @@ def incremental_build(spark: SparkSession, sf: str) -> DataFrame:
     landing, bronze, root = _write_two_days(spark, sf), _folder(spark, "bronze"), _folder(spark, "incremental")
     for day in (FIRST_DAY, SECOND_DAY):
         I.ingest_batch(spark, landing, bronze, day)
-        build_new_days(spark, bronze, root)
-    return spark.read.parquet(f"{root}/mart_daily_sales")
+        build_new_days(spark, bronze, root, grain="month")
+    return read_built(spark, root, "mart_daily_sales")
 
 
 QUERIES = {

@@ -16,14 +16,14 @@ TABLES = {"fct_orders": "gold", "fct_order_items": "gold", "mart_daily_sales": "
 
 
 def files(root, day):
-    return {f for t in TABLES for f in os.listdir(os.path.join(root, t, f"{N.DAY}={day}"))}
+    return {f for t in TABLES for f in os.listdir(os.path.join(root, t, f"{N.PERIOD}={day}"))}
 
 
 def equals_full_build(spark, bronze, out):
     lh = Lakehouse.from_bronze(spark, I.bronze_tables(spark, bronze))
     for name, layer in TABLES.items():
         full = getattr(lh, layer)(name)
-        stored = spark.read.parquet(os.path.join(out, name)).select(full.columns)
+        stored = N.read_built(spark, out, name).select(full.columns)
         assert sorted(map(str, stored.collect())) == sorted(map(str, full.collect())), name
 
 
@@ -66,7 +66,7 @@ def test_late_rows_and_moved_reviews_touch_their_orders_days(spark, scratch):
 def test_a_run_that_dies_is_repeated(spark, scratch, monkeypatch):
     landing, bronze, out = _landing(spark, scratch), os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
     I.ingest_batch(spark, landing, bronze, DAY)
-    real, written = N._overwrite_days, []
+    real, written = N._overwrite_periods, []
 
     def dying(df, path):
         if written:
@@ -74,9 +74,19 @@ def test_a_run_that_dies_is_repeated(spark, scratch, monkeypatch):
         written.append(path)
         real(df, path)
 
-    monkeypatch.setattr(N, "_overwrite_days", dying)
+    monkeypatch.setattr(N, "_overwrite_periods", dying)
     with pytest.raises(RuntimeError):
         N.build_new_days(spark, bronze, out)
     monkeypatch.undo()
     assert [str(d) for d in N.build_new_days(spark, bronze, out)] == [DAY]
     equals_full_build(spark, bronze, out)
+
+
+def test_months(spark, scratch):
+    landing, bronze, out = _landing(spark, scratch), os.path.join(scratch, "bronze"), os.path.join(scratch, "out")
+    for day in (DAY, NEXT_DAY):
+        I.ingest_batch(spark, landing, bronze, day)
+        assert [str(d) for d in N.build_new_days(spark, bronze, out, grain="month")] == [day[:8] + "01"]
+    equals_full_build(spark, bronze, out)
+    with pytest.raises(ValueError):
+        N.period_of(None, "week")

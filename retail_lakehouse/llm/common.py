@@ -39,6 +39,11 @@ def buckets_for(rows: int, rows_per_bucket: int) -> int:
     return max(1, -(-rows // rows_per_bucket))
 
 
+def hash_cut(wanted: float, rows: int) -> int:
+    """The 64-bit hash under which about ``wanted`` of ``rows`` distinct ids lie."""
+    return int(-2 ** 63 + min(1.0, wanted / max(1, rows)) * (2 ** 64 - 1025))
+
+
 def free_name(columns: Sequence[str], wanted: str) -> str:
     """``wanted``, or that with as many underscores as it takes not to be among ``columns`` (in any case)."""
     taken = {c.lower() for c in columns}

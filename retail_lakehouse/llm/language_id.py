@@ -2,7 +2,8 @@
 
 Each language has a raw-content zstandard dictionary, made of ``SNIPPETS``
 snippets of ``SNIPPET_CHARS`` characters from its training documents (those with
-the smallest id hashes; a bounded, documented sample). A whole text, reduced to
+the smallest id hashes; a bounded, documented sample, taken from the ids under a cut
+computed from the language's count, so what is ranked does not grow with the table). A whole text, reduced to
 its lower-case letters with single spaces between words, is encoded in segments
 of ``SEGMENT_BYTES`` with every dictionary, so that the dictionary and not the
 text's own past explains it; the smallest sum wins. If the runner-up is larger
@@ -10,8 +11,8 @@ by less than ``min_margin`` of its size, the decision is rejected.
 
 Defined results: a null text or one without letters is 'und', score 0,
 rejected; ties go to the first language in code point order, score 0, rejected;
-training documents without language or text teach nothing; with no language
-learned every text is 'und'. Equal rows are predicted alike; an empty table
+training documents without language or text teach nothing, of rows with one doc_id
+and language the smallest snippet teaches; with no language learned every text is 'und'. Equal rows are predicted alike; an empty table
 gives an empty result; columns of the input named like an output give way to it.
 """
 
@@ -25,9 +26,11 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from retail_lakehouse.llm.common import hash_cut
 from retail_lakehouse.llm.tokens import slices, strings
 
 SNIPPETS = 600
+SAMPLED = SNIPPETS * 1.5  # under the cut; the ids there are random, ten deviations from too few
 SNIPPET_CHARS = 200
 DICTIONARY_BYTES = SNIPPETS * (SNIPPET_CHARS + 1) * 4  # all snippets, in any script
 SEGMENT_BYTES = 700
@@ -46,14 +49,23 @@ def letters_only(texts: pa.Array) -> list[str]:
     return [t.strip() for t in strings(pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), _OTHER, " "))]
 
 
+def sampled(training: DataFrame) -> DataFrame:
+    """(lang, order, doc_id, snippet): about SAMPLED snippets of each language (all, if it has
+    fewer), however many rows and tasks there are. To the driver comes a count per language."""
+    at = F.pmod(F.xxhash64("doc_id", F.lit("at")), F.greatest(F.length("text") - SNIPPET_CHARS, F.lit(1))) + 1
+    known = training.where("lang is not null and text is not null")
+    cut = F.lit(None).cast("long")
+    for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect():
+        cut = F.when(F.col("lang") == r["lang"], F.lit(hash_cut(SAMPLED, r["n"]))).otherwise(cut)
+    under = known.select("lang", "doc_id", "text", F.xxhash64("doc_id").alias("order")).where(F.col("order") <= cut)
+    return under.groupBy("lang", "order", "doc_id").agg(F.min(F.substring("text", at.cast("int"), F.lit(SNIPPET_CHARS))).alias("snippet"))
+
+
 def learn(training: DataFrame) -> dict[str, bytes]:
     """Dictionaries by language from ``training`` (doc_id, text, lang). To the
     driver come at most SNIPPETS snippets per language."""
-    at = F.pmod(F.xxhash64("doc_id", F.lit("at")), F.greatest(F.length("text") - SNIPPET_CHARS, F.lit(1))) + 1
-    snippets = training.where("lang is not null and text is not null").select(
-        "lang", F.xxhash64("doc_id").alias("order"), F.expr("doc_id"), F.substring("text", at.cast("int"), F.lit(SNIPPET_CHARS)).alias("snippet"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id", "snippet"))
-    rows = snippets.withColumn("rank", rank).where(F.col("rank") <= SNIPPETS).select("lang", "rank", "snippet").collect()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
+    rows = sampled(training).withColumn("rank", rank).where(F.col("rank") <= SNIPPETS).select("lang", "rank", "snippet").collect()
     by_lang: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
         by_lang.setdefault(r["lang"], []).append(r["snippet"])

@@ -1,6 +1,9 @@
+import unicodedata
 import zlib
 
 import pyarrow as pa
+import zstandard as zstd
+from pyspark.sql import functions as F
 
 from llm_helpers import edge_rows, frame
 from retail_lakehouse.llm import language_id, queries
@@ -65,3 +68,46 @@ def test_every_snippet_teaches(spark):
     learned = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
     assert set(words) <= set(learned["ru"].decode().split())
     assert len(learned["ru"]) + language_id.SEGMENT_BYTES <= 1 << language_id._PARAMETERS["window_log"]
+
+
+def test_every_row_against_plain_python(spark):
+    """The same dictionaries, every text by itself, no table of compressors, no Arrow."""
+    docs = queries.documents(spark, "/root/testdata/sf0.01")
+    learned = queries.language_dictionaries(docs)
+    level = zstd.ZstdCompressionParameters(**language_id._PARAMETERS)
+    packers = {lang: zstd.ZstdCompressor(dict_data=zstd.ZstdCompressionDict(d, dict_type=zstd.DICT_TYPE_RAWCONTENT), compression_params=level)
+               for lang, d in learned.items()}
+
+    def plain(text):
+        words = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in (text or "").lower()).split(" ")
+        raw = " ".join(w for w in words if w).encode()
+        if not any(c.isalpha() for c in raw.decode()):
+            return "und", 0.0
+        pieces = [raw[i:i + 700] for i in range(0, len(raw), 700)]
+        size = {lang: sum(len(p.compress(x)) for x in pieces) for lang, p in packers.items()}
+        best, second = sorted(size.values())[:2]
+        return min(lang for lang in size if size[lang] == best), 1 - best / second
+
+    for r in language_id.identify(docs, learned, ["doc_id", "text"]).collect():
+        lang, score = plain(r["text"])
+        assert r["lang_pred"] == lang and abs(r["score"] - score) < 1e-12
+
+
+def test_sample_is_the_smallest_hashes_in_any_partitioning(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SNIPPETS", 20)
+    monkeypatch.setattr(language_id, "SAMPLED", 60)
+    docs = spark.range(20_000).selectExpr("id as doc_id", "concat('w', id % 7, ' text of ', id) as text", "if(id % 3 = 0, 'aa', 'bb') as lang")
+    again = docs.unionByName(spark.range(5000).selectExpr("7L as doc_id", "concat('copy ', id) as text", "'bb' as lang"))
+    rows = [tuple(r) for r in docs.select("lang", F.xxhash64("doc_id"), "text").collect()]
+    want = {lang: " ".join(language_id.letters_only(pa.array([t for _, _, t in sorted(r for r in rows if r[0] == lang)[:20]]))).encode()
+            for lang in ("aa", "bb")}
+    assert language_id.learn(docs) == want
+    assert language_id.learn(docs.repartition(50)) == want
+    for parts in (2, 80):
+        assert language_id.sampled(again.repartition(parts)).count() < 200
+
+
+def test_one_language_or_none(spark):
+    docs = spark.createDataFrame([(None, "some words", "aa"), (None, "other words", "aa"), (1, None, "bb"), (2, "x", None)], "doc_id long, text string, lang string")
+    assert set(language_id.learn(docs)) == {"aa"}
+    assert language_id.learn(docs.limit(0)) == {}

@@ -1,6 +1,7 @@
 """Nearest neighbours with learned partitions.
 
-Learning, on a bounded sample (``sample`` rows with the smallest id hashes): the
+Learning, on a bounded sample (``sample`` ids with the smallest hashes, taken from those
+under a cut computed from the number of rows; of rows with one id the smallest vector): the
 sample's neighbour graph is cut into ``parts`` balanced parts by recursive
 bisection (each half ordered along the slowest vector of the graph's random walk
 and cut in the middle), and a softmax classifier learns a vector's part. The
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_lakehouse.llm.common import buckets_for, materialize
+from retail_lakehouse.llm.common import buckets_for, hash_cut, materialize
 from retail_lakehouse.llm.interpolated_lm import _by_key
 
 ROWS_PER_CELL = 20_000
@@ -139,14 +140,22 @@ def learn(x: np.ndarray, k: int, fit: Fit) -> Router:
     return Router(weights, int(enough[0]) + 1 if len(enough) else fit.parts)
 
 
-def usable(rows: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """(vec_id, v: array<double>) of the rows that take part."""
+def usable(rows: DataFrame, id_column: str, vector: str) -> tuple[DataFrame, int]:
+    """(vec_id, v: array<double>) of the rows that take part, and how many they are."""
     bad = F.exists(vector, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
     some = F.exists(vector, lambda e: e != 0)
     good = rows.where(F.col(vector).isNotNull() & (F.size(vector) > 0)).where(~bad & some & F.col(id_column).isNotNull())
     sizes = good.groupBy(F.size(vector).alias("n")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "n").first()
-    return good.where(F.size(vector) == (sizes["n"] if sizes else 0)).select(
+    known = good.where(F.size(vector) == (sizes["n"] if sizes else 0)).select(
         F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
+    return known, sizes["c"] if sizes else 0
+
+
+def sampled(known: DataFrame, rows: int, sample: int) -> DataFrame:
+    """The ``sample`` ids with the smallest hashes, one vector each. Only ids under the cut, about
+    a quarter more, are ranked, however many rows and tasks there are."""
+    under = known.where(F.xxhash64("vec_id") <= hash_cut(1.25 * sample + 200, rows))
+    return under.groupBy("vec_id").agg(F.min("v").alias("v")).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -177,8 +186,8 @@ def needed_copies(x: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def search(rows: DataFrame, is_query, k: int, fit: Fit = Fit(), id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The k nearest rows of each row for which ``is_query`` (a column over
     ``vec_id``) holds: (query_id, rank, vec_id, score)."""
-    known = usable(rows, id_column, vector)
-    sample = known.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit.sample).collect()
+    known, n_known = usable(rows, id_column, vector)
+    sample = sampled(known, n_known, fit.sample).collect()
     if not sample:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     router = learn(np.array([r["v"] for r in sample]), k, fit)

@@ -103,3 +103,12 @@ def test_parts_are_balanced_and_cut_few_edges(parts):
     sizes = np.bincount(label, minlength=parts)
     assert sizes.max() - sizes.min() <= parts
     assert (label[graph] != label[:, None]).mean() < 0.35
+
+
+def test_sample_is_the_smallest_hashes_in_any_partitioning(spark):
+    rows = spark.range(30_000).selectExpr("id as vec_id", "array(cast(id as double), 1D) as v")
+    hot = rows.unionByName(spark.range(10_000).selectExpr("5L as vec_id", "array(cast(id as double), 2D) as v"))
+    want = [r[0] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(100).collect()]
+    for df in (rows.repartition(3), rows.repartition(60), hot.repartition(40)):
+        n = df.count()
+        assert [r["vec_id"] for r in learned_ann.sampled(df, n, 100).collect()] == want

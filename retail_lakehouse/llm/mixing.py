@@ -2,8 +2,9 @@
 
 Each source's documents, in a fixed order, are one stream of words that is
 packed into blocks of ``block_words`` (the last may be shorter). Every output
-shard draws a multinomial count of blocks per source, the odds being what each
-source's target still lacks, so shard totals end exactly on the targets. A
+shard draws a multinomial count of blocks per source, given that all shards together
+end exactly on the targets: a binary tree of shard ranges, each node with a seed of its own, splits the
+blocks, so tasks draw their own shards. A
 source's draws are numbered slots; slot i takes the block that the source's
 pseudorandom permutation of epoch i // n puts at place i % n, so no block is
 taken again before all were taken once. Slots and blocks are joined by (source,
@@ -11,8 +12,7 @@ block index).
 
 A source may hold a third of all rows: stream positions are prefix sums over
 hash buckets of bounded size, added to the sums of the buckets before; slots and
-blocks are spread by block. The driver handles one row per source, and one
-count per (shard, source).
+blocks are spread by block. The driver handles one row per source.
 
 Defined results: null text has no words and is never taken; a null source is a
 source of its own, last in order; equal rows are separate documents; a source
@@ -27,7 +27,6 @@ from dataclasses import dataclass
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,19 +73,43 @@ def targets(sizes: list[int], mix: Mix) -> list[Fraction]:
     return out
 
 
+def dealt(counts: np.ndarray, want: int, rng: np.random.Generator) -> np.ndarray:
+    """``want`` of ``counts`` blocks per source: each block by a coin of that bias, and what the
+    coins miss or exceed ``want`` by in multinomial draws over the blocks that may still move."""
+    half = rng.binomial(counts, want / counts.sum())
+    while lack := want - int(half.sum()):
+        free = counts - half if lack > 0 else half
+        moved = np.minimum(rng.multinomial(abs(lack), free / free.sum()), free)
+        half += moved if lack > 0 else -moved
+    return half
+
+
+def shards_of(quota: np.ndarray, blocks_per_shard: int) -> int:
+    return buckets_for(int(quota.sum()), blocks_per_shard) if quota.sum() else 0
+
+
+def shard_draws(quota: np.ndarray, blocks_per_shard: int, seed: int, lo: int, hi: int):
+    """(shard, first slot per source, blocks per source) of the shards from ``lo`` to before ``hi``.
+
+    The shards are the leaves of a binary tree. A node, seeded by its range, deals its
+    blocks to its two halves, so anyone can draw any range by the nodes above it alone; all
+    draws together are the quotas, and each shard's counts are multinomial given that."""
+    open_ = [(0, shards_of(quota, blocks_per_shard), quota.astype(np.int64), np.zeros(len(quota), dtype=np.int64))]
+    while open_:
+        a, b, counts, first = open_.pop()
+        if b <= lo or a >= hi:
+            continue
+        if b - a == 1:
+            yield a, first, counts
+            continue
+        mid = (a + b) // 2
+        left = dealt(counts, (mid - a) * blocks_per_shard, np.random.default_rng([seed, a, b]))
+        open_ += [(mid, b, counts - left, first + left), (a, mid, left, first)]
+
+
 def shard_counts(quota: np.ndarray, blocks_per_shard: int, seed: int) -> np.ndarray:
-    """Blocks per (shard, source): multinomial draws whose odds are the blocks
-    still due; what a draw has above that is drawn again among the others."""
-    rng, due, rows = np.random.default_rng(seed), quota.astype(np.int64).copy(), []
-    while due.sum():
-        want, got = min(blocks_per_shard, int(due.sum())), np.zeros_like(due)
-        while want:
-            free = due - got
-            draw = np.minimum(rng.multinomial(want, free / free.sum()), free)
-            got += draw
-            want -= int(draw.sum())
-        due -= got
-        rows.append(got)
+    """Blocks per (shard, source), all shards."""
+    rows = [counts for _, _, counts in shard_draws(quota, blocks_per_shard, seed, 0, shards_of(quota, blocks_per_shard))]
     return np.array(rows, dtype=np.int64).reshape(len(rows), len(quota))
 
 
@@ -168,31 +191,30 @@ def block_segments(placed: DataFrame, mix: Mix) -> DataFrame:
 
 
 def drawn_slots(spark, plan: list[dict], mix: Mix) -> DataFrame:
-    """(shard, sid, slot, block): every slot of every output shard with the block it takes."""
-    quota = np.array([p["quota"] for p in plan], dtype=np.int64)
-    counts = shard_counts(quota, mix.blocks_per_shard, mix.seed)
-    first = np.cumsum(counts, axis=0) - counts
-    shard, sid = np.nonzero(counts)
-    draws = pd.DataFrame({"shard": shard, "sid": sid.astype("int32"), "first": first[shard, sid], "count": counts[shard, sid]})
-    blocks = {p["sid"]: p["blocks"] for p in plan}
+    """(shard, sid, slot, block): every slot of every output shard with the block it takes.
+    Tasks draw for their own shards; the driver sends them quota and blocks of each source."""
+    quota, blocks = (np.array([p[c] for p in plan], dtype=np.int64) for c in ("quota", "blocks"))
+    shards = shards_of(quota, mix.blocks_per_shard)
+
+    def taken(sid, slot):
+        epoch, place, out = slot // blocks[sid], slot % blocks[sid], np.zeros(len(slot), dtype=np.int64)
+        for e in np.unique(epoch).tolist():
+            mine = epoch == e
+            out[mine] = permuted(place[mine], int(blocks[sid]), hash_key(mix.seed, sid, e))
+        return out
 
     def slots(batches):
         for batch in batches:
-            for shard, sid, lo, n in zip(*(c.to_pylist() for c in batch.columns)):
-                for at in range(lo, lo + n, 1 << 18):
-                    slot = np.arange(at, min(at + (1 << 18), lo + n))
-                    epoch, place, taken = slot // blocks[sid], slot % blocks[sid], np.zeros(len(slot), dtype=np.int64)
-                    for e in np.unique(epoch).tolist():
-                        mine = epoch == e
-                        taken[mine] = permuted(place[mine], blocks[sid], hash_key(mix.seed, sid, e))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(slot), shard)), pa.array(np.full(len(slot), sid, dtype="int32")),
-                         pa.array(slot), pa.array(taken)], names=["shard", "sid", "slot", "block"])
-
-    rows = list(draws.itertuples(index=False, name=None))
-    table = spark.createDataFrame([tuple(int(v) for v in r) for r in rows], "shard long, sid int, first long, count long")
-    spread = table.repartition(max(1, min(len(rows), 4 * spark.sparkContext.defaultParallelism)))
-    return spread.mapInArrow(slots, "shard long, sid int, slot long, block long")
+            ids = batch.column(0).to_numpy()
+            for shard, first, counts in shard_draws(quota, mix.blocks_per_shard, mix.seed, int(ids[0]), int(ids[-1]) + 1):
+                parts = [(sid, np.arange(first[sid], first[sid] + counts[sid])) for sid in np.flatnonzero(counts).tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(counts.sum(), shard)), pa.array(np.repeat(np.arange(len(quota), dtype="int32"), counts)),
+                     pa.array(np.concatenate([slot for _, slot in parts])),
+                     pa.array(np.concatenate([taken(sid, slot) for sid, slot in parts]))], names=["shard", "sid", "slot", "block"])
+
+    tasks = max(1, min(shards, 4 * spark.sparkContext.defaultParallelism))
+    return spark.range(0, shards, 1, tasks).mapInArrow(slots, "shard long, sid int, slot long, block long")
 
 
 def hash_key(seed: int, sid: int, epoch: int) -> int:

@@ -42,6 +42,48 @@ def test_shard_counts_end_on_the_quota():
     assert counts[:, 0].std() > 0
 
 
+def test_any_range_of_shards_is_drawn_alike():
+    quota = np.array([5000, 0, 37, 1, 900, 4062])
+    whole = list(mixing.shard_draws(quota, 100, 9, 0, 100))
+    assert [s for s, _, _ in whole] == list(range(100))
+    counts = np.array([c for _, _, c in whole])
+    assert (counts >= 0).all() and (counts.sum(axis=0) == quota).all() and (counts.sum(axis=1) == 100).all()
+    assert (np.array([f for _, f, _ in whole]) == np.cumsum(counts, axis=0) - counts).all()
+    for lo, hi in ((0, 1), (17, 18), (40, 63), (99, 100)):
+        some = list(mixing.shard_draws(quota, 100, 9, lo, hi))
+        assert [s for s, _, _ in some] == list(range(lo, hi))
+        assert all((f == whole[s][1]).all() and (c == whole[s][2]).all() for s, f, c in some)
+
+
+def test_shards_vary_as_multinomial_draws():
+    p = np.array([0.5, 0.3, 0.15, 0.05])
+    counts = mixing.shard_counts((p * 512 * 400).astype(np.int64), 400, 4)
+    assert len(counts) == 512
+    assert np.allclose(counts.var(axis=0) / (400 * p * (1 - p)), 1, atol=0.3)
+    pair = np.corrcoef(counts[:, 0], counts[:, 1])[0, 1]
+    assert abs(pair + np.sqrt(0.5 * 0.3 / (0.5 * 0.7))) < 0.12
+
+
+def test_more_blocks_than_any_driver_table():
+    quota = np.full(2000, 10 ** 8)  # 2 * 10^11 blocks, 762,940 shards
+    (shard, first, counts), = mixing.shard_draws(quota, 1 << 18, 1, 500_000, 500_001)
+    assert shard == 500_000 and counts.sum() == 1 << 18 and (first + counts <= quota).all()
+    assert mixing.shards_of(quota, 1 << 18) == 762_940
+
+
+def test_slots_of_every_source_are_gapless(spark):
+    mix = Mix(blocks_per_shard=40)
+    plan = [{"sid": i, "blocks": b, "quota": q} for i, (b, q) in enumerate([(300, 500), (1, 2), (50, 0), (7, 13)])]
+    rows = mixing.drawn_slots(spark, plan, mix).collect()
+    for p in plan:
+        mine = sorted((r["slot"], r["shard"], r["block"]) for r in rows if r["sid"] == p["sid"])
+        assert [s for s, _, _ in mine] == list(range(p["quota"]))
+        assert [h for _, h, _ in mine] == sorted(h for _, h, _ in mine)
+        n = p["blocks"]
+        for e in range(0, p["quota"], n):
+            assert len({b for s, _, b in mine if e <= s < e + n}) == len([s for s, _, _ in mine if e <= s < e + n])
+
+
 def check(spark, docs, tolerance):
     rows = docs.collect()
     found = mixing.taken_words(docs, queries.MIX).collect()

@@ -628,6 +628,10 @@ def operator_queries_sql(suite) -> dict[str, str]:
         "scan_bronze": with_ctes(two_days),
         "ingest_ledgers": with_ctes(f"SELECT 'runs' AS ledger, 'succeeded' AS state, CAST(2 AS BIGINT) AS rows\nUNION ALL\n{loads}"),
         "streamed_bronze": with_ctes(two_days),
+        "distinct_customers": with_ctes("\nUNION ALL\n".join(
+            f"SELECT '{grain}' AS grain, {period} AS period, count(DISTINCT customer_id) AS customer_count FROM fct_orders GROUP BY 2"
+            for grain, period in (("day", "order_purchase_date"), ("month", "CAST(date_trunc('month', order_purchase_date) AS DATE)"),
+                                  ("year", "CAST(date_trunc('year', order_purchase_date) AS DATE)"), ("all", "CAST(NULL AS DATE)")))),
         "deduped_landings": with_ctes(f"SELECT DISTINCT {orders}, {o_hash} AS _row_hash, DATE '2026-01-01' AS _batch_date, 'b' AS _source_file FROM raw_olist_orders"),
         "inserted_rows": with_ctes(f"SELECT DISTINCT {customers}, {c_hash} AS _row_hash FROM raw_olist_customers WHERE CAST(customer_id AS BIGINT) % 2 <> 0"),
         "event_ntiles": """SELECT event_id, CAST(ntile(10) OVER (ORDER BY value NULLS FIRST, event_id) AS INTEGER) AS decile,

@@ -19,10 +19,11 @@ from retail_lakehouse.operators.rows import dedupe_rows
 from retail_lakehouse.operators.slice import daily_slice, orders_summary, slice_digest, zip_codes
 from retail_lakehouse.plans import ingest as I
 from retail_lakehouse.plans.build import build_all
+from retail_lakehouse.plans.distinct_states import add_batch, distinct_by_period, read_states
 from retail_lakehouse.plans.incremental import build_new_days, read_built
 from retail_lakehouse.plans.layers import Lakehouse
 from retail_lakehouse.schemas import BY_TABLE, DATASETS
-from retail_lakehouse.session import ensure_checkpoint_dir
+from retail_lakehouse.session import ensure_checkpoint_dir, materialize
 from retail_lakehouse.sources import driver_tables as D
 from retail_lakehouse.sources.landing import ensure_layers, missing_files, write_csv_counted, write_daily_slice
 from retail_lakehouse.sources.stored import read_table, write_layer
@@ -225,7 +226,18 @@ def incremental_build(spark: SparkSession, sf: str) -> DataFrame:
     return read_built(spark, root, "mart_daily_sales")
 
 
+def distinct_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with orders by day, month, year and in all, (grain, period, customer_count), from daily
+    states of distinct customers that two batches of the order fact were added to."""
+    root = _folder(spark, "customer-states")
+    orders = materialize(Lakehouse.from_driver(spark, sf).gold("fct_orders").select("order_id", "order_purchase_date", "customer_id"), "order-customers")
+    for batch, rows in enumerate((orders.where(FIRST_LANDED[ORDERS]), orders.where(f"NOT coalesce({FIRST_LANDED[ORDERS]}, false)"))):
+        add_batch(rows, root, str(batch), "customer_id", ["order_purchase_date"])
+    return distinct_by_period(read_states(spark, root, ["order_purchase_date"]), "order_purchase_date", "customer_count")
+
+
 QUERIES = {
+    "distinct_customers": distinct_customers,
     "incremental_build": incremental_build,
     "daily_slice_digest": daily_slice_digest,
     "daily_batch_bronze": daily_batch_bronze,

@@ -96,7 +96,9 @@ def exact_quotient(num: ColumnLike, den: ColumnLike, scale: int, num_scale: int
         raise ValueError("num_scale must not exceed the result scale")
     den_c = F.nullif(_col(den).cast("decimal(38,0)"), F.lit(0))
     # num has at most `scale` fraction digits, so num * 10^scale is an integer.
-    scaled = (_col(num) * F.lit(10 ** scale)).cast("decimal(38,0)")
+    # A whole number is scaled as a decimal: as a long it would pass its range.
+    exact = _col(num).cast("decimal(29,0)") if num_scale == 0 else _col(num)
+    scaled = (exact * F.lit(10 ** scale)).cast("decimal(38,0)")
     magnitude = _integral_div(F.abs(scaled) * F.lit(2) + den_c, den_c * F.lit(2))
     signed = F.when(scaled < 0, -magnitude).otherwise(magnitude)
     unit = F.lit(1).cast("decimal(1,0)") if scale == 0 else F.expr(f"1E-{scale}BD")

@@ -53,10 +53,12 @@ def mart_delivery_performance(fct_orders: DataFrame, day_basis: str = "calendar"
         delivery_days = exact_avg(F.datediff(delivered, F.col("order_purchase_at")), 2, precision=10)
         vs_estimate = exact_avg(F.datediff(delivered, F.col("order_estimated_delivery_at")), 2, precision=10)
     elif day_basis == "elapsed":
-        d1 = elapsed_micros(delivered, F.col("order_purchase_at"))
-        d2 = elapsed_micros(delivered, F.col("order_estimated_delivery_at"))
-        delivery_days = exact_quotient(F.sum(d1), F.count(d1) * F.lit(MICROS_PER_DAY), 2, precision=10)
-        vs_estimate = exact_quotient(F.sum(d2), F.count(d2) * F.lit(MICROS_PER_DAY), 2, precision=10)
+        # Years of microseconds over a day's orders, in hundredths, pass the range of a long.
+        def mean_days(start: str):
+            micros = elapsed_micros(delivered, F.col(start)).cast("decimal(19,0)")
+            return exact_quotient(F.sum(micros), F.count(micros).cast("decimal(20,0)") * F.lit(MICROS_PER_DAY).cast("decimal(11,0)"), 2, precision=10)
+
+        delivery_days, vs_estimate = mean_days("order_purchase_at"), mean_days("order_estimated_delivery_at")
     else:
         raise ValueError(f"unknown day_basis {day_basis!r}")
     return fct_orders.groupBy("order_purchase_date").agg(

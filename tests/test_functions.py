@@ -75,3 +75,13 @@ def test_row_hash_layouts(spark):
 def test_iso_day_of_week(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 7),)], "d date")
     assert [r[0] for r in df.select(iso_day_of_week("d")).collect()] == [1, 7]
+
+
+def test_elapsed_days_of_a_busy_day_pass_the_range_of_a_long(spark):
+    from retail_lakehouse.plans.marts import mart_delivery_performance
+    # 2000 orders, each ten years under way: 6.3e17 microseconds, 6.3e19 in hundredths.
+    orders = spark.range(2000).selectExpr(
+        "DATE'2010-01-01' AS order_purchase_date", "TIMESTAMP'2010-01-01 00:00:00' AS order_purchase_at",
+        "TIMESTAMP'2020-01-01 12:00:00' AS order_delivered_customer_at", "TIMESTAMP'2019-12-31 12:00:00' AS order_estimated_delivery_at")
+    row = mart_delivery_performance(orders, "elapsed").first()
+    assert (row["average_delivery_days"], row["average_days_vs_estimate"]) == (Decimal("3652.50"), Decimal("1.00"))

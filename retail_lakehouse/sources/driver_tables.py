@@ -43,7 +43,7 @@ from pyspark.sql import Window
 
 from retail_lakehouse.functions.columns import row_hash
 from retail_lakehouse.schemas import BY_TABLE
-from retail_lakehouse.session import input_bytes, prepare, size_shuffle_partitions
+from retail_lakehouse.session import input_bytes, prepare, size_shuffles_of_columns
 
 SNAPSHOT_DATE = date(2026, 1, 1)
 ESTIMATE_DAYS = 45
@@ -77,7 +77,7 @@ def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
     file size unless the session already chose a count."""
     prepare(spark)
     paths = {t: f"{sf_dir}/{t}.parquet" for t in DRIVER_TABLES}
-    size_shuffle_partitions(spark, input_bytes(spark, paths.values()))
+    size_shuffles_of_columns(spark, input_bytes(spark, paths.values()))
     return {t: spark.read.schema(DRIVER_SCHEMAS[t]).parquet(p) for t, p in paths.items()}
 
 

@@ -165,3 +165,19 @@ def test_own_tables_are_dropped_when_asked(spark):
     import os
     assert os.path.isdir(folder)
     assert drop_materialized(spark) >= 1 and not os.path.exists(folder)
+
+
+def test_shuffles_of_columns_follow_the_input_and_leave_chosen_sizes():
+    from retail_lakehouse.session import TASK_BYTES, size_shuffles_of_columns
+    s = _SizedSession()
+    assert size_shuffles_of_columns(s, 1024 ** 3) == 128  # 16 (the parallelism) before
+    assert {k: s.conf.values[k] for k in TASK_BYTES} == {k: str(size) for k, (size, _) in TASK_BYTES.items()}
+    assert size_shuffles_of_columns(s, 6 * 1024 ** 3) == 768
+    key = "spark.sql.files.maxPartitionBytes"
+    launched = _SizedSession({key: "1g"})
+    size_shuffles_of_columns(launched, 1024 ** 3)
+    assert key not in launched.conf.values
+    s = _SizedSession()
+    s.conf.set(key, "64m")
+    size_shuffles_of_columns(s, 1024 ** 3)
+    assert s.conf.values[key] == "64m"

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from retail_lakehouse.functions.columns import row_hash
 from retail_lakehouse.operators.rows import left_semi
+from retail_lakehouse.session import materialize
 
 ORDERS = "olist_orders"
 ITEMS = "olist_order_items"
@@ -91,10 +92,14 @@ def slice_geolocation(geolocation: DataFrame, customers: DataFrame, sellers: Dat
 
 
 def daily_slice(t: Mapping[str, DataFrame], batch_date: date | str) -> dict[str, DataFrame]:
-    """The nine landing tables restricted to one purchase date (lazy)."""
-    orders = slice_orders(t[ORDERS], batch_date)
-    items = slice_children(t[ITEMS], orders)
-    parents = slice_parents(t, orders, items)
+    """The nine landing tables restricted to one purchase date.
+
+    The day's orders, items, customers, products and sellers, by which the other tables
+    are restricted, are written once: a day is small next to the tables, and with its size
+    known it goes to their scans instead of all their rows through a shuffle."""
+    orders = materialize(slice_orders(t[ORDERS], batch_date), "slice-orders")
+    items = materialize(slice_children(t[ITEMS], orders), "slice-items")
+    parents = {name: materialize(df, "slice-parents") for name, df in slice_parents(t, orders, items).items()}
     return {
         ORDERS: orders,
         ITEMS: items,
@@ -183,9 +188,14 @@ def orders_summary(orders: DataFrame, strict: bool = True) -> DataFrame:
 def slice_digest(t: Mapping[str, DataFrame], batch_date: date | str) -> DataFrame:
     """The nine tables of one day's slice as one: (table_name, row_hash, copies),
     a row's content hash with the number of equal rows."""
+    return rows_digest(daily_slice(t, batch_date))
+
+
+def rows_digest(sliced: Mapping[str, DataFrame]) -> DataFrame:
+    """The same of a slice at hand."""
     parts = [
         df.select(F.lit(name).alias("table_name"), row_hash(df.columns).alias("row_hash"))
-        for name, df in daily_slice(t, batch_date).items()
+        for name, df in sliced.items()
     ]
     out = parts[0]
     for p in parts[1:]:

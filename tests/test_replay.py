@@ -103,3 +103,11 @@ def test_blank_is_the_empty_string_however_it_is_written(spark, scratch):
         out.write('seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,,X\ns1,1,"",X\ns1,1\n')
     assert values(read_landing_csv(spark, path, "olist_sellers"), *BY_TABLE["olist_sellers"].columns) == [
         ("s1", "1", "", ""), ("s1", "1", "", "X"), ("s1", "1", "", "X")]
+
+
+def test_a_slice_hands_its_small_tables_to_the_others_stored(spark, scratch):
+    put_source(scratch)
+    sliced = daily_slice(tables(spark, scratch), DAY)
+    assert all("slice-orders" in f for f in sliced["olist_orders"].inputFiles())
+    plan = sliced["olist_order_payments"]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan

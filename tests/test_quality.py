@@ -66,6 +66,16 @@ def test_the_suite_is_one_shuffle_of_combined_keys(spark):
     assert "HashAggregate(keys=[check" in lines[keyed + 1] and "partial_max" in lines[keyed + 1]
 
 
+def test_rows_that_emit_nothing_are_not_made_distinct(spark):
+    from retail_lakehouse.operators.quality import Check, run_checks, stacked_entries
+    t = {"t": spark.range(10).selectExpr("cast(id as string) as k", "if(id = 3, null, id) as v", "if(id < 2, -1, null) as w").distinct()}
+    suite = [Check("not_null", "t", "v"), Check("non_negative", "t", "w"), Check("accepted_values", "t", "w", values=(5,))]
+    lines = stacked_entries(t.__getitem__, suite)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    distinct = next(i for i, line in enumerate(lines) if "Aggregate" in line)
+    assert any("Filter" in line for line in lines[distinct:])
+    assert [r.failing_rows for r in run_checks(t, suite).orderBy("check_name").collect()] == [1, 2, 1]
+
+
 def test_keys_of_different_types_are_refused(spark):
     import pytest
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retail_lakehouse import registry
-from retail_lakehouse.plans import marts, warehouse
+from retail_lakehouse.plans import layers, marts, warehouse
 from retail_lakehouse.plans.layers import BY_ORDER, Lakehouse
 from retail_lakehouse.sources import stored
 from retail_lakehouse.sources.stored import drop_old_versions, latest_commit, layout_of, read_table, write_layer
@@ -110,3 +110,29 @@ def test_facts_and_the_seller_mart_from_stored_layers_exchange_nothing_by_order(
         assert rows(mart) == rows(registry.queries()["mart_seller_performance"](spark, SF))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["orders", "order_items", "order_payments"])
+def test_rows_are_dealt_by_order_before_they_get_their_hashes(spark, monkeypatch, name):
+    def noted(df, path, **kw):
+        seen.append((df, kw))
+        return write_layer(df, path, **kw)
+
+    seen: list = []
+    monkeypatch.setattr(layers, "write_layer", noted)
+    lh = Lakehouse.from_driver(spark, SF, materialize=("silver",))
+    table = lh.silver(name)
+    (df, kw), = seen
+    lines = plan(df).splitlines()
+    dealt = next(i for i, line in enumerate(lines) if "REPARTITION_BY_NUM" in line)
+    assert kw["dealt"] and any("sha2" in line for line in lines[:dealt]) and not any("sha2" in line for line in lines[dealt:])
+    assert f"silver.{name}" in lh._dealt and "Exchange" not in plan(table.groupBy("order_id").count())
+    assert rows(table) == rows(registry.queries()[f"silver_{name}"](spark, SF))
+
+
+def test_layers_are_stored_small(spark, scratch):
+    for name, kw in (("plain", {}), ("bucketed", {"bucket_by": "k", "buckets": 2})):
+        write_layer(spark.range(10).selectExpr("cast(id as string) as k"), os.path.join(scratch, name), **kw)
+        files = [f for version in os.listdir(os.path.join(scratch, name)) if version.startswith("version-")
+                 for f in os.listdir(os.path.join(scratch, name, version)) if f.startswith("part-")]
+        assert files and all(".zstd." in f for f in files)

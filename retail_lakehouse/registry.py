@@ -44,7 +44,7 @@ def _report_q(name: str) -> Query:
 
 
 def _check_reports(spark: SparkSession, sf: str) -> DataFrame:
-    lh = Lakehouse.from_driver(spark, sf, materialize=("gold", "mart")).build_layers(REPORT_TABLES)
+    lh = Lakehouse.from_driver(spark, sf, materialize=REPORT_TABLES).build_layers()
     return check_reports({n: lh.report(n) for n in REPORT_NAMES})
 
 

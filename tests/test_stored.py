@@ -136,3 +136,23 @@ def test_layers_are_stored_small(spark, scratch):
         files = [f for version in os.listdir(os.path.join(scratch, name)) if version.startswith("version-")
                  for f in os.listdir(os.path.join(scratch, name, version)) if f.startswith("part-")]
         assert files and all(".zstd." in f for f in files)
+
+
+def test_the_report_check_stores_only_what_is_read_again(spark):
+    from retail_lakehouse.session import table_scope
+    with table_scope() as stored_here:
+        lh = Lakehouse.from_driver(spark, SF, materialize=layers.REPORT_TABLES)
+        fct, lines = lh.gold("fct_orders"), lh.gold("fct_order_items")
+        lh.mart("mart_seller_performance")
+    assert len(stored_here) == 2 and not any("fct_order_items" in path for path in stored_here)
+    assert plan(lines).count("orders.parquet") == 0  # the stored fact stands for the orders
+    for name, df in (("fct_orders", fct), ("fct_order_items", lines)):
+        assert rows(df) == rows(registry.queries()[name](spark, SF))
+
+
+def test_distinct_counts_taken_apart_are_the_same_and_send_each_line_once(spark):
+    items = spark.createDataFrame([("a", "p", "s", 1, 2), ("a", "p", "t", 1, None), ("a", None, "t", 3, 1), (None, "p", "s", 1, 1), ("b", None, None, None, 1)],
+                                  "order_id string, product_id string, seller_id string, item_price int, freight_value int")
+    apart, plain = warehouse._item_rollup(items, False, apart=True), warehouse._item_rollup(items, False)
+    known = F.col("order_id").isNotNull()
+    assert rows(apart.where(known).select(*plain.columns)) == rows(plain.where(known)) and "Expand" not in plan(apart)

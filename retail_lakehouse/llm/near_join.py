@@ -378,7 +378,7 @@ def near_copies(docs: DataFrame, threshold: float = 0.8, target_recall: float =
     chosen = sets.select(*same, F.col("first.row__").alias("id"), F.col("first.doc_id").alias("copy_id"), "weight")
     classes = materialize(table.join(chosen.select("id", "weight", "copy_id"), F.col("row__") == F.col("id")).drop("row__", "doc_id"), "classes")
     inside = materialize(forest_buckets(classes), "buckets")
-    groups = components(likely(forest_pairs(inside), classes, threshold))
+    groups = components(materialize(likely(forest_pairs(inside), classes, threshold), "pairs"))
     missed = materialize(missed_pairs(inside, classes, groups, threshold), "missed")
     if not missed.isEmpty():
         groups = components(groups.select(F.col("vertex").alias("a"), F.col("root").alias("b")).union(missed))

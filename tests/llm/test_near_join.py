@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_helpers import SF, edge_rows, frame
+from retail_lakehouse.llm import components as module
 from retail_lakehouse.llm import near_join, queries
-from retail_lakehouse.llm.common import numbered
+from retail_lakehouse.llm.common import materialize, numbered
 from retail_lakehouse.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -134,3 +135,33 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     found = {r["vertex"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
+
+
+def test_components_stop_at_stars(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(module, "materialize", lambda df, label: written.append(materialize(df, label)) or written[-1])
+    stars = spark.createDataFrame([(1, v) for v in range(2, 60)] + [(100, v) for v in range(101, 120)] + [(7, 7)], "a long, b long")
+    found = {(r["vertex"], r["root"]) for r in components(stars).collect()}
+    assert found == {(v, 1) for v in range(1, 60)} | {(v, 100) for v in range(100, 120)}
+    assert not written
+    # Two stars that share leaves: one round, the edges of it in a task per core, not one per shuffle partition.
+    edges = [(1, v) for v in range(3, 40)] + [(2, v) for v in range(3, 40)]
+    shared = spark.createDataFrame(edges + edges[:5], "a long, b long")
+    monkeypatch.setattr(module, "EDGES", 10 ** 6)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "31")
+    try:
+        assert {(r["vertex"], r["root"]) for r in components(shared).collect()} == {(v, 1) for v in range(1, 40)}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[0])
+        spark.conf.set("spark.sql.shuffle.partitions", before[1])
+    assert len(written) == 2
+    assert all(len(t.inputFiles()) <= spark.sparkContext.defaultParallelism for t in written)
+
+
+def test_components_of_chains_and_repeated_edges(spark):
+    edges = [(v, v + 1) for v in range(200)] + [(300 - v, 299 - v) for v in range(50)] + [(0, 1)] * 3 + [(500, 500)]
+    found = {r["vertex"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {v: 0 for v in range(201)} | {v: 250 for v in range(250, 301)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

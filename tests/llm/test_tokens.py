@@ -40,3 +40,24 @@ def test_slices_cover_the_batch():
     parts = list(tokens.slices(batch, "text", 20))
     assert [p.num_rows for p in parts] == [2, 1, 2]
     assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+
+
+def test_words_share_their_letters():
+    enc = tokens.PartEncoder(queries.tokenizer_path(queries.WORD_BPE))
+    texts = ["Été été, ÉTÉ!! (été) été's x2&&", "été&& b.c", "", "&& ,"]
+    ids, counts = enc.encode(pa.array(texts))
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    for i, t in enumerate(texts):
+        assert enc.tok.encode(t, add_special_tokens=False).ids == ids[ends[i]:ends[i + 1]].tolist(), t
+    # The letters are learned once, whatever their case and closing punctuation.
+    assert set(enc.slot) == {"", "été", ",", "!!", "(été)", "été's", "x2&&", "&&", "b.c"}
+
+
+def test_words_with_any_punctuation():
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abZÀéßµ's''t&$%*_^`~<=>-.̸ ") for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    enc = tokens.PartEncoder(queries.tokenizer_path(queries.WORD_BPE))
+    ids, counts = enc.encode(pa.array(texts).slice(7))
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    for i, t in enumerate(texts[7:]):
+        assert enc.tok.encode(t, add_special_tokens=False).ids == ids[ends[i]:ends[i + 1]].tolist(), t

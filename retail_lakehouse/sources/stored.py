@@ -123,6 +123,13 @@ def layout_of(spark: SparkSession, path: str) -> tuple[str, int] | None:
     return (commit.bucket_key, commit.buckets) if commit and commit.bucket_key else None
 
 
+def drop_layer(spark: SparkSession, path: str) -> None:
+    """Take the committed version of a layer table, if any, out of the catalog; its files are the caller's."""
+    commit = latest_commit(spark, path)
+    if commit is not None and commit.bucket_key is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(commit.version)}")
+
+
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> int:
     """Delete all versions but the ``keep`` last committed ones, unfinished ones
     included; call it when no reader of them is left. Returns how many went."""
